@@ -1,6 +1,6 @@
 """All registered queries, in the order of the operator inventory."""
 
-from lakevault.plans import queries_vault  # noqa: F401
+from lakevault.plans import queries_vault, queries_time  # noqa: F401
 from lakevault.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
