@@ -13,10 +13,11 @@ from lakevault.operators import history as scd
 from lakevault.operators import quality
 from lakevault.operators.pit import build_pit
 from lakevault.operators.staging import stage
-from lakevault.operators.vault import HubSpec, LinkSpec, SatSpec, key_rows, sat_rows
+from lakevault.operators.vault import HubSpec, LinkSpec, SatSpec, count_tables, key_rows, sat_rows
 from lakevault.plans import marts, model, suite
+from lakevault.session import work_folder
 from lakevault.sources.contracts import require_key
-from lakevault.sources.tables import Lake
+from lakevault.sources.tables import BY_PARTITION, Lake
 
 PARALLEL = 4  # independent tables loaded at the same time
 
@@ -169,50 +170,60 @@ def apply_delta(lake: Lake, spark, sf_dir: str, dates: Sequence[datetime]) -> No
     build_marts(lake, names)
 
 
+_BUILT: dict[tuple[str, str], Lake] = {}
+
+
+def warehouse(spark, sf_dir: str, dates: Sequence[datetime]) -> Lake:
+    """The stored warehouse over the first delivery, built once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        lake = new_lake(spark)
+        build_all(lake, spark, sf_dir, dates)
+        _BUILT[key] = lake
+    return _BUILT[key]
+
+
+def new_lake(spark) -> Lake:
+    """An empty warehouse in a fresh part of the work folder, with databases of its own."""
+    root = work_folder(spark, "lake")
+    return Lake(spark, root, env_prefix="lv_" + root.rsplit("-", 1)[1])
+
+
 # --- historised staging ---
 
 def psa_run(lake: Lake, spec: scd.Scd2Spec, table: str, source: DataFrame, run_ts: datetime,
             detect_deletes: bool = True) -> None:
     """Apply one full delivery to a stored history.
 
-    Current rows are a versioned table, closed rows an append-only one with a partition per run.
-    The view over both is replaced last and names the newest run it trusts, so the run becomes
-    visible at once, and a run that died half way is written again without leaving traces.
+    A run writes two partitions: the current rows after it, and the rows it closed. Closed rows of
+    earlier runs are not touched. The view is replaced last and names the newest run it trusts, so
+    a run becomes visible at once, and one that died half way overwrites its own partitions when
+    it is repeated. Applying a run a second time does nothing.
     """
+    run = int(run_ts.strftime("%Y%m%d%H%M%S"))
+    view, store = lake.name("psa", table), lake.name("psa", f"{table}__runs")
+    shown = int(lake.spark.catalog.getTable(view).description) if lake.exists("psa", table) else None
+    if shown is not None and run <= shown:
+        return
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     cleaned = scd.clean(source, spec)
     require_key(spec.source, cleaned, [spec.key])
-    run = int(run_ts.strftime("%Y%m%d%H%M%S"))
-    live, closed = f"{table}__live_{run}", f"{table}__closed"
-    lake.spark.sql(f"DROP TABLE IF EXISTS {lake.name('psa', live)}")
-    if not lake.exists("psa", table):
-        scd.first_delivery(cleaned, spec, now).write.format("parquet").saveAsTable(lake.name("psa", live))
-        previous = None
+    if shown is None:
+        outcome = scd.first_delivery(cleaned, spec, now)
     else:
-        previous = lake.spark.catalog.getTable(lake.name("psa", table)).description
-        current = lake.spark.table(lake.name("psa", previous))
-        outcome = scd.apply_delivery(current, cleaned, spec, now, detect_deletes)
-        staged_name = f"{table}__run_{run}"
-        lake.spark.sql(f"DROP TABLE IF EXISTS {lake.name('psa', staged_name)}")
-        # one pass over the delivery: current and closed rows are partitions of the run's table
-        outcome.write.partitionBy("ng_is_current").format("parquet").saveAsTable(lake.name("psa", staged_name))
-        done = lake.spark.table(lake.name("psa", staged_name)).select(*spec.columns)
-        done.where("ng_is_current = 1").write.format("parquet").saveAsTable(lake.name("psa", live))
-        ended = done.where("ng_is_current = 0").withColumn("ng_run", F.lit(run).cast("bigint"))
-        writer = ended.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-        if lake.exists("psa", closed):
-            writer.insertInto(lake.name("psa", closed))
-        else:
-            writer.partitionBy("ng_run").format("parquet").saveAsTable(lake.name("psa", closed))
-        lake.spark.sql(f"DROP TABLE {lake.name('psa', staged_name)}")
-    columns = ", ".join(spec.columns)
-    sql = f"SELECT {columns} FROM {lake.name('psa', live)}"
-    if lake.exists("psa", closed):
-        sql += f" UNION ALL SELECT {columns} FROM {lake.name('psa', closed)} WHERE ng_run <= {run}"
-    lake.spark.sql(f"CREATE OR REPLACE VIEW {lake.name('psa', table)} COMMENT '{live}' AS {sql}")
-    for old in lake.spark.catalog.listTables(lake.db("psa"), f"{table}__live_*"):
-        if old.name not in (live, previous):
-            lake.spark.sql(f"DROP TABLE IF EXISTS {lake.name('psa', old.name)}")
+        stored = lake.spark.table(store).where((F.col("ng_run") == shown) & (F.col("ng_is_current") == 1))
+        outcome = scd.apply_delivery(stored.select(*spec.columns), cleaned, spec, now, detect_deletes)
+    plain = [c for c in spec.columns if c != "ng_is_current"]
+    rows = outcome.select(*plain, F.lit(run).cast("bigint").alias("ng_run"), "ng_is_current")
+    if lake.exists("psa", f"{table}__runs"):
+        rows.write.mode("overwrite").insertInto(store)
+    else:
+        rows.write.options(**BY_PARTITION).partitionBy("ng_run", "ng_is_current").format("parquet").saveAsTable(store)
+    lake.spark.sql(
+        f"CREATE OR REPLACE VIEW {view} COMMENT '{run}' AS SELECT {', '.join(spec.columns)} FROM {store} "
+        f"WHERE (ng_is_current = 1 AND ng_run = {run}) OR (ng_is_current = 0 AND ng_run <= {run})")
+    if shown is not None:
+        lake.drop_old_partitions("psa", f"{table}__runs", "ng_run", ("ng_is_current", 1), keep=(shown, run))
 
 
 def psa_vault(lake: Lake, table: str = "customers_psa") -> None:
@@ -223,8 +234,6 @@ def psa_vault(lake: Lake, table: str = "customers_psa") -> None:
 
 def psa_rebuild(lake: Lake, table: str = "customers_psa") -> DataFrame:
     """Drop the PSA branch of the vault, load it again, and count."""
-    from lakevault.operators.vault import count_tables
-
     names = [*model.PSA_HUBS, *model.PSA_SATS]
     for name in names:
         lake.drop("raw_vault", name)

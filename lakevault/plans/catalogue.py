@@ -1,6 +1,6 @@
-"""All registered queries, in the order of the operator inventory."""
+"""All registered queries."""
 
-from lakevault.plans import queries_quality, queries_time, queries_vault  # noqa: F401
+from lakevault.plans import queries_ingest, queries_quality, queries_time, queries_vault  # noqa: F401
 from lakevault.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from lakevault.functions import runs
 from lakevault.operators import quality as q
 from lakevault.operators import vault as ops
-from lakevault.plans import marts, model, raw, suite
+from lakevault.plans import build, marts, model, raw, suite
 from lakevault.plans.initial import Vault
+from lakevault.plans.queries_time import AS_OF
 from lakevault.plans.registry import query
 from lakevault.session import work_folder
 from lakevault.sources import artefacts
@@ -195,8 +196,8 @@ def all_tests() -> list[q.Test]:
 
 @query("dq_suite", _SUITE_SQL)
 def dq_suite(spark: SparkSession, sf: str) -> DataFrame:
-    """Every declared test."""
-    return q.run(Models(spark, sf), all_tests())
+    """Every declared test, on the stored warehouse."""
+    return q.run(build.Tables(build.warehouse(spark, sf, AS_OF)), all_tests())
 
 
 @query("dq_failing_rows", "SELECT id, order_date, shipped_date FROM raw_orders WHERE shipped_date < order_date")
@@ -485,37 +486,32 @@ def scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- table inventories -----------------------------------------------------------------------------------------
 
-_LAYERS = {"raw": ("customers", "employees", "products", "orders", "order_details"),
-           "raw_vault": (*model.HUBS, *model.LINKS, *model.SATS), "mart": tuple(marts.MARTS)}
+_LAYERS = {"raw": tuple(model.RAW_KEYS), "raw_vault": (*model.HUBS, *model.LINKS, *model.SATS, *model.PITS),
+           "mart": tuple(marts.MARTS)}
+_PIT_ROWS = {"pit_customer": f"(SELECT 1 FROM hub_customer, range({len(AS_OF)}))",
+             "pit_order": f"(SELECT 1 FROM hub_order, range({len(AS_OF)}))"}
 
 
-def _layer_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    models = Models(spark, sf)
-    return {f"{layer}.{n}": model._RAW[1][n](spark, sf) if layer == "raw" else models[n]
-            for layer, names in _LAYERS.items() for n in names}
+def _counted(name: str, layer: str = "") -> str:
+    return f"(SELECT count(*) FROM {_PIT_ROWS.get(name, 'raw_' + name if layer == 'raw' else name)})"
 
 
 @query("layer_row_counts", " UNION ALL ".join(
-    f"SELECT '{layer}' AS layer, {len(names)} AS tables, " + " + ".join(
-        f"(SELECT count(*) FROM {'raw_' + n if layer == 'raw' else n})" for n in names) + " AS row_count"
-    for layer, names in _LAYERS.items()))
+    f"SELECT '{layer}' AS layer, {len(names)} AS tables, " + " + ".join(_counted(n, layer) for n in names)
+    + " AS row_count" for layer, names in _LAYERS.items()))
 def layer_row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    counts = ops.count_tables(_layer_tables(spark, sf))
+    counts = build.warehouse(spark, sf, AS_OF).counts(list(_LAYERS))
     return counts.groupBy(F.substring_index("table_name", ".", 1).alias("layer")).agg(
         F.count(F.lit(1)).alias("tables"), F.sum("row_count").alias("row_count"))
 
 
-_COUNTED = [n for names in model.DOMAINS.values() for n in names if not n.startswith("pit_")]
-
-
 @query("domain_row_counts", " UNION ALL ".join(
-    f"SELECT '{d}' AS domain, {len([n for n in names if n in _COUNTED])} AS tables, " + " + ".join(
-        f"(SELECT count(*) FROM {n})" for n in names if n in _COUNTED) + " AS row_count"
+    f"SELECT '{d}' AS domain, {len(names)} AS tables, " + " + ".join(_counted(n) for n in names) + " AS row_count"
     for d, names in model.DOMAINS.items()))
 def domain_row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    models = Models(spark, sf)
-    counts = ops.count_tables({n: models[n] for n in _COUNTED})
-    return counts.groupBy(runs.domain_of(F.col("table_name"), model.DOMAINS).alias("domain")).agg(
+    counts = build.warehouse(spark, sf, AS_OF).counts(["raw_vault", "mart"])
+    table = F.substring_index("table_name", ".", -1)
+    return counts.groupBy(runs.domain_of(table, model.DOMAINS).alias("domain")).agg(
         F.count(F.lit(1)).alias("tables"), F.sum("row_count").alias("row_count"))
 
 

@@ -13,7 +13,7 @@ from lakevault.operators.access import VaultModel, access_view
 from lakevault.operators.ordered import asof_join
 from lakevault.operators.pit import build_pit
 from lakevault.operators.staging import cast_interface, stage
-from lakevault.plans import model, raw
+from lakevault.plans import build, model, raw
 from lakevault.plans.checks import diff_sql, key_sql, rowhash_sql
 from lakevault.plans.initial import Vault
 from lakevault.plans.registry import query
@@ -171,8 +171,8 @@ _KINDS += [("satellite", n, s.pk, len(s.payload)) for n, s in model.SATS.items()
     for k, n, pk, c in _KINDS))
 def vault_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """The inventory of the vault with the size of each table."""
-    vault = Vault(spark, sf)
-    counts = ops.count_tables({n: vault[n] for _, n, _, _ in _KINDS}, "name")
+    tables = build.Tables(build.warehouse(spark, sf, AS_OF))
+    counts = ops.count_tables({n: tables[n] for _, n, _, _ in _KINDS}, "name")
     return VAULT_MODEL.catalog(spark).drop("parents").join(counts, "name")
 
 

@@ -23,6 +23,9 @@ from lakevault.sources.contracts import require_key
 
 LAYERS = ("raw", "staging", "raw_vault", "psa", "mart", "dq", "dq_audit", "meta")
 BUCKET = "key_bucket"
+LOAD_ID = "_load_id"
+# kept with the table when it is created: an overwriting insert replaces only the partitions it brings
+BY_PARTITION = {"partitionOverwriteMode": "dynamic"}
 
 
 class ProtectedTableError(RuntimeError):
@@ -44,7 +47,10 @@ class Lake:
         self.spark, self.root, self.env_prefix = spark, root.rstrip("/"), env_prefix
         self.buckets, self.protected = buckets, tuple(protected)
         for layer in LAYERS:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db(layer)} LOCATION '{self.root}/{layer}'")
+            self.ensure(layer)
+
+    def ensure(self, layer: str) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db(layer)} LOCATION '{self.root}/{layer}'")
 
     def db(self, layer: str) -> str:
         return layer_name(layer, env_prefix=self.env_prefix)
@@ -76,6 +82,11 @@ class Lake:
         else:
             writer = df.write
         writer.mode("append").format("parquet").saveAsTable(self.name(layer, table))
+        self._written(layer, table)
+
+    def _written(self, layer: str, table: str) -> None:
+        """A streaming micro-batch writes in a session of its own; forget this one's file listing."""
+        self.spark.catalog.refreshTable(self.name(layer, table))
 
     # --- replace ---
 
@@ -121,7 +132,9 @@ class Lake:
         target = self.name(layer, table)
         placed = self._bucketed(delta, keys)
         if not self.exists(layer, table):
-            placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).format("parquet").saveAsTable(target)
+            writer = placed.hint("rebalance", BUCKET).write.options(**BY_PARTITION)
+            writer.partitionBy(BUCKET).format("parquet").saveAsTable(target)
+            self._written(layer, table)
             return
         # at most one number per bucket reaches the driver
         touched = [r[0] for r in placed.select(BUCKET).distinct().collect()]
@@ -146,10 +159,29 @@ class Lake:
         if not self.exists(layer, pending):
             return
         target = self.name(layer, table)
-        self.spark.table(self.name(layer, pending)).select(*self.spark.table(target).columns).write.option(
-            "partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(target)
+        rows = self.spark.table(self.name(layer, pending)).select(*self.spark.table(target).columns)
+        rows.write.mode("overwrite").insertInto(target)
+        self._written(layer, table)
         self.spark.sql(f"DROP TABLE {self.name(layer, pending)}")
 
+    # --- load packages ---
+
+    def append_load(self, layer: str, table: str, df: DataFrame, load_id: str) -> None:
+        """Append a load as a partition of its own; loading it again overwrites only that partition.
+        New columns are added to the table, missing ones are NULL."""
+        self.ensure(layer)
+        target = self.name(layer, table)
+        rows = df.withColumn(LOAD_ID, F.lit(load_id))
+        if not self.exists(layer, table):
+            rows.write.options(**BY_PARTITION).partitionBy(LOAD_ID).format("parquet").saveAsTable(target)
+            return
+        stored = self.spark.table(target)
+        if set(rows.columns) - set(stored.columns):
+            self._widen(target, stored, rows)
+        shape = self.spark.createDataFrame([], self.spark.table(target).schema)
+        aligned = shape.unionByName(rows, allowMissingColumns=True)
+        aligned.write.mode("overwrite").insertInto(target)
+
     # --- views, drop, counts ---
 
     def view(self, layer: str, table: str, sql: str) -> None:
@@ -161,6 +193,34 @@ class Lake:
         for version in self._versions(layer, table):
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}__v{version}")
 
+    def drop_old_partitions(self, layer: str, table: str, run_column: str, rest: tuple[str, int],
+                            keep: Sequence[int]) -> None:
+        """Drop the partitions ``run_column=<run>/<rest>`` of all runs but the kept ones."""
+        target = self.name(layer, table)
+        if self.spark.conf.get("spark.sql.catalogImplementation") == "hive":
+            for (found,) in self.spark.sql(f"SHOW PARTITIONS {target}").collect():
+                values = dict(part.split("=") for part in found.split("/"))
+                if int(values[rest[0]]) == rest[1] and int(values[run_column]) not in keep:
+                    self.spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION "
+                                   f"({run_column} = {values[run_column]}, {rest[0]} = {rest[1]})")
+            return
+        # without a metastore the partitions are the folders
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}")
+        files = root.getFileSystem(conf)
+        pattern = jvm.org.apache.hadoop.fs.Path(root, f"{run_column}=*/{rest[0]}={rest[1]}")
+        for found in files.globStatus(pattern) or ():
+            if int(found.getPath().getParent().getName().partition("=")[2]) not in keep:
+                files.delete(found.getPath(), True)
+        self._written(layer, table)
+
+    def remove_folder(self, path: str) -> None:
+        """Delete a landing folder under the root."""
+        if not path.startswith(f"{self.root}/landing/"):
+            raise ValueError(f"{path} is not a landing folder")
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
     def _is_view(self, layer: str, table: str) -> bool:
         return self.spark.catalog.getTable(self.name(layer, table)).tableType == "VIEW"
 
