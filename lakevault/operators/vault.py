@@ -2,6 +2,10 @@
 
 Each load is a function from (staged source, stored target) to the rows to append, so it can be
 checked without a table. ``target=None`` means the table does not exist yet.
+
+``one_row_per_key`` in a spec states a contract of the source: at most one row per hash key in a
+batch. It holds where the hash key covers the numeric primary key of a raw table, which is checked
+when a delivery is stored, and saves the shuffle that would find repeats inside the batch.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ class HubSpec:
     ldts: str = "load_datetime"
     record_source: str = "record_source"
     branch: str = "classic"
+    one_row_per_key: bool = False
 
     @property
     def keys(self) -> tuple[str, ...]:
@@ -42,6 +47,7 @@ class LinkSpec:
     ldts: str = "load_datetime"
     record_source: str = "record_source"
     branch: str = "classic"
+    one_row_per_key: bool = False
 
     @property
     def keys(self) -> tuple[str, ...]:
@@ -54,12 +60,7 @@ class LinkSpec:
 
 @dataclass(frozen=True)
 class SatSpec:
-    """``one_row_per_key`` states a contract of the source: at most one row per key in a batch.
-
-    It saves the ordering of a key's rows inside the batch and holds for every source with a
-    checked primary key. Leave it off for sources that bring several versions at once; ``grain``
-    then sets the time slices over which a key's versions are spread.
-    """
+    """``grain`` sets the time slices over which the versions of one key are spread."""
 
     name: str
     pk: str
@@ -90,10 +91,13 @@ def touching(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 def key_rows(source: DataFrame, target: DataFrame | None, spec: HubSpec | LinkSpec) -> DataFrame:
     """Hub or link rows not stored yet: the earliest row per new key, keys with NULL parts dropped."""
     rows = source.select(*spec.columns).dropna(subset=list(spec.keys))
-    order = [F.col(spec.ldts), F.col(spec.record_source)]
-    if isinstance(spec, HubSpec):
-        order.append(F.col(spec.nk))
-    fresh = first_per_key(rows, [spec.pk], order)
+    if spec.one_row_per_key:
+        fresh = rows
+    else:
+        order = [F.col(spec.ldts), F.col(spec.record_source)]
+        if isinstance(spec, HubSpec):
+            order.append(F.col(spec.nk))
+        fresh = first_per_key(rows, [spec.pk], order)
     if target is None:
         return fresh
     known = touching(target.select(spec.pk), rows, spec.pk)

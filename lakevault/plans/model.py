@@ -58,18 +58,19 @@ STAGING: dict[str, StageSpec] = {
 }
 
 HUBS = {h.name: h for h in (
-    HubSpec("hub_customer", "customer_hk", "customer_id", "customers"),
-    HubSpec("hub_employee", "employee_hk", "employee_id", "employees"),
-    HubSpec("hub_product", "product_hk", "product_id", "products"),
-    HubSpec("hub_order", "order_hk", "order_id", "orders"),
+    HubSpec("hub_customer", "customer_hk", "customer_id", "customers", one_row_per_key=True),
+    HubSpec("hub_employee", "employee_hk", "employee_id", "employees", one_row_per_key=True),
+    HubSpec("hub_product", "product_hk", "product_id", "products", one_row_per_key=True),
+    HubSpec("hub_order", "order_hk", "order_id", "orders", one_row_per_key=True),
 )}
 PSA_HUBS = {"hub_customer_psa": HubSpec(
-    "hub_customer_psa", "customer_hk", "customer_id", "customers_psa", branch="psa")}
+    "hub_customer_psa", "customer_hk", "customer_id", "customers_psa", branch="psa", one_row_per_key=True)}
 
 LINKS = {l.name: l for l in (
-    LinkSpec("lnk_order_customer", "order_customer_hk", ("order_hk", "customer_hk"), "orders"),
-    LinkSpec("lnk_order_employee", "order_employee_hk", ("order_hk", "employee_hk"), "orders"),
-    LinkSpec("lnk_order_product", "order_product_hk", ("order_hk", "product_hk"), "order_details"),
+    LinkSpec("lnk_order_customer", "order_customer_hk", ("order_hk", "customer_hk"), "orders", one_row_per_key=True),
+    LinkSpec("lnk_order_employee", "order_employee_hk", ("order_hk", "employee_hk"), "orders", one_row_per_key=True),
+    LinkSpec("lnk_order_product", "order_product_hk", ("order_hk", "product_hk"), "order_details",
+             one_row_per_key=True),
 )}
 
 SATS = {s.name: s for s in (

@@ -218,7 +218,9 @@ _ALL_COUNTS = {
     **{f"raw_vault.{n}": n for n in ("hub_employee", "hub_product", "sat_employee", "sat_product")},
     "raw_vault.pit_customer": f"(SELECT 1 FROM all_hub_customer, range({len(AS_OF)}))",
     "raw_vault.pit_order": f"(SELECT 1 FROM (SELECT 1 FROM hub_order UNION ALL SELECT 1 FROM new_hub_order) o, range({len(AS_OF)}))",
-    "mart.mart_revenue_per_customer": "all_hub_customer", "mart.mart_product_sales": "hub_product",
+    "mart.mart_revenue_per_customer": """(SELECT DISTINCT customer_hk FROM
+        (SELECT * FROM lnk_order_customer UNION ALL SELECT * FROM new_lnk_order_customer) JOIN
+        (SELECT * FROM lnk_order_product UNION ALL SELECT * FROM new_lnk_order_product) USING (order_hk))""", "mart.mart_product_sales": "hub_product",
     "mart.mart_order_overview": "(SELECT 1 FROM hub_order UNION ALL SELECT 1 FROM new_hub_order)",
 }
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakevault.operators.vault import count_tables
-from lakevault.sources.contracts import require_key
+from lakevault.sources.contracts import ContractError, require_key
 
 LAYERS = ("raw", "staging", "raw_vault", "psa", "mart", "dq", "dq_audit", "meta")
 BUCKET = "key_bucket"
@@ -125,34 +125,48 @@ class Lake:
 
     def merge(self, layer: str, table: str, delta: DataFrame, keys: Sequence[str],
               check: bool = True) -> None:
-        """Insert new keys and replace the whole row of known ones; a key twice in a batch is an error."""
-        if check:
-            require_key(f"{layer}.{table}", delta, keys)
+        """Insert new keys and replace the whole row of known ones; a key twice in a batch is an error.
+
+        The delivery is stored first, so that its source is computed once and everything after
+        reads stored rows.
+        """
         self._finish_merge(layer, table)
         target = self.name(layer, table)
-        placed = self._bucketed(delta, keys)
-        if not self.exists(layer, table):
-            writer = placed.hint("rebalance", BUCKET).write.options(**BY_PARTITION)
-            writer.partitionBy(BUCKET).format("parquet").saveAsTable(target)
-            self._written(layer, table)
+        first = not self.exists(layer, table)
+        landed = table if first else f"{table}__incoming"
+        if not first:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, landed)}")
+        writer = self._bucketed(delta, keys).hint("rebalance", BUCKET).write
+        writer.options(**BY_PARTITION).partitionBy(BUCKET).format("parquet").saveAsTable(self.name(layer, landed))
+        self._written(layer, landed)
+        incoming = self.spark.table(self.name(layer, landed))
+        if check:
+            try:
+                require_key(f"{layer}.{table}", incoming, keys)
+            except ContractError:
+                self.spark.sql(f"DROP TABLE {self.name(layer, landed)}")
+                raise
+        if first:
             return
         # at most one number per bucket reaches the driver
-        touched = [r[0] for r in placed.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        stored = self.spark.table(target)
-        kept = stored.where(F.col(BUCKET).isin(touched)).join(placed.select(*keys), list(keys), "left_anti")
-        merged = kept.select(*stored.columns).unionByName(placed, allowMissingColumns=True)
-        if set(placed.columns) - set(stored.columns):
-            self._widen(target, stored, placed)
-            merged = merged.select(*self.spark.table(target).columns)
-        merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).format("parquet").saveAsTable(f"{target}__pending")
-        self._finish_merge(layer, table)
-
-    def _widen(self, target: str, stored: DataFrame, wider: DataFrame) -> None:
-        new = [f for f in wider.schema.fields if f.name not in stored.columns]
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        self.spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({columns})")
+        touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
+        if touched:
+            self._widen(target, incoming)
+            stored = self.spark.table(target)
+            kept = stored.where(F.col(BUCKET).isin(touched)).join(
+                incoming.select(*keys), list(keys), "left_anti")
+            merged = kept.select(*stored.columns).unionByName(incoming, allowMissingColumns=True)
+            merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).format("parquet").saveAsTable(
+                f"{target}__pending")
+            self._finish_merge(layer, table)
+        self.spark.sql(f"DROP TABLE {self.name(layer, landed)}")
+
+    def _widen(self, target: str, wider: DataFrame) -> None:
+        """Add the columns the table does not have yet."""
+        known = set(self.spark.table(target).columns)
+        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in wider.schema if f.name not in known]
+        if new:
+            self.spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({', '.join(new)})")
 
     def _finish_merge(self, layer: str, table: str) -> None:
         pending = f"{table}__pending"
@@ -175,9 +189,7 @@ class Lake:
         if not self.exists(layer, table):
             rows.write.options(**BY_PARTITION).partitionBy(LOAD_ID).format("parquet").saveAsTable(target)
             return
-        stored = self.spark.table(target)
-        if set(rows.columns) - set(stored.columns):
-            self._widen(target, stored, rows)
+        self._widen(target, rows)
         shape = self.spark.createDataFrame([], self.spark.table(target).schema)
         aligned = shape.unionByName(rows, allowMissingColumns=True)
         aligned.write.mode("overwrite").insertInto(target)
