@@ -50,7 +50,7 @@ def main() -> None:
         build.run_tests(lake, NOW, "bench").count()
 
     for number in range(RUNS):
-        lake = build.new_lake(spark)
+        lake = build.new_lake(spark, SF_DIR)
         measure("classic_build", lambda: classic(lake))
         tables = build.Tables(lake)
         for name, mart in marts.MARTS.items():

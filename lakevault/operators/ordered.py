@@ -60,11 +60,11 @@ def asof_join(
 ) -> DataFrame:
     """Each left row with the latest version at or before its time (NULLs when there is none).
 
-    ``tie_break`` decides between versions of one key with the same time: the first one wins.
-    ``payload`` names version columns to add and must not clash with left columns.
+    ``tie_break`` decides between versions of one key with the same time: the first one wins, by
+    default in the order of the payload. ``payload`` names version columns to add and must not clash with left columns.
     """
     keyed = versions.where(F.greatest(*[F.col(k).isNull() for k in keys], F.col(version_time).isNull()) == F.lit(False))
-    latest = first_per_key(keyed, [*keys, version_time], list(tie_break) or [F.lit(1)])
+    latest = first_per_key(keyed, [*keys, version_time], list(tie_break) or [F.col(p) for p in payload])
     found = F.struct(*[F.col(p) for p in payload])
     key_cols = [F.col(k) for k in keys]
     events = latest.select(

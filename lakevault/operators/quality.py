@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RESULT = ["model", "test", "column", "severity", "status", "failures", "checked_rows"]
+RESULT_SCHEMA = ("model string, test string, column string, severity string, status string, "
+                 "failures bigint, checked_rows bigint")
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,7 @@ from lakevault.operators.vault import HubSpec, LinkSpec, SatSpec, count_tables,
 from lakevault.plans import marts, model, suite
 from lakevault.session import work_folder
 from lakevault.sources.contracts import require_key
-from lakevault.sources.tables import BY_PARTITION, Lake
+from lakevault.sources.tables import BY_PARTITION, Lake, buckets_for, folder_bytes
 
 PARALLEL = 4  # independent tables loaded at the same time
 
@@ -127,7 +127,15 @@ def run_tests(lake: Lake, run_ts: datetime, run_id: str, tests: Sequence[quality
     """Run the suite on the stored tables and append the results; returns the stored rows of the run."""
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     tests = tests if tests is not None else suite.staging_tests() + suite.vault_tests(now) + suite.mart_tests()
-    results = quality.run(Tables(lake), tests)
+    tables = Tables(lake)
+
+    def run_model(name: str) -> list:
+        # one row per declared test comes back, whatever the size of the model
+        return quality.run(tables, [t for t in tests if t.model == name]).collect()
+
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        rows = [r for part in pool.map(run_model, dict.fromkeys(t.model for t in tests)) for r in part]
+    results = lake.spark.createDataFrame(rows, quality.RESULT_SCHEMA)
     persist(lake, "test_results", results, run_ts, run_id)
     return lake.read("dq", "test_results").where(F.col("run_id") == run_id)
 
@@ -177,16 +185,18 @@ def warehouse(spark, sf_dir: str, dates: Sequence[datetime]) -> Lake:
     """The stored warehouse over the first delivery, built once per application and input."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
-        lake = new_lake(spark)
+        lake = new_lake(spark, sf_dir)
         build_all(lake, spark, sf_dir, dates)
         _BUILT[key] = lake
     return _BUILT[key]
 
 
-def new_lake(spark) -> Lake:
-    """An empty warehouse in a fresh part of the work folder, with databases of its own."""
+def new_lake(spark, input_folder: str | None = None) -> Lake:
+    """An empty warehouse in a fresh part of the work folder, with databases of its own, its bucket
+    count chosen for the size of the input."""
     root = work_folder(spark, "lake")
-    return Lake(spark, root, env_prefix="lv_" + root.rsplit("-", 1)[1])
+    size = folder_bytes(spark, input_folder) if input_folder else 0
+    return Lake(spark, root, env_prefix="lv_" + root.rsplit("-", 1)[1], buckets=buckets_for(size))
 
 
 # --- historised staging ---

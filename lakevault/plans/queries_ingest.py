@@ -89,19 +89,19 @@ def _deliver(lake, name: str, disposition: str, deliveries: list[DataFrame], **m
 
 @query("ingest_append", "SELECT * FROM raw_customers UNION ALL SELECT * FROM raw_customers_delta")
 def ingest_append(spark: SparkSession, sf: str) -> DataFrame:
-    return _deliver(build.new_lake(spark), "customers", "append",
+    return _deliver(build.new_lake(spark, sf), "customers", "append",
                     [raw.customers(spark, sf), raw.customers_delta(spark, sf)])
 
 
 @query("ingest_replace", "SELECT * FROM raw_customers_batch3")
 def ingest_replace(spark: SparkSession, sf: str) -> DataFrame:
-    return _deliver(build.new_lake(spark), "customers", "replace",
+    return _deliver(build.new_lake(spark, sf), "customers", "replace",
                     [raw.customers(spark, sf), raw.customers_batch3(spark, sf)])
 
 
 @query("ingest_merge", "SELECT * FROM raw_customers_after_delta")
 def ingest_merge(spark: SparkSession, sf: str) -> DataFrame:
-    return _deliver(build.new_lake(spark), "customers", "merge",
+    return _deliver(build.new_lake(spark, sf), "customers", "merge",
                     [raw.customers(spark, sf), raw.customers_delta(spark, sf)], primary_key="id")
 
 
@@ -112,14 +112,14 @@ def ingest_merge_composite(spark: SparkSession, sf: str) -> DataFrame:
     details = raw.order_details(spark, sf)
     again = details.where("order_detail_status = 'O'").withColumn(
         "discount", F.lit("0.00").cast("decimal(5,2)"))
-    return _deliver(build.new_lake(spark), "order_details", "merge",
+    return _deliver(build.new_lake(spark, sf), "order_details", "merge",
                     [details, again.unionByName(raw.order_details_delta(spark, sf))],
                     primary_key=["order_id", "product_id"])
 
 
 @query("raw_upsert", "SELECT * FROM raw_orders UNION ALL SELECT * FROM raw_orders_delta")
 def raw_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    lake = build.new_lake(spark)
+    lake = build.new_lake(spark, sf)
     lake.merge("raw", "orders", raw.orders(spark, sf), ["id"])
     lake.merge("raw", "orders", raw.orders_delta(spark, sf), ["id"])
     return lake.read("raw", "orders")
@@ -132,7 +132,7 @@ def ingest_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     """The second delivery brings two more columns."""
     events = raw.given(spark, sf, "events")
     early, late = (events.where(f"ts {op} TIMESTAMP_NTZ '2024-01-16 00:00:00'") for op in ("<", ">="))
-    return _deliver(build.new_lake(spark), "events", "append", [
+    return _deliver(build.new_lake(spark, sf), "events", "append", [
         early.select("event_id", "ts", "user_id"), late.select("event_id", "ts", "user_id", "event_type", "value"),
     ])
 
@@ -145,7 +145,7 @@ _BREAK = "2024-01-20 00:00:00"
 
 def _two_loads(spark: SparkSession, sf: str):
     """First what happened before the break, then the whole log; the cursor skips what is loaded."""
-    lake = build.new_lake(spark)
+    lake = build.new_lake(spark, sf)
     events = raw.given(spark, sf, "events")
     table = _deliver(lake, "events", "merge",
                      [events.where(f"ts < TIMESTAMP_NTZ '{_BREAK}'"), events], **_CURSOR)
@@ -181,7 +181,7 @@ def ingest_load_log(spark: SparkSession, sf: str) -> DataFrame:
         UNION ALL SELECT 'incremental', count(*), count(DISTINCT order_hk) FROM stg_orders""")
 def mat_view_table_equal(spark: SparkSession, sf: str) -> DataFrame:
     """The same model stored as a view, a table and an insert-only table loaded twice."""
-    lake = build.new_lake(spark)
+    lake = build.new_lake(spark, sf)
     lake.merge("raw", "orders", raw.orders(spark, sf), ["id"])
     staged = stage(lake.read("raw", "orders"), model.STAGING["orders"])
     lake.replace("staging", "orders_table", staged)
@@ -229,7 +229,7 @@ _ALL_COUNTS = {
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}" for name, source in _ALL_COUNTS.items()))
 def build_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """Raw, vault, point-in-time tables and marts stored from the first delivery, then the delta."""
-    lake = build.new_lake(spark)
+    lake = build.new_lake(spark, sf)
     build.build_all(lake, spark, sf, AS_OF)
     build.apply_delta(lake, spark, sf, AS_OF)
     return lake.counts(["raw", "raw_vault", "mart"])
@@ -257,7 +257,7 @@ _HUB_USER = HubSpec("hub_user", "user_hk", "user_id", "user_states")
             ORDER BY load_datetime, hashdiff DESC) AS before FROM stg_user_states) WHERE before IS NULL OR before <> hashdiff""")
 def stream_vault_load(spark: SparkSession, sf: str) -> DataFrame:
     """The event log in two deliveries, in time order, as micro-batches into a hub and a satellite."""
-    lake = build.new_lake(spark)
+    lake = build.new_lake(spark, sf)
     states = raw.user_states(spark, sf)
     for op in ("<", ">="):
         states.where(f"change_date {op} TIMESTAMP_NTZ '{_BREAK}'").write.mode("append").parquet(f"{lake.root}/in")
@@ -269,10 +269,24 @@ def stream_vault_load(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_dedup", "SELECT * FROM events")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole log delivered twice: every event is stored once."""
-    lake = build.new_lake(spark)
+    """The whole log delivered twice: every event is stored once. The log spans less than the
+    31 days the state is kept."""
+    lake = build.new_lake(spark, sf)
     events = raw.given(spark, sf, "events")
     events.unionByName(events).write.parquet(f"{lake.root}/in")
     stream = streams.read_table_stream(spark, f"{lake.root}/in", events.schema)
-    streams.merge_stream(stream, lake, "raw", "events", ["event_id"], "ts", "31 days", f"{lake.root}/progress")
+    streams.merge_stream(stream, lake, "raw", "events", ["event_id"], "ts", f"{lake.root}/progress", "31 days")
+    return lake.read("raw", "events")
+
+
+@query("stream_merge", "SELECT * REPLACE (CASE WHEN event_type = 'error' THEN 0 ELSE value END AS value) FROM events")
+def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """A second delivery brings all errors again with a corrected value."""
+    lake = build.new_lake(spark, sf)
+    events = raw.given(spark, sf, "events")
+    fixed = events.where("event_type = 'error'").withColumn("value", F.lit(0.0))
+    for delivery in (events, fixed):
+        delivery.write.mode("append").parquet(f"{lake.root}/in")
+        stream = streams.read_table_stream(spark, f"{lake.root}/in", events.schema)
+        streams.merge_stream(stream, lake, "raw", "events", ["event_id"], "ts", f"{lake.root}/progress")
     return lake.read("raw", "events")

@@ -8,7 +8,8 @@ Three ways to store, by how a table changes:
   own and a view is pointed at it, so readers never see half a table;
 * ``merge``: keyed tables, partitioned by a hash bucket of the key. Only the buckets a delivery
   touches are rewritten. They are first stored as ``<table>__pending``; if the job dies while
-  exchanging them, the next access repeats the exchange from there.
+  exchanging them, readers take those buckets from there and the next merge repeats the exchange.
+  One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -38,9 +39,22 @@ def layer_name(layer: str, target: str = "", env_prefix: str = "") -> str:
     return f"{env_prefix}_{name}" if env_prefix else name
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def buckets_for(size: int, bucket_bytes: int = 512 << 20, least: int = 8, most: int = 16384) -> int:
+    """A power of two, so that a later, larger choice still lines up with an earlier one."""
+    buckets = least
+    while buckets < most and buckets * bucket_bytes < size:
+        buckets *= 2
+    return buckets
+
+
 class Lake:
-    """``root`` is a folder all executors reach. ``buckets`` should grow with the data: aim at a
-    few GB per bucket of the largest table."""
+    """``root`` is a folder all executors reach. ``buckets`` has to grow with the data, see
+    ``buckets_for``; it is the same for all tables, so that their buckets line up in joins."""
 
     def __init__(self, spark: SparkSession, root: str, env_prefix: str = "", buckets: int = 8,
                  protected: Sequence[str] = ("raw_vault",)):
@@ -62,8 +76,12 @@ class Lake:
         return self.spark.catalog.tableExists(self.name(layer, table))
 
     def read(self, layer: str, table: str) -> DataFrame:
-        self._finish_merge(layer, table)
         df = self.spark.table(self.name(layer, table))
+        if self.exists(layer, f"{table}__pending"):
+            # buckets that are being exchanged are read from where they are complete
+            pending = self.spark.table(self.name(layer, f"{table}__pending"))
+            moving = [r[0] for r in pending.select(BUCKET).distinct().collect()]
+            df = df.where(~F.col(BUCKET).isin(moving)).unionByName(pending)
         return df.drop(BUCKET)
 
     def read_or_none(self, layer: str, table: str) -> DataFrame | None:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakevault.operators.ordered import first_per_key
 from lakevault.operators.staging import StageSpec, stage
 from lakevault.operators.vault import HubSpec, LinkSpec, SatSpec, key_rows, sat_rows
 from lakevault.sources.tables import Lake
@@ -52,17 +53,23 @@ def load_vault_stream(
 
 def merge_stream(
     stream: DataFrame, lake: Lake, layer: str, table: str, keys: Sequence[str], event_time: str,
-    late_by: str, checkpoint: str,
+    checkpoint: str, late_by: str | None = None,
 ) -> None:
-    """Drop repeats of a key that arrive within ``late_by`` of each other, then merge by key.
+    """Merge by key; of repeated keys in one micro-batch the newest row counts.
 
-    The state kept per key is limited by the watermark; a repeat that comes later than that is
-    settled by the merge.
+    With ``late_by`` repeats that arrive within that time of each other are dropped before the
+    merge, against a state the watermark keeps small. Spark then also drops rows that are later
+    than ``late_by``, so set it only where the source promises that limit; without it every row is
+    merged, however late.
     """
-    zoned = stream.withColumn("_event_time", F.col(event_time).cast("timestamp"))
-    once = zoned.withWatermark("_event_time", late_by).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+    if late_by is not None:
+        zoned = stream.withColumn("_event_time", F.col(event_time).cast("timestamp"))
+        stream = zoned.withWatermark("_event_time", late_by).dropDuplicatesWithinWatermark(
+            list(keys)).drop("_event_time")
 
     def merge(batch: DataFrame, _: int) -> None:
-        lake.merge(layer, table, batch, keys, check=False)
+        whole_row = F.xxhash64(*batch.columns)
+        newest = first_per_key(batch, list(keys), [F.col(event_time).desc(), whole_row])
+        lake.merge(layer, table, newest, keys, check=False)
 
-    _run(once, checkpoint, merge)
+    _run(stream, checkpoint, merge)

@@ -9,7 +9,7 @@ from lakevault.plans import build
 from lakevault.plans.queries_time import AS_OF
 from lakevault.sources.contracts import ContractError
 from lakevault.sources.ingest import from_config, ingest, last_cursor
-from lakevault.sources.tables import BUCKET, ProtectedTableError
+from lakevault.sources.tables import BUCKET, ProtectedTableError, buckets_for
 
 
 def frame(spark, rows, schema="id int, v string"):
@@ -45,12 +45,21 @@ def test_merge_refuses_repeated_and_missing_keys(spark, lake):
     assert content(lake.read("raw", "t")) == [(1, "a")]
 
 
-def test_interrupted_merge_is_finished_on_next_access(spark, lake):
+def test_bucket_count_grows_with_the_input():
+    assert buckets_for(0) == 8 and buckets_for(100 << 30) == 256 and buckets_for(100 << 40) == 16384
+
+
+def test_interrupted_merge(spark, lake):
     lake.merge("raw", "t", frame(spark, [(i, "a") for i in range(20)]), ["id"])
     target = lake.name("raw", "t")
     # a job that died after storing the new buckets and before exchanging them
-    spark.table(target).withColumn("v", F.lit("z")).write.partitionBy(BUCKET).saveAsTable(f"{target}__pending")
-    assert content(lake.read("raw", "t")) == [(i, "z") for i in range(20)]
+    half = spark.table(target).where(F.col(BUCKET) < 4).withColumn("v", F.lit("z"))
+    half.select("id", "v", BUCKET).write.partitionBy(BUCKET).saveAsTable(f"{target}__pending")
+    expected = content(half.select("id", "v").unionByName(
+        spark.table(target).where(F.col(BUCKET) >= 4).select("id", "v")))
+    assert content(lake.read("raw", "t")) == expected
+    lake.merge("raw", "t", frame(spark, [(100, "n")]), ["id"])
+    assert content(lake.read("raw", "t")) == sorted([*expected, (100, "n")])
     assert not lake.exists("raw", "t__pending")
 
 
