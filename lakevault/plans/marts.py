@@ -26,10 +26,14 @@ def _scaled(total: str, discount_scale: int):
 
 
 def order_lines(vault) -> DataFrame:
-    """Link joined to the current version of its satellite."""
+    """Link joined to the current version of its satellite.
+
+    Both sides have a row per order line, so neither is ever small: the hint keeps Spark from
+    broadcasting one on the strength of its compressed file size.
+    """
     return vault["lnk_order_product"].select("order_product_hk", "order_hk", "product_hk").join(
         current(vault["sat_order_detail"], "order_product_hk")
-        .select("order_product_hk", "quantity", "unit_price", "discount"),
+        .select("order_product_hk", "quantity", "unit_price", "discount").hint("merge"),
         "order_product_hk",
     )
 
@@ -49,7 +53,7 @@ def revenue_per_customer(vault, discount_scale: int = 100) -> DataFrame:
     """Customers without order lines are left out."""
     per_customer = (
         vault["lnk_order_customer"].select("order_hk", "customer_hk")
-        .join(order_items(vault, discount_scale), "order_hk")
+        .join(order_items(vault, discount_scale).hint("merge"), "order_hk")
         .groupBy("customer_hk")
         .agg(F.count(F.lit(1)).alias("total_orders"), F.sum("revenue_sum").alias("_sum"))
     )
@@ -69,9 +73,9 @@ def order_overview(vault, discount_scale: int = 100) -> DataFrame:
         "employee_hk", F.col("name").alias("employee_name"))
     return (
         orders
-        .join(order_items(vault, discount_scale), "order_hk", "left")
-        .join(vault["lnk_order_customer"].select("order_hk", "customer_hk"), "order_hk", "left")
-        .join(vault["lnk_order_employee"].select("order_hk", "employee_hk"), "order_hk", "left")
+        .join(order_items(vault, discount_scale).hint("merge"), "order_hk", "left")
+        .join(vault["lnk_order_customer"].select("order_hk", "customer_hk").hint("merge"), "order_hk", "left")
+        .join(vault["lnk_order_employee"].select("order_hk", "employee_hk").hint("merge"), "order_hk", "left")
         .join(customers, "customer_hk", "left")
         .join(employees, "employee_hk", "left")
         .select(
