@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESULT = ["model", "test", "column", "severity", "status", "failures", "checked_rows"]
@@ -33,6 +33,7 @@ class Test:
     broken: Column | None = None          # row: true for a failing row
     failures: Column | None = None        # table, group: aggregate giving the number of failures
     parent: tuple[str, str] | None = None  # relation: (model, column)
+    values: tuple = ()                    # accepted values
     severity: str = "fail"
     tags: tuple[str, ...] = field(default=())
 
@@ -69,7 +70,7 @@ def pair_ordered(model: str, a: str, b: str, or_equal: bool = True, where: str |
 def accepted(model: str, column: str, values: Sequence, **kw) -> Test:
     """Failures are distinct values outside the list."""
     outside = F.col("_n").isNotNull() & ~F.col(column).isin(list(values))
-    return Test(model, "accepted_values", "group", (column,), failures=F.count_if(outside), **kw)
+    return Test(model, "accepted_values", "group", (column,), failures=F.count_if(outside), values=tuple(values), **kw)
 
 
 def unique(model: str, column: str, **kw) -> Test:
@@ -181,10 +182,12 @@ def run(models: Mapping[str, DataFrame], tests: Sequence[Test]) -> DataFrame:
 
 
 def failing_rows(models: Mapping[str, DataFrame], test: Test) -> DataFrame:
-    """The rows a test complains about (row tests, unique tests and relationships)."""
+    """The rows a test complains about (row tests, unique tests, accepted values, relationships)."""
     df = models[test.model]
     if test.kind == "row":
         return df.where(test.broken)
+    if test.name == "accepted_values":
+        return df.where(F.col(test.columns[0]).isNotNull() & ~F.col(test.columns[0]).isin(list(test.values)))
     if test.kind == "relation":
         parent = models[test.parent[0]].select(F.col(test.parent[1]).alias("_parent"))
         child = df.where(F.col(test.columns[0]).isNotNull())
@@ -195,6 +198,10 @@ def failing_rows(models: Mapping[str, DataFrame], test: Test) -> DataFrame:
     raise ValueError(f"{test.name} has no failing rows")
 
 
+def has_failing_rows(test: Test) -> bool:
+    return test.kind in ("row", "relation") or test.name in ("unique", "compound_unique", "accepted_values")
+
+
 # --- freshness --------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -228,9 +235,12 @@ def source_freshness(tables: Mapping[str, DataFrame], rules: Sequence[Freshness]
     return out
 
 
-def freshness_gate(table: DataFrame | None, loaded_at: str, now: Column, limit: timedelta) -> DataFrame:
-    """One row ``(last_load, decision)``. Needs a session only through the table; never raises on
-    empty data."""
+def freshness_gate(spark: SparkSession, table: DataFrame | None, loaded_at: str, now: Column,
+                   limit: timedelta) -> DataFrame:
+    """One row ``(last_load, decision)``. An empty or missing table counts as stale; nothing is
+    raised, the run goes on with what there is."""
+    if table is None:
+        return spark.createDataFrame([(None, "proceed_stale")], "last_load timestamp_ntz, decision string")
     newest = table.agg(F.max(loaded_at).alias("last_load"))
     young = now - F.col("last_load") < F.expr(f"interval {int(limit.total_seconds())} seconds")
     return newest.withColumn("decision", F.when(young, "proceed_fresh").otherwise("proceed_stale"))

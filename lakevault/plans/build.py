@@ -123,8 +123,12 @@ def build_marts(lake: Lake, names: Iterable[str]) -> None:
     _each([n for n in names if n in marts.MARTS], lambda n: lake.replace("mart", n, marts.MARTS[n](tables)))
 
 
-def run_tests(lake: Lake, run_ts: datetime, run_id: str, tests: Sequence[quality.Test] | None = None) -> DataFrame:
-    """Run the suite on the stored tables and append the results; returns the stored rows of the run."""
+def run_tests(lake: Lake, run_ts: datetime, run_id: str, tests: Sequence[quality.Test] | None = None,
+              store_failures: bool = False) -> DataFrame:
+    """Run the suite on the stored tables and append the results; returns the stored rows of the run.
+
+    ``store_failures`` keeps the failing rows of each test that has some as a table of its own.
+    """
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     tests = tests if tests is not None else suite.staging_tests() + suite.vault_tests(now) + suite.mart_tests()
     tables = Tables(lake)
@@ -137,9 +141,23 @@ def run_tests(lake: Lake, run_ts: datetime, run_id: str, tests: Sequence[quality
         rows = [r for part in pool.map(run_model, dict.fromkeys(t.model for t in tests)) for r in part]
     results = lake.spark.createDataFrame(rows, quality.RESULT_SCHEMA)
     persist(lake, "test_results", results, run_ts, run_id)
+    if store_failures:
+        broken = {(r["model"], r["test"], r["column"]) for r in rows if r["failures"]}
+        for test in tests:
+            if (test.model, test.name, test.label) in broken and quality.has_failing_rows(test):
+                name = "_".join([test.name, test.model, *test.columns])
+                lake.replace("dq_audit", name, quality.failing_rows(tables, test))
     return lake.read("dq", "test_results").where(F.col("run_id") == run_id)
 
 
+def run_freshness(lake: Lake, run_ts: datetime, run_id: str) -> DataFrame:
+    """Measure the age of the raw tables and append it."""
+    now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    tables = {rule.table: lake.read("raw", rule.table) for rule in suite.FRESHNESS}
+    persist(lake, "source_freshness", quality.source_freshness(tables, suite.FRESHNESS, now), run_ts, run_id)
+    return lake.read("dq", "source_freshness").where(F.col("run_id") == run_id)
+
+
 def persist(lake: Lake, table: str, results: DataFrame, run_ts: datetime, run_id: str) -> None:
     """Append one run to a result log; a run that is stored already is not stored twice."""
     stamped = results.withColumns({

@@ -243,7 +243,7 @@ def source_freshness(spark: SparkSession, sf: str) -> DataFrame:
 @query("freshness_gate", f"""SELECT max(load_datetime) AS last_load, CASE WHEN TIMESTAMP '{NOW}' - max(load_datetime)
         < INTERVAL 12 HOUR THEN 'proceed_fresh' ELSE 'proceed_stale' END AS decision FROM stg_user_states""")
 def freshness_gate(spark: SparkSession, sf: str) -> DataFrame:
-    return q.freshness_gate(model.staged(spark, sf, "user_states"), "load_datetime", _ntz(NOW), timedelta(hours=12))
+    return q.freshness_gate(spark, model.staged(spark, sf, "user_states"), "load_datetime", _ntz(NOW), timedelta(hours=12))
 
 
 # --- domain report ---------------------------------------------------------------------------------

@@ -134,6 +134,12 @@ def test_full_run_delta_and_rerun(spark, lake, sf_dir):
     second = dict(content(lake.counts(["raw_vault", "mart"])))
     build.apply_delta(lake, spark, sf_dir, AS_OF)
     assert dict(content(lake.counts(["raw_vault", "mart"]))) == second
+    results = build.run_tests(lake, datetime(2024, 1, 31), "r1", store_failures=True)
+    assert results.count() == 48
+    early = lake.read("dq_audit", "pair_a_not_below_b_stg_orders_shipped_date_order_date")
+    assert early.count() == results.where("test = 'pair_a_not_below_b'").first()["failures"]
+    build.run_freshness(lake, datetime(2024, 1, 31), "r1")
+    assert build.run_freshness(lake, datetime(2024, 1, 31), "r1").count() == 5
     new = spark.read.parquet(f"{sf_dir}/supplier.parquet").count()
     changed = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_acctbal < 0").count()
     assert second["raw_vault.hub_customer"] - first["raw_vault.hub_customer"] == new

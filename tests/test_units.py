@@ -190,3 +190,29 @@ def test_readable_age(spark):
         return f"{int(s / 60)} Min" if h < 1 else f"{h:.1f} Std" if h < 48 else f"{h / 24:.1f} Tage"
 
     assert [r[0] for r in df.select(readable_age(F.col("s"))).collect()] == [expected(v) for v in values]
+
+
+def test_missing_table_is_stale(spark):
+    from datetime import timedelta
+
+    from pyspark.sql import functions as F
+
+    from lakevault.operators.quality import freshness_gate
+
+    now = F.lit("2024-01-31").cast("timestamp_ntz")
+    empty = spark.createDataFrame([], "t timestamp_ntz")
+    for table in (None, empty):
+        assert freshness_gate(spark, table, "t", now, timedelta(hours=12)).first()["decision"] == "proceed_stale"
+    fresh = spark.createDataFrame([(datetime(2024, 1, 30, 13),)], "t timestamp_ntz")
+    assert freshness_gate(spark, fresh, "t", now, timedelta(hours=12)).first()["decision"] == "proceed_fresh"
+
+
+def test_tests_are_chosen_by_tag(spark):
+    from lakevault.operators.quality import select
+    from lakevault.plans.queries_quality import all_tests
+
+    tests = all_tests()
+    assert len(tests) == 48
+    assert len(select(tests, ["business-logic"])) == 5
+    assert [t.name for t in select(tests, ["quality"], exclude=["demo-highlight"])].count("pair_a_not_below_b") == 0
+    assert {t.severity for t in select(tests, ["freshness", "demo-highlight"])} == {"warn"}
