@@ -214,6 +214,13 @@ class Freshness:
     error_after: timedelta | None = None
 
 
+def _seconds(span: Column) -> Column:
+    """The length of a day-time interval; needs no time zone, unlike a difference of instants."""
+    part = lambda unit: F.extract(F.lit(unit), span)
+    whole = part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60
+    return (whole + part("SECOND")).cast("double")
+
+
 def source_freshness(tables: Mapping[str, DataFrame], rules: Sequence[Freshness], now: Column) -> DataFrame:
     """Age of the newest row per table against its limits; tables without any limit are left out."""
     out = None
@@ -221,9 +228,9 @@ def source_freshness(tables: Mapping[str, DataFrame], rules: Sequence[Freshness]
         if rule.warn_after is None and rule.error_after is None:
             continue
         newest = tables[rule.table].agg(F.max(rule.loaded_at).alias("max_loaded_at"))
-        age = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp")))
         aged = newest.select(
-            F.lit(rule.table).alias("table_name"), "max_loaded_at", (age / F.lit(1e6)).alias("age_seconds"))
+            F.lit(rule.table).alias("table_name"), "max_loaded_at",
+            _seconds(now - F.col("max_loaded_at")).alias("age_seconds"))
         status = F.when(F.col("max_loaded_at").isNull(), "error")
         for level, limit in (("error", rule.error_after), ("warn", rule.warn_after)):
             if limit is not None:
