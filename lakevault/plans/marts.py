@@ -97,7 +97,8 @@ def product_sales(vault, discount_scale: int = 100) -> DataFrame:
     cost = F.col("standard_cost") * F.col("total_quantity_sold").cast("decimal(19,2)")
     return products.join(sold, "product_hk", "left").select(
         "product_id", "product_code", "product_name", "category", "list_price", "standard_cost",
-        F.coalesce("orders_count", F.lit(0)).alias("orders_count"), "total_quantity_sold",
+        F.coalesce("orders_count", F.lit(0)).alias("orders_count"),
+        F.col("total_quantity_sold").cast("decimal(38,2)").alias("total_quantity_sold"),
         _scaled("_sum", discount_scale).alias("total_revenue"),
         (F.col("_gross") - cost).cast("double").alias("estimated_margin"),
     )

@@ -249,7 +249,7 @@ def freshness_gate(spark: SparkSession, sf: str) -> DataFrame:
 # --- domain report ---------------------------------------------------------------------------------
 
 _ANOMALY = """SELECT id AS order_id, CAST(order_date AS DATE) AS ordered, CAST(shipped_date AS DATE) AS shipped,
-        date_diff('day', CAST(shipped_date AS DATE), CAST(order_date AS DATE)) AS days_early, order_status
+        CAST(date_diff('day', CAST(shipped_date AS DATE), CAST(order_date AS DATE)) AS INTEGER) AS days_early, order_status
         FROM raw_orders WHERE shipped_date < order_date"""
 
 
@@ -361,8 +361,8 @@ def dq_trend(spark: SparkSession, sf: str) -> DataFrame:
     return artefacts.failures_per_day(test_log(spark, sf))
 
 
-@query("dq_headline", """SELECT count(*) AS total, count_if(status IN ('pass', 'success')) AS passed,
-        count_if(status = 'warn') AS warned, count_if(status IN ('fail', 'error')) AS failed FROM log""", log=_LOG)
+@query("dq_headline", """SELECT count(*) AS total, count(*) FILTER (status IN ('pass', 'success')) AS passed,
+        count(*) FILTER (status = 'warn') AS warned, count(*) FILTER (status IN ('fail', 'error')) AS failed FROM log""", log=_LOG)
 def dq_headline(spark: SparkSession, sf: str) -> DataFrame:
     return artefacts.headline(test_log(spark, sf))
 
@@ -461,7 +461,7 @@ def freshness_parse(spark: SparkSession, sf: str) -> DataFrame:
         concat_ws('-', o_orderstatus, NULL, o_orderpriority) AS joined_ws,
         coalesce(nullif(o_orderstatus, 'P'), 'none') AS filled, sha256(o_orderpriority) AS sha,
         md5(cast(o_orderkey AS VARCHAR)) AS md, cast(o_orderkey AS VARCHAR) AS as_text,
-        date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS days_ago, CAST(o_orderdate AS DATE) AS day,
+        CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS INTEGER) AS days_ago, CAST(o_orderdate AS DATE) AS day,
         CASE WHEN o_orderstatus IN ('F', 'O') THEN 'known' WHEN o_orderpriority LIKE '1-%' THEN 'urgent'
             ELSE 'other' END AS kind, regexp_matches(o_orderpriority, '^[0-9]-[A-Z ]+$') AS well_formed,
         CAST(o_custkey AS DOUBLE) * 3 / 4 - 1 AS arithmetic,
@@ -497,7 +497,7 @@ def _counted(name: str, layer: str = "") -> str:
 
 
 @query("layer_row_counts", " UNION ALL ".join(
-    f"SELECT '{layer}' AS layer, {len(names)} AS tables, " + " + ".join(_counted(n, layer) for n in names)
+    f"SELECT '{layer}' AS layer, CAST({len(names)} AS BIGINT) AS tables, " + " + ".join(_counted(n, layer) for n in names)
     + " AS row_count" for layer, names in _LAYERS.items()))
 def layer_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = build.warehouse(spark, sf, AS_OF).counts(list(_LAYERS))
@@ -506,7 +506,7 @@ def layer_row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("domain_row_counts", " UNION ALL ".join(
-    f"SELECT '{d}' AS domain, {len(names)} AS tables, " + " + ".join(_counted(n) for n in names) + " AS row_count"
+    f"SELECT '{d}' AS domain, CAST({len(names)} AS BIGINT) AS tables, " + " + ".join(_counted(n) for n in names) + " AS row_count"
     for d, names in model.DOMAINS.items()))
 def domain_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = build.warehouse(spark, sf, AS_OF).counts(["raw_vault", "mart"])
@@ -516,12 +516,12 @@ def domain_row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("src_contract_check", """SELECT 'customers' AS table_name, count(*) AS row_count,
-        count(*) - count(DISTINCT id) AS repeated_keys, count_if(id IS NULL) AS missing_keys FROM raw_customers
-        UNION ALL SELECT 'orders', count(*), count(*) - count(DISTINCT id), count_if(id IS NULL) FROM raw_orders
+        count(*) - count(DISTINCT id) AS repeated_keys, count(*) FILTER (id IS NULL) AS missing_keys FROM raw_customers
+        UNION ALL SELECT 'orders', count(*), count(*) - count(DISTINCT id), count(*) FILTER (id IS NULL) FROM raw_orders
         UNION ALL SELECT 'order_details', count(*), count(*) - count(DISTINCT (order_id, product_id)),
-            count_if(order_id IS NULL OR product_id IS NULL) FROM raw_order_details
+            count(*) FILTER (order_id IS NULL OR product_id IS NULL) FROM raw_order_details
         UNION ALL SELECT 'lineitem', count(*), count(*) - count(DISTINCT (l_orderkey, l_partkey)),
-            count_if(l_orderkey IS NULL OR l_partkey IS NULL) FROM lineitem""")
+            count(*) FILTER (l_orderkey IS NULL OR l_partkey IS NULL) FROM lineitem""")
 def src_contract_check(spark: SparkSession, sf: str) -> DataFrame:
     from lakevault.sources.contracts import check_key
 

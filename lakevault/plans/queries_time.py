@@ -329,9 +329,9 @@ def psa_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return scd.as_of(customer_history(spark, sf, 4), _ntz(datetime(2024, 1, 25)))
 
 
-@query("psa_status", """SELECT count(*) AS total, count_if(ng_is_current = 1 AND ng_is_deleted = 0) AS current_versions,
-        count_if(ng_is_deleted = 1) AS deleted, count(*) - count_if(ng_is_current = 1 AND ng_is_deleted = 0)
-        - count_if(ng_is_deleted = 1) AS historic FROM psa_4""", **PSA_PARTS)
+@query("psa_status", """SELECT total, current_versions, deleted, total - current_versions - deleted AS historic FROM (
+        SELECT count(*) AS total, count(*) FILTER (ng_is_current = 1 AND ng_is_deleted = 0) AS current_versions,
+        count(*) FILTER (ng_is_deleted = 1) AS deleted FROM psa_4)""", **PSA_PARTS)
 def psa_status(spark: SparkSession, sf: str) -> DataFrame:
     return scd.status(customer_history(spark, sf, 4))
 

@@ -53,7 +53,7 @@ def stage_hashdiff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("stage_ranked", """SELECT id, customer_id, change_date, order_hk, delivery_rank FROM (
-        SELECT *, row_number() OVER (PARTITION BY customer_id, change_date ORDER BY id) AS delivery_rank
+        SELECT *, CAST(row_number() OVER (PARTITION BY customer_id, change_date ORDER BY id) AS INTEGER) AS delivery_rank
         FROM stg_orders)""")
 def stage_ranked(spark: SparkSession, sf: str) -> DataFrame:
     spec = StageSpec(
@@ -97,7 +97,7 @@ def sat_user_versions(spark: SparkSession, sf: str) -> DataFrame:
     return ops.sat_rows(model.staged(spark, sf, "user_states"), None, model.USER_SAT)
 
 
-@query("sat_reload_adds_nothing", "SELECT 'sat_customer' AS table_name, 0 AS row_count "
+@query("sat_reload_adds_nothing", "SELECT 'sat_customer' AS table_name, CAST(0 AS BIGINT) AS row_count "
        "UNION ALL SELECT 'sat_user', 0 UNION ALL SELECT 'hub_order', 0")
 def sat_reload_adds_nothing(spark: SparkSession, sf: str) -> DataFrame:
     """Loading a batch a second time finds every row stored already."""
