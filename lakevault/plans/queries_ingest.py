@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakevault.operators.staging import stage
-from lakevault.operators.vault import HubSpec, count_tables, key_rows, sat_rows
+from lakevault.operators.vault import HubSpec, count_tables, key_rows
 from lakevault.plans import build, model, raw
 from lakevault.plans.queries_quality import NOW, _SUITE_SQL
 from lakevault.plans.queries_time import AS_OF
@@ -25,10 +25,6 @@ from lakevault.streaming import streams
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-
-
 # --- file sources ------------------------------------------------------------------------------
 
 @query("src_csv_roundtrip", "SELECT * FROM raw_orders")

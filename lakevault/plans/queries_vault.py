@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakevault.functions.hashing import hash_key, hashdiff
 from lakevault.operators import vault as ops
 from lakevault.operators.ordered import intervals
-from lakevault.operators.staging import Diff, Rank, StageSpec, stage
+from lakevault.operators.staging import Rank, StageSpec, stage
 from lakevault.plans import marts, model, raw
 from lakevault.plans.checks import diff_sql, key_sql
 from lakevault.plans.initial import Vault

@@ -212,10 +212,7 @@ class Lake:
         aligned = shape.unionByName(rows, allowMissingColumns=True)
         aligned.write.mode("overwrite").insertInto(target)
 
-    # --- views, drop, counts ---
-
-    def view(self, layer: str, table: str, sql: str) -> None:
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS {sql}")
+    # --- drop, counts ---
 
     def drop(self, layer: str, table: str) -> None:
         kind = "VIEW" if self.exists(layer, table) and self._is_view(layer, table) else "TABLE"

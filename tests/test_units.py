@@ -8,7 +8,7 @@ import pytest
 
 from lakevault.functions.runs import readable_age
 from lakevault.operators.access import AmbiguousModelError, MissingLinkError, VaultModel, short_alias, view_name
-from lakevault.operators.vault import HubSpec, LinkSpec, SatSpec
+from lakevault.operators.vault import HubSpec, SatSpec
 from lakevault.plans import build, model
 from lakevault.sources import files, paged_api, relational
 from lakevault.sources.ingest import coerce_initial_value, from_config, load_configs
