@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import exact_dedup
+from lakevault.llm import exact_dedup, poisson_mix, warc
 from lakevault.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,45 @@ def _query(name: str, sql: str | None = None):
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.dedup_documents(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+MIX_POWER, MIX_SEED = 0.7, 17
+
+
+@_query(
+    "op9_poisson_mix",
+    f"""
+    WITH RECURSIVE sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+    rates AS (SELECT source, pow(n::DOUBLE, {MIX_POWER}) / sum(pow(n::DOUBLE, {MIX_POWER})) OVER () * sum(n) OVER ()::DOUBLE / n AS rate FROM sizes),
+    pieces AS (SELECT source, greatest(1, ceil(rate / 8))::INT AS pieces, rate / greatest(1, ceil(rate / 8)) AS mean FROM rates),
+    cdf(source, k, p, c) AS (
+        SELECT source, 0, exp(-mean), exp(-mean) FROM pieces
+        UNION ALL SELECT cdf.source, k + 1, p * mean / (k + 1), c + p * mean / (k + 1)
+        FROM cdf JOIN pieces ON cdf.source IS NOT DISTINCT FROM pieces.source WHERE k < 63),
+    draws AS (
+        SELECT doc_id, d.source, ('0x' || substr(md5('{MIX_SEED}|' || doc_id || '|' || i), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+        FROM documents d JOIN pieces p ON d.source IS NOT DISTINCT FROM p.source, LATERAL (SELECT unnest(generate_series(1, p.pieces)) AS i) s),
+    counts AS (SELECT doc_id, count(*) AS n FROM draws JOIN cdf ON draws.source IS NOT DISTINCT FROM cdf.source AND c <= u GROUP BY doc_id),
+    copies AS (SELECT doc_id, unnest(generate_series(1, n)) AS copy FROM counts)
+    SELECT d.*, copy::INT AS copy, ('0x' || substr(md5('order|{MIX_SEED}|' || doc_id || '|' || copy), 1, 15))::BIGINT AS shuffle_key
+    FROM copies JOIN documents d USING (doc_id)
+    """,
+)
+def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poisson_mix.mix(table(spark, sf_dir, "documents"), power=MIX_POWER, seed=MIX_SEED)
+
+
+@_query(
+    "op5_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+    k AS (SELECT *, octet_length(encode(t)) AS payload_bytes, sha1(t) AS payload_digest FROM p),
+    g AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS keeper FROM k)
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+    FROM g
+    """,
+)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_records(spark, warc.archive_pages(table(spark, sf_dir, "pages")))
