@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import exact_dedup, packing, poisson_mix, warc
+from lakevault.llm import bitslice, exact_dedup, packing, poisson_mix, warc
 from lakevault.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,18 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_best_fit_packing")
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@_query(
+    "op8_bitslice_top_k",
+    """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+        FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op8_bitslice_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.search_table(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
