@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import bitslice, chat, exact_dedup, packing, poisson_mix, warc
+from lakevault.llm import bitslice, chat, exact_dedup, packing, poisson_mix, secrets, warc
 from lakevault.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], given.schema)
     return chat.read_back(chat.format_windows(given.unionByName(planted)))
+
+
+@_query("op6_secret_ownership")
+def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_table(table(spark, sf_dir, "documents"))
