@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import bitslice, chat, exact_dedup, packing, poisson_mix, secrets, warc
+from lakevault.llm import bitslice, chat, exact_dedup, packing, poisson_mix, secrets, toxicity, warc
 from lakevault.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,9 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_secret_ownership")
 def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_table(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_toxic_severity")
+def op7_toxic_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
