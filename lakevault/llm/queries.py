@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import bitslice, chat, exact_dedup, near_dedup, packing, poisson_mix, secrets, toxicity, warc
+from lakevault.llm import bitslice, chat, exact_dedup, near_dedup, packing, poisson_mix, secrets, substring_dedup, toxicity, warc
 from lakevault.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,8 @@ def op7_toxic_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_near_dedup")
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
+@_query("op1_repeated_passages")
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
