@@ -11,9 +11,9 @@ per shingle and coordinate.
 
 Samples are joined in bands. Documents with equal shingles are one node. In every bucket of a band
 all nodes are compared with one leader (a star, never all pairs), by their exact weighted Jaccard
-similarity. What is then connected needs no more comparison; where a bucket still holds several
-components, the nodes outside its largest component are compared with all nodes of other
-components. So every pair of nodes that shares a bucket is either verified or already connected,
+similarity, the leader being the node with the most company over all buckets. What is then connected
+needs no more comparison; where a bucket still holds several components, the nodes outside its
+largest component are compared, block by block, with all nodes of other components. So every pair of nodes that shares a bucket is either verified or already connected,
 without a limit on the size of buckets.
 
 Defined results
@@ -36,14 +36,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import stored, text_of
+from lakevault.llm.common import compacted, stored, text_of
 from lakevault.llm.components import components
 from lakevault.llm.shingles import mixed, shingle_hashes, word_hashes
 
-BANDS, ROWS = 21, 6
+BANDS, ROWS = 25, 8
 SIMILARITY = 0.8
 #: documents signed together hold about this many shingles
 BATCH_SHINGLES = 150_000
+#: nodes of a bucket compared together
+BLOCK = 64
 #: the first step of time; steps double up to the last one
 FIRST_STEP, LAST_STEP = 2.0**-6, 8.0
 
@@ -178,10 +180,7 @@ def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _similar(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose exact similarity reaches ``similarity``.
-
-    Shingles of the documents in question are cut out of the sketch first; then the pairs fetch them.
-    """
+    """The pairs ``(a, b)`` whose exact similarity reaches ``similarity``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,12 +188,10 @@ def _similar(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFr
             same = [weighted_jaccard(np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4")) >= similarity for x, y in zip(left, right)]
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(same, pa.bool_()))
 
-    asked = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
-    needed = stored(sketches.select("row", "shingles").join(asked, "row", "left_semi"), "needed-shingles")
-    left = needed.select(F.col("row").alias("a"), F.col("shingles").alias("left"))
-    right = needed.select(F.col("row").alias("b"), F.col("shingles").alias("right"))
+    left = sketches.select(F.col("row").alias("a"), F.col("shingles").alias("left"))
+    right = sketches.select(F.col("row").alias("b"), F.col("shingles").alias("right"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return stored(joined.mapInArrow(work, "a long, b long"), "similar")
+    return compacted(joined.mapInArrow(work, "a long, b long"), "similar")
 
 
 def _near_sizes(similarity: float, one: str, other: str):
@@ -204,26 +201,87 @@ def _near_sizes(similarity: float, one: str, other: str):
 
 def node_links(nodes: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame | None:
     """Roots of connected nodes: ``(node, root)``. ``nodes``: ``row, n, bands``, one per distinct text."""
-    entries = stored(nodes.select("row", "n", F.explode("bands").alias("key")), "band-entries")
-    leaders = entries.groupBy("key").agg(F.min(F.struct("row", "n")).alias("leader"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    full = stored(entries.join(leaders, "key").select("key", "row", "n", F.col("leader.row").alias("leader"), F.col("leader.n").alias("leader_n")), "band-buckets")
+    entries = compacted(nodes.select("row", "n", F.explode("bands").alias("key")), "band-entries")
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    full = compacted(entries.join(shared, "key"), "band-buckets")
+    # the leader of a bucket is its node with the most company: the original among its edited copies
+    company = full.groupBy("row").agg(F.sum("members").alias("company"))
+    full = compacted(full.drop("members").join(company, "row"), "band-company")
+    leaders = full.groupBy("key").agg(F.max(F.struct("company", "row", "n")).alias("leader"))
+    full = compacted(full.join(leaders, "key").select("key", "row", "n", F.col("leader.row").alias("leader"), F.col("leader.n").alias("leader_n")), "band-leaders")
     star = full.filter(F.col("row") != F.col("leader")).filter(_near_sizes(similarity, "n", "leader_n"))
-    star = stored(star.select(F.col("leader").alias("a"), F.col("row").alias("b")).distinct(), "star")
+    star = compacted(star.select(F.least("leader", "row").alias("a"), F.greatest("leader", "row").alias("b")).distinct(), "star")
+    # the shingles of nodes that share a bucket at all are cut out once
+    asked = full.select("row").distinct()
+    sketches = stored(sketches.select("row", "shingles").join(asked, "row", "left_semi"), "needed-shingles")
     linked = _similar(star, sketches, similarity)
     roots = components(linked)
 
     # buckets that hold more than one component: what is outside the largest meets all the others
     named = full.join(roots.select(F.col("node").alias("row"), "root"), "row", "left").select("key", "row", "n", F.coalesce("root", "row").alias("root"))
-    named = stored(named, "band-components")
+    named = compacted(named, "band-components")
     sizes = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    mixed_ = named.join(largest.select("key", F.col("top.root").alias("main")), "key")
-    outside = mixed_.filter("root <> main").select("key", F.col("row").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"))
-    meets = mixed_.select("key", F.col("row").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), "main")
-    cross = outside.join(meets, "key").filter("xr <> yr AND (yr = main OR x < y)").filter(_near_sizes(similarity, "xn", "yn"))
-    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    cross = stored(cross.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "cross")
-    return components(linked.union(_similar(cross, sketches, similarity)))
+    apart = named.join(largest.select("key", F.col("top.root").alias("main")), "key")
+    return components(linked.union(_across(apart, sketches, similarity)))
+
+
+def _across(apart: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """Similar pairs between components of a bucket: ``apart`` has ``key, row, root, main``.
+
+    Members are dealt into blocks of about ``BLOCK``, those outside the main component apart from those
+    inside. A cell is a pair of blocks with at least one outside; shingles are sent once per cell, not
+    once per pair, and a task holds one cell.
+    """
+    sizes = apart.groupBy("key").agg(*[F.ceil(F.count_if(c) / F.lit(BLOCK)).cast("int").alias(x) for x, c in (("outer", F.col("root") != F.col("main")), ("inner", F.col("root") == F.col("main")))])
+    place = F.pmod(F.xxhash64("row"), F.greatest(F.when(F.col("root") == F.col("main"), F.col("inner")).otherwise(F.col("outer")), F.lit(1))).cast("int")
+    dealt = apart.join(sizes, "key").withColumn("place", place)
+    outer, inner = (F.sequence(F.lit(0), F.col(x) - 1) for x in ("outer", "inner"))
+    of_main = F.transform(outer, lambda i: F.struct(F.lit(1).alias("kind"), i.alias("i"), F.col("place").alias("j")))
+    of_outer = F.concat(
+        F.transform(outer, lambda j: F.struct(F.lit(0).alias("kind"), F.least("place", j).alias("i"), F.greatest("place", j).alias("j"))),
+        F.transform(inner, lambda j: F.struct(F.lit(1).alias("kind"), F.col("place").alias("i"), j.alias("j"))),
+    )
+    cells = dealt.select("key", "row", "root", "place", F.explode(F.when(F.col("root") == F.col("main"), of_main).otherwise(of_outer)).alias("cell"))
+    sent = cells.join(sketches.select("row", "shingles"), "row").select("key", F.col("cell.kind").alias("kind"), F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "row", "root", "place", "shingles")
+
+    def compared(members: list[tuple]) -> Iterator[tuple[int, int]]:
+        """Pairs of one cell; two different blocks of the outside meet only each other."""
+        kind, i, j = members[0][1:4]
+        held = [(row, root, place, *np.unique(np.frombuffer(raw, "<u4"), return_counts=True)) for *_, row, root, place, raw in members]
+        for at, (row, root, place, x, nx) in enumerate(held):
+            total = nx.sum()
+            for other, other_root, other_place, y, ny in held[at + 1 :]:
+                if root == other_root or kind == 0 and i < j and place == other_place:
+                    continue
+                both = total + ny.sum()
+                if min(total, ny.sum()) < similarity * max(total, ny.sum()):
+                    continue
+                _, p, q = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+                common = np.minimum(nx[p], ny[q]).sum()
+                if common >= similarity * (both - common):
+                    yield min(row, other), max(row, other)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members: list[tuple] = []
+        for batch in batches:
+            found = []
+            for one in zip(*(c.to_pylist() for c in batch.columns)):
+                if members and members[0][:4] != one[:4]:
+                    found += compared(members)
+                    members = []
+                members.append(one)
+            if found:
+                yield _pairs(found)
+        if members and (found := [*compared(members)]):
+            yield _pairs(found)
+
+    ordered = sent.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j", "row")
+    return compacted(ordered.mapInArrow(work, "a long, b long"), "similar-across")
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -235,10 +293,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     sketches = sketch(docs)
     best = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     same = sketches.groupBy("digest").agg(F.min("row").alias("row"), F.min(best).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    same = stored(same, "distinct-sketches")
+    same = compacted(same, "distinct-sketches")
     roots = node_links(same.select("row", "n", "bands"), sketches, similarity)
     named = same.join(roots.withColumnRenamed("node", "row"), "row", "left").select("digest", "first", "copies", F.coalesce("root", "row").alias("root"))
-    named = stored(named, "named-sketches")
+    named = compacted(named, "named-sketches")
     groups = named.groupBy("root").agg(F.min("first").alias("keeper"), F.sum("copies").alias("class_size"))
     by_digest = named.select("digest", "root").join(groups, "root").drop("root")
     own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
@@ -249,7 +307,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of every class, all columns as they are."""
-    kept = stored(classes(docs, similarity).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__kept")), "near-kept")
+    kept = compacted(classes(docs, similarity).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__kept")), "near-kept")
     marked = docs.withColumn("__hash", F.xxhash64(text_of()))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__kept"))
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__hash"]).drop("__hash")
