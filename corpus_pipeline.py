@@ -1,4 +1,10 @@
-"""The corpus pipeline: stages over ``documents``, each stored and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each stored and read again by the next.
+
+Toxic documents go, of equal texts and of near-duplicates one stays, sources are mixed to target
+weights (documents repeated or left out by their draw), and what is left is packed into sequences.
+Every stage works on all rows its predecessor kept and returns the columns it was given; the last one
+returns the pieces with their places. Null and odd values are treated as the operators' modules state.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +12,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakevault.llm import exact_dedup
+from lakevault.llm import exact_dedup, near_dedup, packing, poisson_mix, toxicity
 from lakevault.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, trained on the labelled ones among ``docs``, takes for toxic go."""
+    return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id stays."""
     return exact_dedup.keep_first(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the row with the smallest id stays."""
+    return near_dedup.keep_one(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows repeated by their Poisson count, in a new global order."""
+    return poisson_mix.mix(docs, copy_col="__copy", key_col="__shuffle_key").select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows and their places in sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [("toxicity", toxic), ("exact_dedup", exact), ("near_dedup", near), ("source_mix", mixed), ("best_fit_packing", packed)]
 
-#: a trained model and packing search are no SQL; tests hold the stages against brute force
+#: a trained model and a packing search are no SQL; tests hold the stages against brute force
 ORACLE_SQL: str | None = None
 
 

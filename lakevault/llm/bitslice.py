@@ -183,7 +183,7 @@ def _search(k: int):
         for block in left.itertuples():
             ids = np.frombuffer(block.ids, "<i8")
             base, depth = np.array(block.base, np.int64), np.array(block.depth, np.int64)
-            slices = np.frombuffer(block.slices, "<u8").reshape(int(depth.sum()), -1)
+            slices = np.frombuffer(block.slices, "<u8").reshape(int(depth.sum()), -(-len(ids) // 64))
             for query in right.itertuples():
                 q = np.zeros(len(base), np.int64)
                 n = min(len(base), len(query.q))

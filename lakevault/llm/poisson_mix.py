@@ -16,7 +16,7 @@ Defined results
 * a source without a target weight gets rate 0; weights are relative, negative ones are an error
 * rows repeated as a whole draw the same count
 * texts are carried, never read: empty, null and very long ones are alike
-* input columns called ``copy`` or ``shuffle_key`` are replaced, all others stay
+* input columns named like the two added ones (``copy``, ``shuffle_key``) are replaced, all others stay
 * empty documents: an empty result
 """
 
@@ -79,19 +79,21 @@ def mix(
     seed: int = 17,
     id_col: str = "doc_id",
     source_col: str = "source",
+    copy_col: str = "copy",
+    key_col: str = "shuffle_key",
 ) -> DataFrame:
-    """The mixed documents: all input columns, ``copy`` (from 1) and ``shuffle_key``.
+    """The mixed documents: all input columns, ``copy_col`` (from 1) and ``key_col``.
 
     ``weights``: target share per source; without it a source weighs its rows to ``power`` (1 leaves
     the mix as it is, 0 evens the sources out). ``total``: expected rows out, as many as in by default.
     """
     spread = with_distribution(target_rates(docs, weights, power, total, source_col))
     rates = stored(spread.select(F.col("source").alias("__source"), F.col("pieces").alias("__pieces"), F.col("cdf").alias("__cdf")), "mix-rates")
-    joined = docs.drop("copy", "shuffle_key").join(rates, F.col(source_col).eqNullSafe(F.col("__source")))
+    joined = docs.drop(copy_col, key_col).join(rates, F.col(source_col).eqNullSafe(F.col("__source")))
     draws = F.transform(F.sequence(F.lit(1), F.col("__pieces")), lambda i: uniform(F.lit(seed), F.col(id_col), i))
     count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter(F.col("__cdf"), lambda c: c <= u)))
     counted = joined.withColumn("__count", count).drop("__source", "__pieces", "__cdf").filter("__count > 0")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__count")))).drop("__count")
-    key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("order"), F.lit(seed), F.col(id_col), F.col("copy"))), 1, 15), 16, 10).cast("long")
-    keyed = copies.withColumn("shuffle_key", key)
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    copies = counted.withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("__count")))).drop("__count")
+    key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("order"), F.lit(seed), F.col(id_col), F.col(copy_col))), 1, 15), 16, 10).cast("long")
+    keyed = copies.withColumn(key_col, key)
+    return keyed.repartition(key_col).sortWithinPartitions(key_col)
