@@ -1,7 +1,8 @@
 """Stable text forms and the three hashes built on them.
 
 A hash is only as stable as the text it is taken over, so every type gets one pinned text form:
-decimals keep their scale, doubles go through decimal(18,4), zoned timestamps are counted in
+decimals keep their scale, doubles their shortest text that reads back as the same value (zero
+without a sign), zoned timestamps are counted in
 microseconds (independent of the session's zone), everything else uses the plain string cast.
 """
 
@@ -23,7 +24,7 @@ def text_form(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     col = F.col(name)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        col = col.cast(T.DecimalType(18, 4))
+        col = col.cast("double") + F.lit(0.0)  # -0.0 becomes 0.0
     elif isinstance(dtype, T.TimestampType):
         col = F.unix_micros(col)
     return col if isinstance(dtype, T.StringType) else col.cast("string")

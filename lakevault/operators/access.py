@@ -96,23 +96,15 @@ def view_name(sats: Sequence[str]) -> str:
     return "v_access_" + "_".join(s.removeprefix("sat_") for s in sats)
 
 
-def short_alias(name: str, kind: str) -> str:
-    """hub_customer -> h_cus, sat_order_detail -> s_ord_det, lnk_order_product -> l_ord_pro."""
-    prefix, _, rest = name.partition("_")
-    letters = {"hub": "h", "sat": "s", "link": "l"}
-    if kind not in letters or not rest:
-        return name[:4]
-    return letters[kind] + "_" + "_".join(part[:3] for part in rest.split("_"))
-
-
 def access_view(
     model: VaultModel, tables: Mapping[str, DataFrame], sats: Sequence[str], *,
     as_of: Column | None = None, extra: Mapping[str, tuple[DataFrame, Sequence[str]]] | None = None,
 ) -> DataFrame:
     """Natural keys of the involved hubs, then the payload of each chosen satellite.
 
-    The current version is taken, or with ``as_of`` the version the hub's point-in-time table
-    gives for that date. Equal payload names are told apart by the satellite's short alias.
+    The current version is taken, or with ``as_of`` the version valid at that date: from the hub's
+    point-in-time table if it holds the date (one existence check), else from the versions
+    themselves. Equal payload names are told apart by the satellite's name in front.
     ``extra`` adds tables that are not part of the vault, each with the columns to join on; there
     is no unconditioned join.
     """
@@ -130,15 +122,22 @@ def access_view(
         for column in model.sats[sat].payload:
             seen[column] = seen.get(column, 0) + 1
     names = {
-        (sat, c): c if seen[c] == 1 else f"{short_alias(sat, 'sat')}_{c}"
+        (sat, c): c if seen[c] == 1 else f"{sat}_{c}"
         for sat in sats for c in model.sats[sat].payload
     }
 
+    held: dict[str, bool] = {}
+
+    def holds(pit: str) -> bool:
+        if pit not in held:
+            held[pit] = bool(tables[pit].where(F.col("as_of_date") == as_of).limit(1).count())
+        return held[pit]
+
     def versions(sat: str) -> DataFrame:
         spec = model.sats[sat]
         kind, parent = parents[sat]
         pit = model.pit_of(parent) if kind == "hub" else None
-        if as_of is not None and pit and sat in model.pits[pit][1]:
+        if as_of is not None and pit and sat in model.pits[pit][1] and holds(pit):
             found = at_point(tables[pit].where(F.col("as_of_date") == as_of), tables[sat], spec.pk, sat)
         elif as_of is not None:
             found = current(tables[sat].where(F.col(spec.ldts) <= as_of), spec.pk)
@@ -195,3 +194,10 @@ def access_view(
             raise MissingLinkError(f"{name}: no columns to join on")
         view = view.join(df, list(on), "left")
     return view
+
+
+def store_access_view(lake, model: VaultModel, tables: Mapping[str, DataFrame], sats: Sequence[str], **options) -> str:
+    """Store an access view as ``mart.v_access_<satellites>``, replacing an earlier one; returns its name."""
+    name = view_name(sats)
+    lake.replace("mart", name, access_view(model, tables, sats, **options))
+    return name

@@ -1,9 +1,11 @@
 """Point-in-time tables.
 
 For every hub key and as-of date: which satellite version was valid. Only the load time of the
-version is needed, and the latest load time at or before a date is a maximum. So each satellite
-is read once into one hash aggregate with one ``max`` per date: combined on the map side, no range
-join, no window over a key's versions, and a key with very many versions costs nothing extra.
+version is needed, and the latest load time at or before a date is a maximum. Every version belongs
+to the first date at or after it (found by halving the date list); one hash aggregate, combined on
+the map side, keeps the latest version per key and date, and the few that are left per key are laid
+out over the dates up to the next one. So each satellite is read once for any number of dates, without
+a range join or a window over a key's versions, and a key with very many versions costs nothing extra.
 """
 
 from __future__ import annotations
@@ -11,56 +13,62 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.operators.ordered import first_per_key
 
 GHOST_KEY = "0" * 32
 GHOST_TIME = datetime(1900, 1, 1)
-DATES_PER_PASS = 48
 
 
 def _ntz(value: datetime):
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def _dates_before(ldts: str, dates: Sequence[datetime]) -> Column:
+    """How many of the ascending dates lie before a load time."""
+    steps, step = [], 1
+    while step <= len(dates):
+        steps.insert(0, step)
+        step *= 2
+    listed = F.array(*[_ntz(d) for d in dates])
+    halves = F.array(*[F.lit(s) for s in steps])
+    fits = lambda at: (at <= len(dates)) & (F.get(listed, at - 1) < F.col(ldts))
+    return F.aggregate(halves, F.lit(0), lambda at, s: F.when(fits(at + s), at + s).otherwise(at))
+
+
+def _laid_out(sat: DataFrame, pk: str, name: str, dates: Sequence[datetime], ldts: str) -> DataFrame:
+    """Per key one array over the dates: the load time valid at each, NULL before the first version."""
+    placed = sat.select(pk, F.col(ldts).alias("t"), _dates_before(ldts, dates).alias("i")).where(F.col("i") < len(dates))
+    latest = placed.groupBy(pk, "i").agg(F.max("t").alias("t"))
+    # at most one entry per date
+    found = latest.groupBy(pk).agg(F.sort_array(F.collect_list(F.struct("i", "t"))).alias("v"))
+    until = F.concat(F.slice(F.transform("v", lambda e: e["i"]), 2, len(dates)), F.array(F.lit(len(dates))))
+    runs = F.zip_with("v", until, lambda e, end: F.array_repeat(e["t"], (end - e["i"]).cast("int")))
+    lead = F.array_repeat(F.lit(None).cast("timestamp_ntz"), F.element_at("v", 1)["i"].cast("int"))
+    return found.select(pk, F.concat(lead, F.flatten(runs)).alias(name))
+
+
 def build_pit(
     hub: DataFrame, pk: str, satellites: dict[str, DataFrame], as_of_dates: Sequence[datetime],
     ldts: str = "load_datetime",
 ) -> DataFrame:
-    """Columns: pk, as_of_date, and per satellite ``<name>_pk`` and ``<name>_ldts``.
-
-    Long date lists are worked off in groups of ``DATES_PER_PASS`` so that the aggregate stays
-    inside generated code.
-    """
+    """Columns: pk, as_of_date, and per satellite ``<name>_pk`` and ``<name>_ldts``."""
     dates = sorted(set(as_of_dates))
     if not dates:
         raise ValueError("no as-of dates given")
-    passes = [dates[i:i + DATES_PER_PASS] for i in range(0, len(dates), DATES_PER_PASS)]
-    out = None
-    for group in passes:
-        part = _one_pass(hub, pk, satellites, group, ldts)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _one_pass(hub, pk, satellites, dates, ldts):
     spine = hub.select(pk)
     for name, sat in satellites.items():
-        valid = [
-            F.max(F.when(F.col(ldts) <= _ntz(d), F.col(ldts))).alias(f"_{name}_{i}")
-            for i, d in enumerate(dates)
-        ]
-        spine = spine.join(sat.groupBy(pk).agg(*valid), pk, "left")
-    slots = F.array(*[
-        F.struct(_ntz(d).alias("as_of_date"), *[F.col(f"_{n}_{i}").alias(n) for n in satellites])
-        for i, d in enumerate(dates)
-    ])
-    exploded = spine.select(pk, F.explode(slots).alias("_slot"))
-    columns = [F.col(pk), F.col("_slot.as_of_date").alias("as_of_date")]
+        spine = spine.join(_laid_out(sat, pk, f"_{name}", dates, ldts), pk, "left")
+    nothing = F.array_repeat(F.lit(None).cast("timestamp_ntz"), len(dates))
+    slots = F.arrays_zip(
+        F.array(*[_ntz(d) for d in dates]).alias("as_of_date"),
+        *[F.coalesce(F.col(f"_{name}"), nothing).alias(name) for name in satellites])
+    exploded = spine.select(pk, F.explode(slots).alias("_slot")).select(pk, "_slot.*")
+    columns = [F.col(pk), F.col("as_of_date")]
     for name in satellites:
-        found = F.col(f"_slot.{name}")
+        found = F.col(name)
         columns.append(F.when(found.isNotNull(), F.col(pk)).otherwise(F.lit(GHOST_KEY)).alias(f"{name}_pk"))
         columns.append(F.coalesce(found, _ntz(GHOST_TIME)).alias(f"{name}_ldts"))
     return exploded.select(*columns)
@@ -74,12 +82,3 @@ def at_point(
     versions = first_per_key(sat, [pk, ldts], [F.col(hashdiff)])
     pointer = pit.select(pk, "as_of_date", F.col(f"{sat_name}_ldts").alias(ldts))
     return pointer.join(versions, [pk, ldts])
-
-
-def missing_dates(stored: DataFrame, wanted: Sequence[datetime]) -> list[datetime]:
-    """Wanted dates the stored PIT does not have; at most one row per wanted date is collected."""
-    have = {
-        r[0] for r in stored.where(F.col("as_of_date").isin([_ntz(d) for d in wanted]))
-        .select("as_of_date").distinct().collect()
-    }
-    return [d for d in sorted(set(wanted)) if d not in have]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -219,6 +219,11 @@ def new_lake(spark, input_folder: str | None = None) -> Lake:
 
 # --- historised staging ---
 
+def _content(df: DataFrame, columns: Sequence[str]) -> tuple:
+    """Count and hash sum of rows: equal for equal contents, whatever their order."""
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first())
+
+
 def psa_run(lake: Lake, spec: scd.Scd2Spec, table: str, source: DataFrame, run_ts: datetime,
             detect_deletes: bool = True) -> None:
     """Apply one full delivery to a stored history.
@@ -226,16 +231,23 @@ def psa_run(lake: Lake, spec: scd.Scd2Spec, table: str, source: DataFrame, run_t
     A run writes two partitions: the current rows after it, and the rows it closed. Closed rows of
     earlier runs are not touched. The view is replaced last and names the newest run it trusts, so
     a run becomes visible at once, and one that died half way overwrites its own partitions when
-    it is repeated. Applying a run a second time does nothing.
+    it is repeated. Applying a run a second time does nothing; another delivery under the time of the
+    last run, or an older run, is refused.
     """
-    run = int(run_ts.strftime("%Y%m%d%H%M%S"))
+    run = int((run_ts - datetime(1970, 1, 1)) / timedelta(microseconds=1))
     view, store = lake.name("psa", table), lake.name("psa", f"{table}__runs")
     shown = int(lake.spark.catalog.getTable(view).description) if lake.exists("psa", table) else None
-    if shown is not None and run <= shown:
-        return
+    if shown is not None and run < shown:
+        raise ValueError(f"psa.{table}: a run at {run_ts} is older than the last one")
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     cleaned = scd.clean(source, spec)
     require_key(spec.source, cleaned, [spec.key])
+    if shown == run:
+        current = lake.read("psa", table).where("ng_is_current = 1")
+        held, brought = (_content(df, [spec.key, "ng_rowhash"]) for df in (current, cleaned))
+        if held != brought:
+            raise ValueError(f"psa.{table}: another delivery was applied at {run_ts} already")
+        return
     if shown is None:
         outcome = scd.first_delivery(cleaned, spec, now)
     else:

@@ -67,17 +67,18 @@ def revenue_per_customer(vault, discount_scale: int = 100) -> DataFrame:
 def order_overview(vault, discount_scale: int = 100) -> DataFrame:
     """Every order; customer, employee and totals where known."""
     orders = described(vault, "hub_order", "sat_order", "order_hk", "order_id")
-    customers = described(vault, "hub_customer", "sat_customer", "customer_hk", "customer_id").select(
-        "customer_hk", F.concat("name", F.lit(", "), "segment").alias("customer_name"), "segment")
-    employees = described(vault, "hub_employee", "sat_employee", "employee_hk", "employee_id").select(
-        "employee_hk", F.col("name").alias("employee_name"))
+    # names are joined to the links, so that orders without a customer or employee meet only by order
+    customers = vault["lnk_order_customer"].select("order_hk", "customer_hk").join(
+        described(vault, "hub_customer", "sat_customer", "customer_hk", "customer_id"), "customer_hk").select(
+        "order_hk", F.concat("name", F.lit(", "), "segment").alias("customer_name"), "segment")
+    employees = vault["lnk_order_employee"].select("order_hk", "employee_hk").join(
+        described(vault, "hub_employee", "sat_employee", "employee_hk", "employee_id"), "employee_hk").select(
+        "order_hk", F.col("name").alias("employee_name"))
     return (
         orders
         .join(order_items(vault, discount_scale).hint("merge"), "order_hk", "left")
-        .join(vault["lnk_order_customer"].select("order_hk", "customer_hk").hint("merge"), "order_hk", "left")
-        .join(vault["lnk_order_employee"].select("order_hk", "employee_hk").hint("merge"), "order_hk", "left")
-        .join(customers, "customer_hk", "left")
-        .join(employees, "employee_hk", "left")
+        .join(customers.hint("merge"), "order_hk", "left")
+        .join(employees.hint("merge"), "order_hk", "left")
         .select(
             "order_id", "order_date", "shipped_date", "order_status", "payment_type", "shipping_fee",
             "customer_name", F.col("segment").alias("company"), "employee_name", "line_items",
@@ -91,10 +92,12 @@ def product_sales(vault, discount_scale: int = 100) -> DataFrame:
     sold = order_lines(vault).groupBy("product_hk").agg(
         F.count(F.lit(1)).alias("orders_count"), F.sum("quantity").alias("total_quantity_sold"),
         F.sum(F.col("quantity") * F.col("unit_price")).alias("_gross"),
+        # lines without a price are in no part of the margin
+        F.sum(F.when(F.col("unit_price").isNotNull(), F.col("quantity"))).alias("_priced"),
         _revenue_sum(discount_scale).alias("_sum"),
     )
     products = described(vault, "hub_product", "sat_product", "product_hk", "product_id")
-    cost = F.col("standard_cost") * F.col("total_quantity_sold").cast("decimal(19,2)")
+    cost = F.col("standard_cost") * F.col("_priced").cast("decimal(19,2)")
     return products.join(sold, "product_hk", "left").select(
         "product_id", "product_code", "product_name", "category", "list_price", "standard_cost",
         F.coalesce("orders_count", F.lit(0)).alias("orders_count"),

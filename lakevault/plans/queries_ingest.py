@@ -18,12 +18,10 @@ from lakevault.plans.queries_quality import NOW, _SUITE_SQL
 from lakevault.plans.queries_time import AS_OF
 from lakevault.plans.registry import query
 from lakevault.session import work_folder
-from lakevault.sources import files, paged_api
-from lakevault.sources.ingest import IngestSpec, from_config, ingest
+from lakevault.sources import files
+from lakevault.sources.ingest import IngestSpec, from_config, ingest, last_cursor
 from lakevault.streaming import streams
 
-EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
 
 # --- file sources ------------------------------------------------------------------------------
 
@@ -51,20 +49,16 @@ _register_drop("jsonl", "part-*.json", "SELECT * FROM events")
 _register_drop("parquet", "*.parquet", "SELECT * FROM events")
 
 
-@query("src_rest_pages", "SELECT * FROM events")
-def src_rest_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """All pages of a paged API; the pages are cut from the event table."""
-    paged_api.register(spark, "events_api", paged_api.parquet_fetch(f"{sf}/events.parquet", "event_id", 1000))
-    return paged_api.read_resource(spark, "events_api", "https://api.invalid", "/events", EVENTS,
-                                   auth={"type": "bearer", "token": "t"})
-
-
-@query("src_rest_incremental", "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'")
-def src_rest_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """The cursor travels as a query parameter."""
-    paged_api.register(spark, "events_api", paged_api.parquet_fetch(f"{sf}/events.parquet", "event_id", 1000))
-    return paged_api.read_resource(spark, "events_api", "https://api.invalid", "/events", EVENTS,
-                                   incremental={"cursor": "ts"}, last="2024-01-20 00:00:00")
+@query("seed_load", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def seed_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV seed with inferred types, loaded twice: the second run replaces the first."""
+    lake = build.new_lake(spark, sf)
+    nations = raw.given(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    folder = work_folder(spark, "seed")
+    files.write_drops(nations, folder, "csv")
+    for _ in range(2):
+        files.load_seed(lake, "seed_nation", folder)
+    return lake.read("staging", "seed_nation")
 
 
 # --- dispositions ----------------------------------------------------------------------------------
@@ -157,7 +151,8 @@ def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
         CAST(max(ts) AS VARCHAR) AS cursor_value FROM events WHERE ts < TIMESTAMP '{_BREAK}'
         UNION ALL SELECT 'events', 'events', 'load-2', CAST(max(ts) AS VARCHAR) FROM events""")
 def ingest_cursor_state(spark: SparkSession, sf: str) -> DataFrame:
-    return _two_loads(spark, sf)[0].read("meta", "cursors")
+    loads = _two_loads(spark, sf)[0].read("meta", "loads")
+    return loads.select("pipeline", "table_name", "load_id", "cursor_value")
 
 
 @query("ingest_load_log", f"""SELECT 'events' AS pipeline, 'raw' AS dataset, 'events' AS table_name, 'load-1' AS load_id,
@@ -167,7 +162,57 @@ def ingest_cursor_state(spark: SparkSession, sf: str) -> DataFrame:
         WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '{_BREAK}')""")
 def ingest_load_log(spark: SparkSession, sf: str) -> DataFrame:
     """The second load reads from the first one's last row on; that row is loaded twice and merged."""
-    return _two_loads(spark, sf)[0].read("meta", "loads")
+    return _two_loads(spark, sf)[0].read("meta", "loads").drop("cursor_value", "cursor_type")
+
+
+def _append_spec(folder: str) -> IngestSpec:
+    return _drop_spec(folder, "events", "append", **_CURSOR)
+
+
+@query("ingest_append_incremental", "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-03 00:00:00'")
+def ingest_append_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """One drop appended twice, and once more in full: rows at the cursor are stored once."""
+    lake = build.new_lake(spark, sf)
+    events = raw.given(spark, sf, "events")
+    early = events.where(f"ts < TIMESTAMP_NTZ '{_BREAK}'")
+    return _deliver(lake, "events", "append", [early, early, events, events], **_CURSOR)
+
+
+@query("ingest_retry", "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-03 00:00:00'")
+def ingest_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """Both loads die after writing and before their log row, and are repeated under their load ids."""
+    lake = build.new_lake(spark, sf)
+    events = raw.given(spark, sf, "events")
+    for number, delivery in enumerate((events.where(f"ts < TIMESTAMP_NTZ '{_BREAK}'"), events), 1):
+        folder = f"{lake.root}/drops/retry/{number}"
+        delivery.write.parquet(folder)
+        spec = _append_spec(folder)
+        for append in (_refused, None):
+            try:
+                lake.append = append or type(lake).append.__get__(lake)
+                ingest(lake, spec, f"load-{number}")
+            except ConnectionError:
+                continue
+    return lake.read("raw", "events").drop("_load_id")
+
+
+def _refused(layer: str, table: str, df: DataFrame, **kwargs) -> None:
+    raise ConnectionError(f"died before {layer}.{table}")
+
+
+@query("ingest_cursor_many_loads", """SELECT 'load-' || (8 + n) AS load_id, CAST(max(ts) AS VARCHAR) AS cursor_value,
+        (SELECT CAST(max(ts) AS VARCHAR) FROM events WHERE ts < TIMESTAMP '2024-01-26 00:00:00') AS last_cursor
+        FROM events, range(1, 4) r(n) WHERE ts < TIMESTAMP '2024-01-08 00:00:00' + to_days(CAST(6 * n AS INTEGER)) GROUP BY n""")
+def ingest_cursor_many_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Load ids 9 to 11 do not sort as text; the cursor is the highest value all the same."""
+    lake = build.new_lake(spark, sf)
+    events = raw.given(spark, sf, "events")
+    for number, until in ((9, "2024-01-14"), (10, "2024-01-20"), (11, "2024-01-26")):
+        folder = f"{lake.root}/drops/many/{number}"
+        events.where(f"ts < TIMESTAMP_NTZ '{until} 00:00:00'").write.parquet(folder)
+        ingest(lake, _append_spec(folder), f"load-{number}")
+    last = last_cursor(lake, "events", "events")
+    return lake.read("meta", "loads").select("load_id", "cursor_value", F.lit(last).alias("last_cursor"))
 
 
 # --- stored tables -------------------------------------------------------------------------------------
@@ -265,13 +310,12 @@ def stream_vault_load(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_dedup", "SELECT * FROM events")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole log delivered twice: every event is stored once. The log spans less than the
-    31 days the state is kept."""
+    """The whole log delivered twice: every event is stored once, however late it comes."""
     lake = build.new_lake(spark, sf)
     events = raw.given(spark, sf, "events")
     events.unionByName(events).write.parquet(f"{lake.root}/in")
     stream = streams.read_table_stream(spark, f"{lake.root}/in", events.schema)
-    streams.merge_stream(stream, lake, "raw", "events", ["event_id"], "ts", f"{lake.root}/progress", "31 days")
+    streams.merge_stream(stream, lake, "raw", "events", ["event_id"], "ts", f"{lake.root}/progress")
     return lake.read("raw", "events")
 
 

@@ -292,13 +292,13 @@ _UIDS = {
 }
 _NAMES = {
     "click": ("not_null_stg_orders_order_hk", "stg_orders", "staging", "standard",
-              "NOT NULL: stg_orders_order_hk"),
+              "NOT NULL: stg_orders.order_hk"),
     "view": ("dbt_expectations_expect_column_values_to_be_between_sat_order_detail_discount_0_100",
-             "sat_order_detail", "raw_vault", "dbt-expectations", "Wertebereich (sat.order.detail)"),
+             "sat_order_detail", "raw_vault", "dbt-expectations", "Wertebereich: sat_order_detail.discount_0_100"),
     "purchase": ("unique_hub_customer_customer_hk", "hub_customer", "raw_vault", "standard",
-                 "UNIQUE: hub_customer_customer_hk"),
+                 "UNIQUE: hub_customer.customer_hk"),
     "signup": ("dbt_expectations_expect_table_row_count_to_be_between_mart_product_sales",
-               "mart_product_sales", "mart", "dbt-expectations", "Zeilenanzahl plausibel (mart.product.sales)"),
+               "mart_product_sales", "mart", "dbt-expectations", "Zeilenanzahl plausibel: mart_product_sales"),
     "error": ("model.sat_order", "sat_order", "raw_vault", "standard", "model.sat_order"),
 }
 _STATUS = {"click": "pass", "view": "success", "purchase": "warn", "signup": "fail", "error": "error"}
@@ -347,7 +347,7 @@ def runs_classify(spark: SparkSession, sf: str) -> DataFrame:
     return raw.given(spark, sf, "events").select(
         "event_id", runs.test_name_of(uid).alias("test_name"), runs.model_of(uid, _KNOWN).alias("model_name"),
         runs.layer_of(uid).alias("layer"), runs.test_type_of(uid).alias("test_type"),
-        runs.readable_name(uid).alias("readable"))
+        runs.readable_name(uid, _KNOWN).alias("readable"))
 
 
 @query("dq_latest_summary", "SELECT layer, status, count(*) AS n FROM log "

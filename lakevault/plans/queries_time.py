@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakevault.functions.hashing import row_hash
 from lakevault.operators import history as scd
+from lakevault.operators import quality
 from lakevault.operators import vault as ops
-from lakevault.operators.access import VaultModel, access_view
+from lakevault.operators.access import VaultModel, access_view, store_access_view
 from lakevault.operators.ordered import asof_join
 from lakevault.operators.pit import build_pit
 from lakevault.operators.staging import cast_interface, stage
-from lakevault.plans import build, model, raw
+from lakevault.plans import build, model, raw, suite
 from lakevault.plans.checks import diff_sql, key_sql, rowhash_sql
 from lakevault.plans.initial import Vault
 from lakevault.plans.registry import query
@@ -66,6 +67,8 @@ def pit_order(spark: SparkSession, sf: str) -> DataFrame:
     return build_pit(vault["hub_order"], "order_hk", {"sat_order": vault["sat_order"]}, ORDER_DATES)
 
 
+USER_HOURS = [datetime(2024, 1, 1) + timedelta(hours=6 * i) for i in range(120)]
+
 _USER_PARTS = {
     "hub_user": f"SELECT DISTINCT user_hk FROM stg_user_states",
     "sat_activity": "SELECT user_hk, load_datetime FROM stg_user_states",
@@ -83,6 +86,13 @@ def pit_multi_sat(spark: SparkSession, sf: str) -> DataFrame:
         {"activity": users, "purchase": users.where("state = 'purchase'")}, USER_DATES)
 
 
+@query("pit_many_dates", _pit_sql("hub_user", "user_hk", {"activity": "sat_activity"}, USER_HOURS), **_USER_PARTS)
+def pit_many_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Four dates a day over the whole log, one pass over the satellite."""
+    users = model.staged(spark, sf, "user_states")
+    return build_pit(users.select("user_hk").distinct(), "user_hk", {"activity": users}, USER_HOURS)
+
+
 @query("asof_join", """SELECT p.event_id, p.user_id, p.ts, s.state, s.load_datetime AS state_since
         FROM (SELECT * FROM events WHERE event_type = 'purchase') p
         ASOF LEFT JOIN (SELECT user_id, state, load_datetime FROM stg_user_states WHERE state <> 'purchase') s
@@ -153,6 +163,22 @@ def access_pit_view(spark: SparkSession, sf: str) -> DataFrame:
     return access_view(VAULT_MODEL, tables, ["sat_customer"], as_of=_ntz(_PIT_DATE))
 
 
+@query("access_as_of_any_date", f"""SELECT customer_id, {_CUSTOMER} FROM all_hub_customer JOIN (
+        SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_hk ORDER BY load_datetime DESC, hashdiff) AS rn
+        FROM all_sat_customer WHERE load_datetime <= TIMESTAMP '2024-01-20 00:00:00') WHERE rn = 1) USING (customer_hk)""")
+def access_as_of_any_date(spark: SparkSession, sf: str) -> DataFrame:
+    """A date the point-in-time table does not hold: the versions themselves are asked."""
+    tables = _WithPits(Vault(spark, sf, with_delta=True), AS_OF)
+    return access_view(VAULT_MODEL, tables, ["sat_customer"], as_of=_ntz(datetime(2024, 1, 20)))
+
+
+@query("access_stored_view", f"SELECT customer_id, {_CUSTOMER} FROM hub_customer JOIN cur_sat_customer USING (customer_hk)")
+def access_stored_view(spark: SparkSession, sf: str) -> DataFrame:
+    """An access view that stays, by its name."""
+    lake = build.new_lake(spark, sf)
+    return lake.read("mart", store_access_view(lake, VAULT_MODEL, Vault(spark, sf), ["sat_customer"]))
+
+
 @query("access_extra_table", f"""SELECT employee_id, name, nation_id, balance, n_name, n_regionkey
         FROM hub_employee JOIN sat_employee USING (employee_hk) LEFT JOIN nation ON n_nationkey = nation_id""")
 def access_extra_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,6 +222,7 @@ PRODUCTS = scd.Scd2Spec(
     dedup=("id", "product_code", "product_name", "change_date"),
     change_col="change_date", source="raw.products", surrogate="products_sk",
 )
+_PSA_NOW = datetime(2024, 1, 18, 18)
 RUNS = [datetime(2024, 1, 2, 6), datetime(2024, 1, 16, 6), datetime(2024, 1, 23, 6), datetime(2024, 1, 30, 6)]
 
 _BATCHES = {1: raw.customers, 2: raw.customers_after_delta, 3: raw.customers_batch3,
@@ -203,18 +230,16 @@ _BATCHES = {1: raw.customers, 2: raw.customers_after_delta, 3: raw.customers_bat
 
 
 def customer_history(spark: SparkSession, sf: str, upto: int) -> DataFrame:
-    """All versions after the given number of deliveries; delete detection from the third on."""
-    run = [_ntz(r) for r in RUNS]
-    live = scd.first_delivery(scd.clean(_BATCHES[1](spark, sf), CUSTOMERS), CUSTOMERS, run[0])
-    closed = None
-    for batch in range(2, upto + 1):
-        after = scd.apply_delivery(
-            live, scd.clean(_BATCHES[batch](spark, sf), CUSTOMERS), CUSTOMERS, run[batch - 1],
-            detect_deletes=batch >= 3)
-        ended = after.where("ng_is_current = 0")
-        closed = ended if closed is None else closed.unionByName(ended)
-        live = after.where("ng_is_current = 1")
-    return live if closed is None else live.unionByName(closed)
+    """All versions after the given number of deliveries, each a stored run; delete detection from the
+    third on."""
+    return stored_history(spark, sf, upto).read("psa", "customers_psa")
+
+
+def stored_history(spark: SparkSession, sf: str, upto: int):
+    lake = build.new_lake(spark, sf)
+    for batch in range(1, upto + 1):
+        build.psa_run(lake, CUSTOMERS, "customers_psa", _BATCHES[batch](spark, sf), RUNS[batch - 1], detect_deletes=batch >= 3)
+    return lake
 
 
 def _cln(raw_name: str, spec: scd.Scd2Spec) -> str:
@@ -353,9 +378,21 @@ def psa_hub_sat(spark: SparkSession, sf: str) -> DataFrame:
         UNION ALL SELECT 'hub_customer_psa', count(*) FROM psa_stg
         UNION ALL SELECT 'sat_customer_psa', count(*) FROM psa_stg""", **PSA_PARTS)
 def psa_rebuild_counts(spark: SparkSession, sf: str) -> DataFrame:
-    hub, sat = _psa_branch(spark, sf)
-    live = scd.current_view(customer_history(spark, sf, 2))
-    return ops.count_tables({"psa_current": live, "hub_customer_psa": hub, "sat_customer_psa": sat})
+    """The vault branch on the stored history, dropped and loaded again."""
+    lake = stored_history(spark, sf, 2)
+    build.psa_vault(lake)
+    return build.psa_rebuild(lake)
+
+
+@query("psa_freshness", f"""SELECT *, CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_seconds > 72 * 3600 THEN 'error'
+        WHEN age_seconds > 48 * 3600 THEN 'warn' ELSE 'pass' END AS status FROM (SELECT 'customers_psa' AS table_name,
+        max(ng_insert_date) AS max_loaded_at,
+        epoch_us(TIMESTAMP '{_PSA_NOW}' - max(ng_insert_date)) / 1000000.0::DOUBLE AS age_seconds FROM psa_2)""", **PSA_PARTS)
+def psa_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    """Age of the stored history against its limits."""
+    tables = {"customers_psa": customer_history(spark, sf, 2)}
+    rules = [r for r in suite.PSA_FRESHNESS if r.table in tables]
+    return quality.source_freshness(tables, rules, _ntz(_PSA_NOW))
 
 
 @query("psa_vs_classic", """SELECT 'hub_customer' AS table_name, (SELECT count(*) FROM all_hub_customer) AS classic_rows,

@@ -46,9 +46,9 @@ def stage_composite_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stage_hashdiff",
        f"SELECT l_orderkey, l_partkey, {diff_sql(_LINE_DIFF)} AS line_diff "
-       f"FROM (SELECT *, CAST(l_quantity AS DECIMAL(18,4)) AS l_quantity_dec FROM lineitem)")
+       f"FROM (SELECT *, CAST(l_quantity AS DOUBLE) AS l_quantity_dec FROM lineitem)")
 def stage_hashdiff(spark: SparkSession, sf: str) -> DataFrame:
-    df = raw.given(spark, sf, "lineitem").withColumn("l_quantity_dec", F.col("l_quantity"))
+    df = raw.given(spark, sf, "lineitem").withColumn("l_quantity_dec", F.col("l_quantity").cast("double"))
     return df.select("l_orderkey", "l_partkey", hashdiff(df, _LINE_DIFF).alias("line_diff"))
 
 
@@ -191,3 +191,39 @@ def _register_mart(name: str) -> None:
 
 for _mart in marts.MARTS:
     _register_mart(_mart)
+
+
+@query("stage_hashdiff_double", """SELECT count(DISTINCT large) AS n_large, count(DISTINCT small) AS n_small,
+        count(DISTINCT large) AS hashes_large, count(DISTINCT small) AS hashes_small FROM (
+        SELECT CAST(o_orderkey AS DOUBLE) * 1e15 AS large, 1 / power(2.0::DOUBLE, 10 + o_orderkey % 40) AS small FROM orders)""")
+def stage_hashdiff_double(spark: SparkSession, sf: str) -> DataFrame:
+    """Doubles below 1e-4 and above 1e15: different values have different hashes, and none fails."""
+    orders = raw.given(spark, sf, "orders").select(
+        (F.col("o_orderkey").cast("double") * F.lit(1e15)).alias("large"),
+        (F.lit(1.0) / F.pow(F.lit(2.0), F.col("o_orderkey") % 40 + 10)).alias("small"))
+    hashed = orders.select("large", "small", hashdiff(orders, ["large"]).alias("hl"), hashdiff(orders, ["small"]).alias("hs"))
+    return hashed.agg(F.count_distinct("large").alias("n_large"), F.count_distinct("small").alias("n_small"),
+                      F.count_distinct("hl").alias("hashes_large"), F.count_distinct("hs").alias("hashes_small"))
+
+
+class _MissingPrices:
+    """The vault with the prices of all lines over 25 pieces removed."""
+
+    def __init__(self, vault: Vault):
+        self.vault = vault
+
+    def __getitem__(self, name: str) -> DataFrame:
+        rows = self.vault[name]
+        if name == "sat_order_detail":
+            rows = rows.withColumn("unit_price", F.when(F.col("quantity") <= 25, F.col("unit_price")))
+        return rows
+
+
+@query("mart_product_sales_missing_price", """SELECT product_id, sum(quantity) AS total_quantity_sold,
+        cast(sum(quantity * unit_price * (100 - discount)) FILTER (quantity <= 25) AS DOUBLE) / 100 AS total_revenue,
+        cast(sum(quantity * (unit_price - standard_cost)) FILTER (quantity <= 25) AS DOUBLE) AS estimated_margin
+        FROM hub_product JOIN sat_product USING (product_hk) LEFT JOIN order_lines USING (product_hk) GROUP BY product_id""")
+def mart_product_sales_missing_price(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines without a price have no part in revenue and margin."""
+    sales = marts.product_sales(_MissingPrices(Vault(spark, sf)))
+    return sales.select("product_id", "total_quantity_sold", "total_revenue", "estimated_margin")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import PurePosixPath
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -13,12 +11,10 @@ SPARK_FORMAT = {"csv": "csv", "jsonl": "json", "parquet": "parquet"}
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
-def detect_format(file_glob: str) -> str | None:
-    return FORMAT_BY_EXTENSION.get(PurePosixPath(file_glob).suffix.lower())
-
-
 def drop_format(file_glob: str, fmt: str | None = None) -> str:
-    chosen = fmt or detect_format(file_glob)
+    """The format asked for, else the one the pattern's ending stands for."""
+    name = file_glob.lower()
+    chosen = fmt or next((f for ending, f in FORMAT_BY_EXTENSION.items() if name.endswith(ending)), None)
     if chosen is None:
         raise ValueError(f"no format known for {file_glob!r}; set 'format' (csv | jsonl | parquet)")
     if chosen not in SPARK_FORMAT:
@@ -51,5 +47,14 @@ def read_drops(spark: SparkSession, path: str, file_glob: str = "*", fmt: str |
     return reader.load(path)
 
 
+def load_seed(lake, name: str, path: str, schema: StructType | str | None = None, layer: str = "staging") -> None:
+    """A CSV file with a header as a table, replaced by every run; types are inferred if not declared.
+
+    A seed is a small reference file; inferring its types reads it twice.
+    """
+    rows = read_drops(lake.spark, path, "*.csv", schema=schema)
+    lake.replace(layer, name, rows)
+
+
 def write_drops(df: DataFrame, path: str, fmt: str) -> None:
     df.write.format(SPARK_FORMAT[fmt]).options(**_options(fmt)).save(path)

@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from datetime import date, datetime, time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 
 from lakevault.operators.ordered import first_per_key
 from lakevault.sources import files, paged_api, relational
-from lakevault.sources.tables import Lake
+from lakevault.sources.tables import LOAD_ID, Lake
 
 DISPOSITIONS = ("append", "replace", "merge")
 DESTINATIONS = ("postgres", "duckdb", "lake")
@@ -45,21 +44,6 @@ class IngestSpec:
     options: Mapping = field(default_factory=dict)
 
 
-def coerce_initial_value(value):
-    """A cursor start as a value of the cursor's own type: dates become midnight, ISO text a
-    datetime, anything else stays as it is."""
-    if isinstance(value, datetime):
-        return value
-    if isinstance(value, date):
-        return datetime.combine(value, time.min)
-    if isinstance(value, str):
-        try:
-            return datetime.fromisoformat(value)
-        except ValueError:
-            pass
-    return value
-
-
 def _table(entry: Mapping, default: str) -> TableSpec:
     key = entry.get("primary_key") or ()
     incremental = entry.get("incremental") or {}
@@ -69,7 +53,7 @@ def _table(entry: Mapping, default: str) -> TableSpec:
     spec = TableSpec(
         name=entry["name"], primary_key=(key,) if isinstance(key, str) else tuple(key),
         write_disposition=chosen, cursor=incremental.get("cursor"),
-        initial_value=coerce_initial_value(incremental.get("initial_value")), options=dict(entry))
+        initial_value=incremental.get("initial_value"), options=dict(entry))
     if chosen == "merge" and not spec.primary_key:
         raise ValueError(f"{spec.name}: merge needs a primary_key")
     return spec
@@ -141,26 +125,59 @@ READERS: dict[str, Callable[..., DataFrame]] = {
 
 # --- cursor state ---
 
-_CURSORS = "pipeline string, table_name string, load_id string, cursor_value string"
+_LOADS = ("pipeline string, dataset string, table_name string, load_id string, row_count bigint, "
+          "write_disposition string, cursor_value string, cursor_type string")
+
+
+def _loads_of(lake: Lake, pipeline: str, table: str) -> DataFrame | None:
+    log = lake.read_or_none("meta", "loads")
+    if log is not None:
+        return log.where((F.col("pipeline") == pipeline) & (F.col("table_name") == table))
+    return None
 
 
 def last_cursor(lake: Lake, pipeline: str, table: str) -> str | None:
-    """The highest cursor value any load of this table has stored."""
-    state = lake.read_or_none("meta", "cursors")
-    if state is None:
+    """The highest cursor value any finished load of this table has stored, compared as values of
+    the cursor's type, whatever the load ids are."""
+    loads = _loads_of(lake, pipeline, table)
+    if loads is None:
         return None
-    mine = state.where((F.col("pipeline") == pipeline) & (F.col("table_name") == table))
-    return mine.agg(F.max_by("cursor_value", "load_id")).first()[0]
+    stored = loads.where("cursor_value IS NOT NULL")
+    # one row per type the cursor column ever had
+    types = sorted(r[0] for r in stored.select("cursor_type").distinct().collect())
+    if len(types) > 1:
+        raise ValueError(f"{pipeline}.{table}: the cursor's type changed ({', '.join(types)})")
+    if not types:
+        return None
+    return stored.agg(F.max(F.col("cursor_value").cast(types[0])).cast("string")).first()[0]
+
+
+def _cursor_literal(df: DataFrame, cursor: str, start):
+    """A start as a literal of the cursor column's own type; text that is none fails the load."""
+    return F.lit(str(start)).cast(df.schema[cursor].dataType)
 
 
 def since_cursor(df: DataFrame, cursor: str, start) -> DataFrame:
     """Rows at or after ``start``. The literal has the column's type, so the filter is pushed to the
     source."""
-    if start is None:
-        return df
-    dtype = df.schema[cursor].dataType
-    text = start.isoformat(sep=" ") if isinstance(start, datetime) else str(start)
-    return df.where(F.col(cursor) >= F.lit(text).cast(dtype))
+    return df if start is None else df.where(F.col(cursor) >= _cursor_literal(df, cursor, start))
+
+
+def without_loaded(lake: Lake, spec: IngestSpec, table: TableSpec, landed: DataFrame, last, load_id: str) -> DataFrame:
+    """Rows at the cursor's last value come from the source a second time; those the table holds
+    already (by key, else by their whole content) are left out. Only rows at that one value are
+    compared."""
+    if last is None or not lake.exists(spec.schema, table.name):
+        return landed
+    at = _cursor_literal(landed, table.cursor, last)
+    stored = lake.spark.table(lake.name(spec.schema, table.name)).where((F.col(table.cursor) == at) & (F.col(LOAD_ID) != load_id))
+    on = list(table.primary_key) or [c for c in landed.columns if c in stored.columns and not isinstance(landed.schema[c].dataType, T.MapType)]
+    same = F.lit(True)
+    known = stored.select(*[F.col(c).alias(f"__{c}") for c in on])
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    boundary = landed.where(F.col(table.cursor) == at).join(known, same, "left_anti")
+    return landed.where(F.col(table.cursor) > at).unionByName(boundary)
 
 
 # --- the load ---
@@ -176,12 +193,10 @@ def _to_database(spec: IngestSpec, table: TableSpec, landed: DataFrame) -> None:
 
 def load_table(lake: Lake, spec: IngestSpec, table: TableSpec, load_id: str) -> dict:
     """Load one table; a load id that is in the log already is not loaded again."""
-    log = lake.read_or_none("meta", "loads")
-    if log is not None:
-        done = log.where((F.col("pipeline") == spec.name) & (F.col("table_name") == table.name)
-                         & (F.col("load_id") == load_id)).first()
-        if done:
-            return done.asDict()
+    log = _loads_of(lake, spec.name, table.name)
+    done = log.where(F.col("load_id") == load_id).first() if log is not None else None
+    if done:
+        return done.asDict()
     last = last_cursor(lake, spec.name, table.name) if table.cursor else None
     start = last if last is not None else table.initial_value
     rows = READERS[spec.type](lake, spec, table, start)
@@ -207,17 +222,16 @@ def load_table(lake: Lake, spec: IngestSpec, table: TableSpec, load_id: str) ->
         lake.ensure(spec.schema)
         lake.replace(spec.schema, table.name, landed)
     else:
-        lake.append_load(spec.schema, table.name, landed, load_id)
+        fresh = without_loaded(lake, spec, table, landed, last, load_id) if table.cursor else landed
+        lake.append_load(spec.schema, table.name, fresh, load_id)
 
+    # one row holds counts and cursor and is written last: a load that died before it leaves no state,
+    # and starts again from what the other loads have stored
     result = {"pipeline": spec.name, "dataset": spec.schema, "table_name": table.name, "load_id": load_id,
-              "row_count": seen.get["rows"], "write_disposition": table.write_disposition}
-    newest_value = seen.get["newest"]
-    if newest_value is not None:
-        state = lake.spark.createDataFrame([(spec.name, table.name, load_id, newest_value)], _CURSORS)
-        lake.append("meta", "cursors", state)
-    log_schema = ("pipeline string, dataset string, table_name string, load_id string, row_count bigint, "
-                  "write_disposition string")
-    lake.append("meta", "loads", lake.spark.createDataFrame([tuple(result.values())], log_schema))
+              "row_count": seen.get["rows"], "write_disposition": table.write_disposition,
+              "cursor_value": seen.get["newest"],
+              "cursor_type": rows.schema[table.cursor].dataType.simpleString() if table.cursor else None}
+    lake.append("meta", "loads", lake.spark.createDataFrame([tuple(result.values())], _LOADS))
     lake.remove_folder(landing)
     return result
 

@@ -142,29 +142,3 @@ def read_resource(
         url=f"{base_url.rstrip('/')}/{endpoint.lstrip('/')}", params=json.dumps(query),
         headers=json.dumps(headers), pages_per_task=str(pages_per_task)).load()
     return raw.select(F.from_json("item", schema, {"mode": "FAILFAST"}).alias("i")).select("i.*")
-
-
-def parquet_fetch(path: str, key: str, page_size: int) -> Fetch:
-    """A stand-in API for tests without a network: pages of a Parquet file, cut by a dense key.
-
-    ``since`` (a cursor value) is compared with the ``ts`` column.
-    """
-
-    import pyarrow.compute as pc
-    import pyarrow.parquet as pq
-
-    bounds = pc.min_max(pq.read_table(path, columns=[key])[key])
-    low, high = bounds["min"].as_py(), bounds["max"].as_py()
-    pages = 0 if low is None else (high - low) // page_size + 1
-
-    def fetch(url: str, params: dict, headers: dict) -> dict:
-        import pyarrow.parquet as pq
-
-        first = (low or 0) + (int(params["page"]) - 1) * page_size
-        rows = pq.read_table(path, filters=[(key, ">=", first), (key, "<", first + page_size)]).to_pylist()
-        items = [{k: v.isoformat(sep=" ") if hasattr(v, "isoformat") else v for k, v in r.items()} for r in rows]
-        if "since" in params:
-            items = [i for i in items if i["ts"] >= params["since"]]
-        return {"items": items, "pages": pages}
-
-    return fetch

@@ -68,7 +68,7 @@ def table_options(connection: Mapping[str, str], schema: str | None, table: str,
 
 
 def read_table(spark: SparkSession, connection: Mapping[str, str], schema: str | None, table: str,
-               split_by: str | None = None) -> DataFrame:
+               split_by: str | None = None, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """With ``split_by`` the key range and row count are asked for first (one row, computed by the
     database) and set the number of parallel reads."""
     whole = spark.read.format("jdbc").options(**table_options(connection, schema, table)).load()
@@ -77,7 +77,7 @@ def read_table(spark: SparkSession, connection: Mapping[str, str], schema: str |
     low, high, rows = whole.agg(F.min(split_by), F.max(split_by), F.count(F.lit(1))).first()
     if not rows:
         return whole
-    parts = max(1, -(-rows // ROWS_PER_PARTITION))
+    parts = max(1, -(-rows // rows_per_partition))
     split = (split_by, int(low), int(high) + 1, parts)
     return spark.read.format("jdbc").options(**table_options(connection, schema, table, split)).load()
 

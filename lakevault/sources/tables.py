@@ -44,10 +44,10 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
 
 
-def buckets_for(size: int, bucket_bytes: int = 512 << 20, least: int = 8, most: int = 16384) -> int:
+def buckets_for(size: int, bucket_bytes: int = 512 << 20, least: int = 8) -> int:
     """A power of two, so that a later, larger choice still lines up with an earlier one."""
     buckets = least
-    while buckets < most and buckets * bucket_bytes < size:
+    while buckets * bucket_bytes < size:
         buckets *= 2
     return buckets
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakevault.operators.ordered import asof_join, intervals
-from lakevault.operators.pit import GHOST_KEY, GHOST_TIME, build_pit, missing_dates
+from lakevault.operators.pit import GHOST_KEY, GHOST_TIME, build_pit
 from lakevault.operators.vault import HubSpec, SatSpec, current, key_rows, sat_rows
 
 START = datetime(2020, 1, 1)
@@ -170,8 +170,3 @@ def test_pit_against_brute_force(spark):
     for (key, date), found in got.items():
         times = [r[4] for r in rows if r[0] == key and r[4] <= date]
         assert found == ((key, max(times)) if times else (GHOST_KEY, GHOST_TIME))
-
-
-def test_missing_dates(spark):
-    have = spark.createDataFrame([(START,)], "as_of_date timestamp_ntz")
-    assert missing_dates(have, [START, START + timedelta(1)]) == [START + timedelta(1)]
