@@ -211,8 +211,9 @@ def node_links(nodes: DataFrame, sketches: DataFrame, similarity: float) -> Data
     full = compacted(full.join(leaders, "key").select("key", "row", "n", F.col("leader.row").alias("leader"), F.col("leader.n").alias("leader_n")), "band-leaders")
     star = full.filter(F.col("row") != F.col("leader")).filter(_near_sizes(similarity, "n", "leader_n"))
     star = compacted(star.select(F.least("leader", "row").alias("a"), F.greatest("leader", "row").alias("b")).distinct(), "star")
-    # the shingles of nodes that share a bucket at all are cut out once
-    asked = full.select("row").distinct()
+    # The shingles of nodes that share a bucket at all are cut out once. These nodes are a share of the
+    # corpus, so this is a merge join at every size, never a broadcast.
+    asked = full.select("row").distinct().hint("merge")
     sketches = stored(sketches.select("row", "shingles").join(asked, "row", "left_semi"), "needed-shingles")
     linked = _similar(star, sketches, similarity)
     roots = components(linked)
