@@ -219,9 +219,11 @@ def new_lake(spark, input_folder: str | None = None) -> Lake:
 
 # --- historised staging ---
 
-def _content(df: DataFrame, columns: Sequence[str]) -> tuple:
-    """Count and hash sum of rows: equal for equal contents, whatever their order."""
-    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))).first())
+def _differs(current: DataFrame, delivery: DataFrame, key: str, detect_deletes: bool) -> bool:
+    """Whether a delivery would still change the current rows."""
+    new = delivery.join(current, [key, "ng_rowhash"], "left_anti")
+    gone = current.join(delivery, [key], "left_anti")
+    return bool(new.limit(1).count() or detect_deletes and gone.limit(1).count())
 
 
 def psa_run(lake: Lake, spec: scd.Scd2Spec, table: str, source: DataFrame, run_ts: datetime,
@@ -244,8 +246,7 @@ def psa_run(lake: Lake, spec: scd.Scd2Spec, table: str, source: DataFrame, run_t
     require_key(spec.source, cleaned, [spec.key])
     if shown == run:
         current = lake.read("psa", table).where("ng_is_current = 1")
-        held, brought = (_content(df, [spec.key, "ng_rowhash"]) for df in (current, cleaned))
-        if held != brought:
+        if _differs(current, cleaned, spec.key, detect_deletes):
             raise ValueError(f"psa.{table}: another delivery was applied at {run_ts} already")
         return
     if shown is None:

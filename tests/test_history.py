@@ -42,7 +42,9 @@ def test_runs_against_brute_force(spark, lake):
         got = sorted((r.id, r.name or "", r.ng_valid_from, str(r.ng_valid_to), r.ng_is_current, r.ng_is_deleted)
                      for r in lake.read("psa", "t").collect())
         assert got == sorted((r["id"], r["name"] or "", r["start"], str(r["to"]), r["cur"], r["deleted"]) for r in stored)
-    deliver(spark, lake, [(999, "late")], 4)  # a run that is applied already
+    with pytest.raises(ValueError, match="another delivery"):
+        deliver(spark, lake, [(999, "late")], 4)
+    deliver(spark, lake, states[4].items(), 4)  # a run that is applied already
     psa = lake.read("psa", "t")
     assert psa.where("id = 999").count() == 0
     assert psa.select("t_sk").distinct().count() == psa.count()
@@ -85,3 +87,13 @@ def test_delete_then_return(spark, lake):
         deliver(spark, lake, rows, day)
     got = [(r.ng_is_current, r.ng_is_deleted) for r in lake.read("psa", "t").orderBy("ng_valid_from").collect()]
     assert got == [(0, 1), (1, 0)]
+
+
+def test_only_a_true_repeat_is_skipped(spark, lake):
+    deliver(spark, lake, [(1, "a")], 1)
+    deliver(spark, lake, [(1, "a")], 1)
+    assert lake.read("psa", "t").count() == 1
+    with pytest.raises(ValueError, match="another delivery"):
+        deliver(spark, lake, [(1, "b")], 1)
+    with pytest.raises(ValueError, match="older"):
+        deliver(spark, lake, [(1, "a")], 0)

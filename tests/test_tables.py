@@ -45,8 +45,16 @@ def test_merge_refuses_repeated_and_missing_keys(spark, lake):
     assert content(lake.read("raw", "t")) == [(1, "a")]
 
 
+def test_first_delivery_is_checked_before_it_is_visible(spark, lake):
+    with pytest.raises(ContractError):
+        lake.merge("raw", "t", frame(spark, [(1, "a"), (1, "b")]), ["id"])
+    assert not lake.exists("raw", "t") and lake.tables("raw") == []
+    lake.merge("raw", "t", frame(spark, [(1, "a"), (2, "b")]), ["id"])
+    assert content(lake.read("raw", "t")) == [(1, "a"), (2, "b")] and lake.tables("raw") == ["t"]
+
+
 def test_bucket_count_grows_with_the_input():
-    assert buckets_for(0) == 8 and buckets_for(100 << 30) == 256 and buckets_for(100 << 40) == 16384
+    assert buckets_for(0) == 8 and buckets_for(100 << 30) == 256 and buckets_for(100 << 40) == 262_144
 
 
 def test_interrupted_merge(spark, lake):
@@ -127,6 +135,41 @@ def test_incremental_merge(spark, lake):
     assert lake.read("meta", "loads").count() == 2
 
 
+APPEND = {"write_disposition": "append", "incremental": {"cursor": "ts"}}
+
+
+def test_append_keeps_boundary_rows_once(spark, lake):
+    t = lambda day: datetime(2024, 1, day)
+    drops = [[(1, t(1), "a"), (2, t(2), "b")], [(2, t(2), "b"), (3, t(2), "late"), (4, t(3), None)], [(4, t(3), None)]]
+    for number, rows in enumerate(drops):
+        ingest(lake, _spec(_events(lake, number, rows), **APPEND), f"l{number}")
+    got = sorted(r.id for r in lake.read("raw_e", "e").collect())
+    assert got == [1, 2, 3, 4]
+
+
+def test_repeated_load_after_a_crash(spark, lake, monkeypatch):
+    t = lambda day: datetime(2024, 1, day)
+    ingest(lake, _spec(_events(lake, 1, [(1, t(1), "a")]), **APPEND), "l1")
+    second = _spec(_events(lake, 2, [(1, t(1), "a"), (2, t(2), "b"), (3, t(3), "c")]), **APPEND)
+
+    def refused(*args, **kwargs):
+        raise ConnectionError("before the log row")
+
+    with monkeypatch.context() as m:
+        m.setattr(lake, "append", refused)
+        with pytest.raises(ConnectionError):
+            ingest(lake, second, "l2")
+    assert last_cursor(lake, "e", "e").startswith("2024-01-01")
+    ingest(lake, second, "l2")
+    assert sorted(r.id for r in lake.read("raw_e", "e").collect()) == [1, 2, 3]
+
+
+def test_cursor_is_the_highest_value_not_the_last_load_id(spark, lake):
+    for load, day in (("load-9", 2), ("load-10", 14), ("load-11", 9)):
+        ingest(lake, _spec(_events(lake, day, [(day, datetime(2024, 1, day), "a")]), **APPEND), load)
+    assert last_cursor(lake, "e", "e").startswith("2024-01-14")
+
+
 def test_full_run_delta_and_rerun(spark, lake, sf_dir):
     build.build_all(lake, spark, sf_dir, AS_OF)
     first = dict(content(lake.counts(["raw_vault"])))
