@@ -6,10 +6,12 @@ Three ways to store, by how a table changes:
   joins and per-key windows on it need no shuffle;
 * ``replace``: rebuilt tables (marts, point-in-time tables). The new content becomes a table of its
   own and a view is pointed at it, so readers never see half a table;
-* ``merge``: keyed tables, partitioned by a hash bucket of the key. Only the buckets a delivery
-  touches are rewritten. They are first stored as ``<table>__pending``; if the job dies while
-  exchanging them, readers take those buckets from there and the next merge repeats the exchange.
-  One writer per table at a time.
+* ``merge``: keyed tables, partitioned by a hash bucket of the key. A delivery is appended to
+  ``<table>__deltas`` and nothing else is written; readers take a key's newest delivered row, else the
+  base row (an anti-join of the base with the delivered keys). ``compact`` folds the deliveries into
+  the base: only the buckets they touch are rewritten, first as ``<table>__pending``; if the job dies
+  while exchanging them, readers take those buckets from there and the next merge or compaction
+  repeats the exchange. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -19,11 +21,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakevault.operators.ordered import first_per_key
 from lakevault.operators.vault import count_tables
-from lakevault.sources.contracts import ContractError, require_key
+from lakevault.sources.contracts import require_key
 
 LAYERS = ("raw", "staging", "raw_vault", "psa", "mart", "dq", "dq_audit", "meta")
 BUCKET = "key_bucket"
+MERGE = "merge_no"
+KEYS = "merge.keys"
 LOAD_ID = "_load_id"
 # kept with the table when it is created: an overwriting insert replaces only the partitions it brings
 BY_PARTITION = {"partitionOverwriteMode": "dynamic"}
@@ -81,8 +86,20 @@ class Lake:
             # buckets that are being exchanged are read from where they are complete
             pending = self.spark.table(self.name(layer, f"{table}__pending"))
             moving = [r[0] for r in pending.select(BUCKET).distinct().collect()]
-            df = df.where(~F.col(BUCKET).isin(moving)).unionByName(pending)
-        return df.drop(BUCKET)
+            df = df.where(~F.col(BUCKET).isin(moving)).unionByName(pending, allowMissingColumns=True)
+        df = df.drop(BUCKET)
+        if self.exists(layer, f"{table}__deltas"):
+            keys, newest = self._deltas(layer, table)
+            kept = df.join(newest.select(*keys), keys, "left_anti").select(*df.columns)
+            df = kept.unionByName(newest, allowMissingColumns=True)
+        return df
+
+    def _deltas(self, layer: str, table: str) -> tuple[list[str], DataFrame]:
+        """The key columns, and of every delivered key the newest row."""
+        name = self.name(layer, f"{table}__deltas")
+        keys = self.spark.sql(f"SHOW TBLPROPERTIES {name} ('{KEYS}')").first()[1].split(",")
+        rows = self.spark.table(name)
+        return keys, first_per_key(rows, keys, [F.col(MERGE).desc()]).drop(MERGE)
 
     def read_or_none(self, layer: str, table: str) -> DataFrame | None:
         return self.read(layer, table) if self.exists(layer, table) else None
@@ -145,42 +162,51 @@ class Lake:
               check: bool = True) -> None:
         """Insert new keys and replace the whole row of known ones; a key twice in a batch is an error.
 
-        The delivery is stored first, so that its source is computed once and everything after
-        reads stored rows.
+        The first delivery becomes the base. A later one is appended as it is, so its cost is its own
+        size, however its keys are spread.
         """
         self._finish_merge(layer, table)
-        target = self.name(layer, table)
-        first = not self.exists(layer, table)
-        landed = table if first else f"{table}__incoming"
-        if first and check:
-            # only the key columns are read for this; what fails never gets the table's name
+        if check:
+            # only the key columns are read for this; what fails never becomes visible
             require_key(f"{layer}.{table}", delta, keys)
-        if not first:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, landed)}")
-        writer = self._bucketed(delta, keys).hint("rebalance", BUCKET).write
-        writer.options(**BY_PARTITION).partitionBy(BUCKET).format("parquet").saveAsTable(self.name(layer, landed))
-        self._written(layer, landed)
-        incoming = self.spark.table(self.name(layer, landed))
-        if check and not first:
-            try:
-                require_key(f"{layer}.{table}", incoming, keys)
-            except ContractError:
-                self.spark.sql(f"DROP TABLE {self.name(layer, landed)}")
-                raise
-        if first:
+        target = self.name(layer, table)
+        if not self.exists(layer, table):
+            writer = self._bucketed(delta, keys).hint("rebalance", BUCKET).write
+            writer.options(**BY_PARTITION).partitionBy(BUCKET).format("parquet").saveAsTable(target)
+            self._written(layer, table)
             return
+        self._widen(target, delta)
+        deltas = f"{target}__deltas"
+        if not self.exists(layer, f"{table}__deltas"):
+            empty = delta.limit(0).withColumn(MERGE, F.lit(0).cast("bigint"))
+            empty.write.format("parquet").saveAsTable(deltas)
+            self.spark.sql(f"ALTER TABLE {deltas} SET TBLPROPERTIES ('{KEYS}' = '{','.join(keys)}')")
+        else:
+            self._widen(deltas, delta)
+        known = self.spark.table(deltas)
+        number = (known.agg(F.max(MERGE)).first()[0] or 0) + 1
+        rows = known.limit(0).unionByName(delta.withColumn(MERGE, F.lit(number).cast("bigint")), allowMissingColumns=True)
+        rows.write.insertInto(deltas)
+        self._written(layer, f"{table}__deltas")
+
+    def compact(self, layer: str, table: str) -> None:
+        """Fold the deliveries into the base; only the buckets they touch are rewritten."""
+        self._finish_merge(layer, table)
+        if not self.exists(layer, f"{table}__deltas"):
+            return
+        target = self.name(layer, table)
+        keys, newest = self._deltas(layer, table)
+        incoming = self._bucketed(newest, keys)
         # at most one number per bucket reaches the driver
         touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
         if touched:
-            self._widen(target, incoming)
             stored = self.spark.table(target)
-            kept = stored.where(F.col(BUCKET).isin(touched)).join(
-                incoming.select(*keys), list(keys), "left_anti")
+            kept = stored.where(F.col(BUCKET).isin(touched)).join(newest.select(*keys), keys, "left_anti")
             merged = kept.select(*stored.columns).unionByName(incoming, allowMissingColumns=True)
             merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).format("parquet").saveAsTable(
                 f"{target}__pending")
             self._finish_merge(layer, table)
-        self.spark.sql(f"DROP TABLE {self.name(layer, landed)}")
+        self.spark.sql(f"DROP TABLE {target}__deltas")
 
     def _widen(self, target: str, wider: DataFrame) -> None:
         """Add the columns the table does not have yet."""
@@ -220,6 +246,7 @@ class Lake:
     def drop(self, layer: str, table: str) -> None:
         kind = "VIEW" if self.exists(layer, table) and self._is_view(layer, table) else "TABLE"
         self.spark.sql(f"DROP {kind} IF EXISTS {self.name(layer, table)}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}__deltas")
         for version in self._versions(layer, table):
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}__v{version}")
 

@@ -20,12 +20,30 @@ def content(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_merge_rewrites_only_touched_buckets(spark, lake):
+def test_spread_delta_writes_only_its_own_rows(spark, lake):
+    lake.merge("raw", "t", frame(spark, [(i, "a") for i in range(4000)]), ["id"])
+    files = lambda: {r[0] for r in spark.table(lake.name("raw", "t")).select("_metadata.file_path").distinct().collect()}
+    before = files()
+    for value in "bc":
+        lake.merge("raw", "t", frame(spark, [(i * 41, value) for i in range(100)]), ["id"])
+    assert files() == before
+    assert spark.table(lake.name("raw", "t__deltas")).count() == 200
+    expected = sorted([(i, "a") for i in range(4000) if i % 41 or i >= 4100] + [(i * 41, "c") for i in range(100)])
+    assert content(lake.read("raw", "t")) == expected
+    lake.compact("raw", "t")
+    assert content(lake.read("raw", "t")) == expected and not lake.exists("raw", "t__deltas")
+    lake.compact("raw", "t")
+    assert lake.read("raw", "t").count() == len(expected)
+
+
+def test_compaction_rewrites_only_touched_buckets(spark, lake):
     lake.buckets = 32
     lake.merge("raw", "t", frame(spark, [(i, "a") for i in range(200)]), ["id"])
     files = lambda: {r[0] for r in spark.table(lake.name("raw", "t")).select("_metadata.file_path").distinct().collect()}
     before = files()
     lake.merge("raw", "t", frame(spark, [(5, "b"), (900, "b")]), ["id"])
+    assert files() == before
+    lake.compact("raw", "t")
     kept = before & files()
     assert len(before) - len(kept) <= 2
     assert content(lake.read("raw", "t")) == sorted(
