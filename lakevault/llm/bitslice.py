@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import row_count, shards_for, stored
+from lakevault.llm.common import compacted, row_count, shards_for, stored
 
 #: rows in one index block, queries in one query block
 ROWS_PER_BLOCK = 65_536
@@ -216,5 +216,5 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, rows_per_block: int =
 
 def search_table(vectors: DataFrame, asked: Column, k: int = 5) -> DataFrame:
     """``top_k`` over a table, the rows that fulfil ``asked`` (on ``vec_id``) being the queries."""
-    rows = stored(quantised(vectors), "quantised")
+    rows = compacted(quantised(vectors), "quantised")
     return top_k(rows, rows.filter(asked), k)

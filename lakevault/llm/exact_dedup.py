@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import row_count, shards_for, stored, text_of
+from lakevault.llm.common import compacted, row_count, shards_for, stored, text_of
 
 #: distinct digests in one shard of the index: 48 bytes each in the slots
 KEYS_PER_SHARD = 100_000
@@ -171,7 +171,7 @@ def _unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def decide(history: DataFrame, incoming: DataFrame) -> DataFrame:
     """``(digest, keep_id, group_size)`` over both, the winner of history standing."""
-    winners = stored(_grouped(history), "digest-winners")
+    winners = compacted(_grouped(history), "digest-winners")
     shards = shards_for(max(row_count(winners), row_count(incoming)), KEYS_PER_SHARD)
     index = build_index(winners, shards)
     found = lookup(index, incoming, shards).select("digest", "size", "seen", "winner")
@@ -205,7 +205,7 @@ def earlier_and_later(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``dedup_rows`` over a whole table, its earlier half being the history."""
-    rows = stored(digests(docs, id_col, text_col), "digests")
+    rows = compacted(digests(docs, id_col, text_col), "digests")
     return dedup_rows(*earlier_and_later(rows))
 
 
@@ -216,7 +216,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     to one afterwards (same partitioning, no further shuffle).
     """
     kept = dedup_documents(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    kept = stored(kept, "digests-kept")
+    kept = compacted(kept, "digests-kept")
     marked = docs.withColumn("__own", F.unhex(F.sha2(normalised(text_of()), 256)))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__own"]).drop("__own")

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import stored
+from lakevault.llm.common import compacted, stored
 
 # fixed values: the known forms and the least length of what they find
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -132,6 +132,7 @@ def judge(found: DataFrame, wide_owners: int = WIDE_OWNERS) -> DataFrame:
         F.sum(F.col("live").cast("long")).alias("n_live"),
         F.sum((F.col("owners") >= wide_owners).cast("long")).alias("n_example"),
     )
+    per_row = compacted(per_row, "secret-spans")
     names = F.array(*[F.lit(k) for k in KINDS])
     text = F.transform("kept", lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
     spans = F.coalesce(F.array_join(text, ","), F.lit(""))
