@@ -37,6 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakevault.llm import tokens
+from lakevault.llm.common import arrow_batches, arrow_rows
 
 BUDGET = 1024
 HISTORY_TOKENS = 256
@@ -65,26 +66,6 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: _BACK[m[1]], text)
 
 
-def _arrow_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns))
-
-
-def _arrow_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 256) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-
-    def made() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
-
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield made()
-            held.clear()
-    if held:
-        yield made()
-
-
 class _Window:
     """The window being filled: its turns, of which the first ``repeated`` are context."""
 
@@ -187,8 +168,8 @@ def format_windows(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(tokenizer)
-        rows = window_rows(_arrow_rows(batches), lambda text: len(encode(text)), budget, history_tokens, history_turns)
-        return _arrow_batches(rows, schema)
+        rows = window_rows(arrow_rows(batches), lambda text: len(encode(text)), budget, history_tokens, history_turns)
+        return arrow_batches(rows, schema)
 
     dealt = _blocks(turns, per_block, history_turns).repartition("conv_id", "block")
     ordered = dealt.sortWithinPartitions("conv_id", "block", "kind", "turn", "role", "text")
@@ -234,4 +215,4 @@ def read_back(windows: DataFrame) -> DataFrame:
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_windows", pa.int64())])
     ordered = windows.repartition("conv_id").sortWithinPartitions("conv_id", "block", "window")
     picked = ordered.select("conv_id", "block", "window", "repeated", "text", "loss_starts", "loss_ends")
-    return picked.mapInArrow(lambda batches: _arrow_batches(_read(_arrow_rows(batches)), schema), DIGESTS)
+    return picked.mapInArrow(lambda batches: arrow_batches(_read(arrow_rows(batches)), schema), DIGESTS)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +50,25 @@ def row_count(df: DataFrame) -> int:
 def shards_for(rows: int, per_shard: int) -> int:
     """How many hash shards keep each one near ``per_shard`` distinct keys; grows with the data."""
     return max(1, -(-rows // per_shard))
+
+
+def arrow_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of Arrow batches as Python values; whole numbers stay whole next to nulls."""
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def arrow_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 256) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of ``size`` rows."""
+    held: list[tuple] = []
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield made()
+            held.clear()
+    if held:
+        yield made()

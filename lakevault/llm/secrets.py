@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import compacted, stored
+from lakevault.llm.common import arrow_batches, arrow_rows, compacted, stored
 
 # fixed values: the known forms and the least length of what they find
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -95,19 +95,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", tex
     find = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("value", pa.int64()), ("random", pa.bool_())])
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("owner", pa.string()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("finds", pa.list_(find))])
 
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for row, (doc_id, owner, text) in enumerate(arrow_rows(batches), TaskContext.get().partitionId() << 33):
+            known = known_finds(text)
+            kinds = Counter(kind for _, kind, _, _ in known)
+            finds = [
+                {"start": start, "kind": kind, "end": end, "value": _value(value), "random": bits_per_character(value) >= RANDOM_BITS}
+                for start, kind, end, value in known + candidate_finds(text, known)
+            ]
+            yield (row, doc_id, owner, kinds[0], kinds[1], kinds[2], hashlib.sha256(joined(known).encode()).hexdigest(), finds)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            out = []
-            for doc_id, owner, text in zip(batch.column(0), batch.column(1), batch.column(2)):
-                text = text.as_py()
-                known = known_finds(text)
-                kinds = Counter(kind for _, kind, _, _ in known)
-                finds = known + candidate_finds(text, known)
-                out.append((row, doc_id.as_py(), owner.as_py(), kinds[0], kinds[1], kinds[2], hashlib.sha256(joined(known).encode()).hexdigest(), [(s, k, e, _value(v), bits_per_character(v) >= RANDOM_BITS) for s, k, e, v in finds]))
-                row += 1
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([tuple_ if f.name != "finds" else [dict(zip(("start", "kind", "end", "value", "random"), x)) for x in tuple_] for tuple_ in c], f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+        return arrow_batches(found(batches), schema, 1000)
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).cast("string").alias("owner"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return stored(read.mapInArrow(work, FOUND), "secret-finds")
