@@ -46,7 +46,7 @@ def _stage_orders(raw: str) -> str:
 def _stage_details(raw: str) -> str:
     return f"""SELECT *, 'CSV_LOAD' AS record_source, change_date AS effective_from,
         change_date AS load_datetime, {key_sql('order_id')} AS order_hk,
-        {key_sql('product_id')} AS product_hk, {key_sql('order_id', 'product_id')} AS order_product_hk,
+        {key_sql('product_id')} AS product_hk, {key_sql('order_id', 'product_id', 'line_number')} AS order_product_hk,
         {diff_sql(DETAIL_PAYLOAD)} AS hashdiff FROM {raw}"""
 
 
@@ -115,14 +115,14 @@ PARTS: dict[str, str] = {
         CASE WHEN s_acctbal >= 1000 THEN TIMESTAMP '2024-01-12 00:00:00' END AS shipped_date,
         CAST(12.5 AS DECIMAL(19,4)) AS shipping_fee, '1-URGENT' AS payment_type, 'O' AS order_status,
         TIMESTAMP '2024-01-15 00:00:00' AS change_date FROM supplier""",
-    "raw_order_details": """SELECT l_orderkey AS order_id, l_partkey AS product_id,
+    "raw_order_details": """SELECT l_orderkey AS order_id, l_partkey AS product_id, line_number,
         CAST(l_quantity AS DECIMAL(9,2)) AS quantity, CAST(l_extendedprice AS DECIMAL(12,2)) AS unit_price,
         CAST(l_discount AS DECIMAL(5,2)) AS discount, l_linestatus AS order_detail_status,
         l_shipdate AS date_allocated, l_shipdate AS change_date
-        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber,
+        FROM (SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber,
             l_suppkey, l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
-            l_linestatus) AS rn FROM lineitem) WHERE rn = 1""",
-    "raw_order_details_delta": """SELECT s_suppkey + 10000000 AS order_id, p_partkey AS product_id,
+            l_linestatus) AS INTEGER) AS line_number FROM lineitem)""",
+    "raw_order_details_delta": """SELECT s_suppkey + 10000000 AS order_id, p_partkey AS product_id, 1 AS line_number,
         CAST(2 AS DECIMAL(9,2)) AS quantity, CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price,
         CAST(0.05 AS DECIMAL(5,2)) AS discount, 'O' AS order_detail_status,
         CAST(NULL AS TIMESTAMP) AS date_allocated, TIMESTAMP '2024-01-15 00:00:00' AS change_date

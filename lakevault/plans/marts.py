@@ -3,7 +3,8 @@
 Order lines are aggregated per order or per product before they are joined to anything, so the
 largest table is combined on the map side and a single order, customer or product with very many
 lines does not pile up in one join task. That is the same result because a link holds each
-(order, customer) and each (order, product) pair once. Money stays exact until the last step.
+(order, customer) pair and each line of an (order, product) pair once. Money stays exact until the
+last step.
 A stored table has no order, so the marts are not sorted; sort on read.
 """
 
@@ -90,7 +91,7 @@ def order_overview(vault, discount_scale: int = 100) -> DataFrame:
 def product_sales(vault, discount_scale: int = 100) -> DataFrame:
     """Every product; the margin leaves the discount out and nets out the standard cost."""
     sold = order_lines(vault).groupBy("product_hk").agg(
-        F.count(F.lit(1)).alias("orders_count"), F.sum("quantity").alias("total_quantity_sold"),
+        F.count_distinct("order_hk").alias("orders_count"), F.sum("quantity").alias("total_quantity_sold"),
         F.sum(F.col("quantity") * F.col("unit_price")).alias("_gross"),
         # lines without a price are in no part of the margin
         F.sum(F.when(F.col("unit_price").isNotNull(), F.col("quantity"))).alias("_priced"),

@@ -48,7 +48,7 @@ STAGING: dict[str, StageSpec] = {
         derived=_loaded("!CSV_LOAD"),
         hashed={
             "order_hk": "order_id", "product_hk": "product_id",
-            "order_product_hk": ["order_id", "product_id"], "hashdiff": Diff(DETAIL_PAYLOAD),
+            "order_product_hk": ["order_id", "product_id", "line_number"], "hashdiff": Diff(DETAIL_PAYLOAD),
         },
     ),
     "user_states": StageSpec(
@@ -89,7 +89,7 @@ PITS = {"pit_customer": ("hub_customer", ("sat_customer",)), "pit_order": ("hub_
 # Fixed primary keys of the raw layer.
 RAW_KEYS = {
     "customers": ("id",), "employees": ("id",), "products": ("id",), "orders": ("id",),
-    "order_details": ("order_id", "product_id"),
+    "order_details": ("order_id", "product_id", "line_number"),
 }
 
 DOMAINS = {

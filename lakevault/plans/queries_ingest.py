@@ -104,7 +104,7 @@ def ingest_merge_composite(spark: SparkSession, sf: str) -> DataFrame:
         "discount", F.lit("0.00").cast("decimal(5,2)"))
     return _deliver(build.new_lake(spark, sf), "order_details", "merge",
                     [details, again.unionByName(raw.order_details_delta(spark, sf))],
-                    primary_key=["order_id", "product_id"])
+                    primary_key=["order_id", "product_id", "line_number"])
 
 
 @query("raw_upsert", "SELECT * FROM raw_orders UNION ALL SELECT * FROM raw_orders_delta")

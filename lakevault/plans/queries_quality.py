@@ -519,7 +519,7 @@ def domain_row_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("src_contract_check", """SELECT 'customers' AS table_name, count(*) AS row_count,
         count(*) - count(DISTINCT id) AS repeated_keys, count(*) FILTER (id IS NULL) AS missing_keys FROM raw_customers
         UNION ALL SELECT 'orders', count(*), count(*) - count(DISTINCT id), count(*) FILTER (id IS NULL) FROM raw_orders
-        UNION ALL SELECT 'order_details', count(*), count(*) - count(DISTINCT (order_id, product_id)),
+        UNION ALL SELECT 'order_details', count(*), count(*) - count(DISTINCT (order_id, product_id, line_number)),
             count(*) FILTER (order_id IS NULL OR product_id IS NULL) FROM raw_order_details
         UNION ALL SELECT 'lineitem', count(*), count(*) - count(DISTINCT (l_orderkey, l_partkey)),
             count(*) FILTER (l_orderkey IS NULL OR l_partkey IS NULL) FROM lineitem""")

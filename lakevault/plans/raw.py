@@ -7,11 +7,9 @@ delivery after that in which the accounts outside [-900, 9500] are gone.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakevault.operators.ordered import first_per_key
-
 NEW_ID = 10_000_000  # first id of the customers and orders that batch 2 adds
 BATCH_1 = "2016-05-01 00:00:00"
 BATCH_2 = "2024-01-15 00:00:00"
@@ -103,13 +101,14 @@ def orders_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, product); the given lines repeat that pair, so a total order decides."""
+    """All lines. The given ones can repeat an (order, product) pair, so a number within the pair, in a
+    total order, completes the key."""
     order = ["l_linenumber", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-    lines = first_per_key(given(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey"],
-                          [F.col(c) for c in order])
+    pair = Window.partitionBy("l_orderkey", "l_partkey").orderBy(*order)
+    lines = given(spark, sf_dir, "lineitem").withColumn("line_number", F.row_number().over(pair))
     return lines.select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), "line_number",
         F.col("l_quantity").cast("decimal(9,2)").alias("quantity"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("unit_price"),
         F.col("l_discount").cast("decimal(5,2)").alias("discount"),
@@ -124,6 +123,7 @@ def order_details_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = given(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     return new.join(part, new.s_suppkey == part.p_partkey).select(
         (F.col("s_suppkey") + NEW_ID).alias("order_id"), F.col("p_partkey").alias("product_id"),
+        F.lit(1).alias("line_number"),
         F.lit("2.00").cast("decimal(9,2)").alias("quantity"),
         F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price"),
         F.lit("0.05").cast("decimal(5,2)").alias("discount"), F.lit("O").alias("order_detail_status"),
