@@ -58,3 +58,14 @@ def test_spans_against_brute_force(spark):
 
 def test_empty_table(spark):
     assert op.scan_table(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_repositories_and_copies_decide(spark):
+    token, key, shared = "Qx71mZp04KtY83bvNc5R", "Hd52sLw96EjU30gaXi8T", "Vb17nMq45RzC62yoPk9F"
+    rows = [(i, f"page {i} shows {token} as a sample", "a", "x", 1) for i in range(12)]
+    rows += [(20, f"our own {key} in use", "a", "x", 1), (21, f"our own {key}\n in use", "b", "x", 1), (22, f"again {key}", "b", "x", 1)]
+    rows += [(30, f"one {shared}", "a", "x", 1), (31, f"two {shared}", "b", "x", 1)]
+    got = {r.doc_id: r for r in op.scan_table(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i].spans == "" and got[i].n_live == 0 for i in range(12))
+    assert all(got[i].spans.startswith("candidate:") and got[i].n_live == 1 and (got[i].repositories, got[i].owners) == ("2", "2") for i in (20, 21, 22))
+    assert got[30].spans == got[31].spans == ""
