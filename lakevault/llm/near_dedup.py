@@ -48,6 +48,8 @@ BATCH_SHINGLES = 150_000
 BLOCK = 64
 #: the first step of time; steps double up to the last one
 FIRST_STEP, LAST_STEP = 2.0**-6, 8.0
+#: mean number of darts from which a region is thrown in parts
+MOST_MEAN = 50
 
 SKETCH = "row long, doc_id long, text_hash long, digest binary, n long, bands array<long>, shingles binary"
 
@@ -87,16 +89,23 @@ def dart_signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray,
         shift, low, high, which = 0, 0.0, 1.0, np.arange(len(owner))
         hits = []
         while len(which):
-            base = _salted(element[which], level, shift)
-            count = _poisson(_uniform(base), step * (high - low))
-            thrown = np.repeat(np.arange(len(which)), count)
-            if len(thrown):
-                first = np.cumsum(count) - count
-                number = (np.arange(len(thrown)) - first[thrown]).astype(np.uint64)
-                dart = mixed(base[thrown] + (number + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
-                place = _salted(dart, 1)
-                seen = low + _uniform(place) * (high - low) < weight[which[thrown]]
-                hits.append((owner[which[thrown[seen]]], dart[seen]))
+            parts = max(1, int(np.ceil(step * (high - low) / MOST_MEAN)))
+            width = (high - low) / parts
+            for part in range(parts):
+                floor = low + part * width
+                reached = which if part == 0 else which[weight[which] > floor]
+                if not len(reached):
+                    break
+                base = _salted(element[reached], level, shift, *([part] if parts > 1 else []))
+                count = _poisson(_uniform(base), step * width)
+                thrown = np.repeat(np.arange(len(reached)), count)
+                if len(thrown):
+                    first = np.cumsum(count) - count
+                    number = (np.arange(len(thrown)) - first[thrown]).astype(np.uint64)
+                    dart = mixed(base[thrown] + (number + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
+                    place = _salted(dart, 1)
+                    seen = floor + _uniform(place) * width < weight[reached[thrown]]
+                    hits.append((owner[reached[thrown[seen]]], dart[seen]))
             shift, low, high = shift + 1, high, high * 2
             which = which[weight[which] > low]
         if hits:

@@ -135,3 +135,9 @@ def test_members_outside_the_main_component_are_compared():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert op.classes(docs).collect() == [] and op.keep_one(docs).collect() == []
+
+
+def test_large_weights_are_sampled_by_their_weighted_jaccard():
+    weights = np.array([100_000.0, 81_000.0])
+    signed = op.dart_signatures(np.arange(2), np.full(2, 77, np.uint64), weights, 2, 2000)
+    assert abs((signed[0] == signed[1]).mean() - 0.81) < 0.04
