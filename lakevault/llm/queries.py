@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import bitslice, chat, exact_dedup, near_dedup, packing, poisson_mix, secrets, substring_dedup, toxicity, warc
+from lakevault.llm import bitslice, chat, exact_dedup, near_dedup, packing, poisson_mix, run_index, secrets, substring_dedup, toxicity, warc
 from lakevault.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,10 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op1_repeated_passages")
 def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@_query("op11_run_index")
+def op11_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = run_index.repeats(table(spark, sf_dir, "documents"))
+    removed = (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed")
+    return rows.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
