@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,3 +73,22 @@ def arrow_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 256) ->
             held.clear()
     if held:
         yield made()
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def whole(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """A whole-number column as int64 (0 for null) and where it is not null; nothing passes through floats."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64, copy=False), flat.is_valid().to_numpy(zero_copy_only=False)
+
+
+def nullable(values: np.ndarray, valid: np.ndarray) -> pa.Array:
+    """The reverse of ``whole``."""
+    return pa.array(values, pa.int64(), mask=~np.asarray(valid, bool))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakevault.llm import bitslice, chat, exact_dedup, near_dedup, packing, poisson_mix, run_index, secrets, substring_dedup, toxicity, warc
+from lakevault.llm import bitslice, chat, exact_dedup, fast_trie, near_dedup, packing, periodic_runs, poisson_mix, run_index, secrets, substring_dedup, toxicity, warc
 from lakevault.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +137,85 @@ def op11_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = run_index.repeats(table(spark, sf_dir, "documents"))
     removed = (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed")
     return rows.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def repeating(words: list[bytes], doc_id: int) -> list[bytes]:
+    """A tenth of the documents, picked by their id, go on from some word in a period."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@_query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            texts = [t if t is None or i is None or zlib.crc32(str(i).encode()) % 10 else b" ".join(repeating(t.encode().split(), i)).decode() for i, t in zip(ids, texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    rows = periodic_runs.periodic_runs(docs.mapInArrow(plant, "doc_id long, text string"))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"].cast("string"), F.lit("\n")))))
+    return rows.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.s")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.p")).alias("period"),
+        F.expr("longest.length * 1000 div -longest.p").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(conv_id, turn, role, text)`` of the rebuilt conversations, numbered anew, and all their ids."""
+    given = turns.filter("conv_id IS NOT NULL").select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    taken = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int").alias("taken")
+    numbered = given.select("conv_id", F.row_number().over(order).alias("turn"), "role", "text")
+    own = numbered.withColumn("taken", taken).filter("turn > taken").drop("taken")
+    ids = given.select("conv_id").distinct()
+    heads = given.filter("conv_id % 100 = 0").select(F.col("conv_id").alias("base"), F.row_number().over(order).alias("turn"), "role", "text").filter("turn <= 5")
+    receivers = ids.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 100).alias("base"), taken)
+    first = receivers.join(heads, "base").filter("turn <= taken").select("conv_id", "turn", "role", "text")
+    return first.unionByName(own), ids
+
+
+@_query(
+    "op12_fast_trie",
+    """
+    WITH given AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (SELECT c, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(c::VARCHAR, ''),
+            lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) % 6 AS h
+        FROM (SELECT DISTINCT c FROM given) d),
+    turns AS (SELECT i.c, g.k, g.role, g.text FROM ids i JOIN given g ON g.c = i.c - i.c % 100 AND g.k <= i.h
+        UNION ALL SELECT i.c, g.k, g.role, g.text FROM ids i JOIN given g ON g.c = i.c AND g.k > i.h),
+    placed AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY k) AS d, length(text) AS chars,
+            sha256(string_agg(length(role) || '|' || role || length(text) || '|' || text, '') OVER (PARTITION BY c ORDER BY k)) AS name FROM turns),
+    paths AS (SELECT c, 0 AS d, '' AS name, 0 AS chars FROM ids UNION ALL SELECT c, d, name, chars FROM placed),
+    ends AS (SELECT c, max(d) AS stop FROM paths GROUP BY c),
+    nodes AS (SELECT name, any_value(d) AS depth, any_value(chars) AS chars, min(c) AS least, count(*) AS n_convs,
+            sha256(coalesce(string_agg(CASE WHEN d = stop THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+        FROM paths JOIN ends USING (c) GROUP BY name),
+    links AS (SELECT DISTINCT u.name AS upper, l.name AS lower, l.d - u.d AS far FROM paths u JOIN paths l ON u.c = l.c AND u.d <= l.d),
+    children AS (SELECT upper AS name, count(*) AS n FROM links WHERE far = 1 GROUP BY upper),
+    below AS (SELECT upper AS name, count(*) FILTER (WHERE c.n IS NULL) AS n_leaves, sum((x.n_convs - 1) * x.chars) AS saved
+        FROM links JOIN nodes x ON x.name = lower LEFT JOIN children c ON c.name = lower GROUP BY upper)
+    SELECT x.least::BIGINT AS conv_id, x.depth::BIGINT AS depth, p.least::BIGINT AS parent_conv_id, x.n_convs::BIGINT AS n_convs,
+        coalesce(c.n, 0)::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, x.ends_sha256
+    FROM nodes x JOIN below b USING (name) LEFT JOIN children c USING (name)
+    LEFT JOIN links l ON l.lower = x.name AND l.far = 1 LEFT JOIN nodes p ON p.name = l.upper
+    """,
+)
+def op12_fast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fast_trie.trie(*rebuilt(table(spark, sf_dir, "conversations")))
