@@ -4,36 +4,42 @@ History is reduced to its distinct digests, dealt to shards by hash and, per sha
 without gaps by a minimal perfect hash (levels of bit maps: a key settles on the first level
 where no other key wants its bit; its number is the count of set bits before it). The slot of a
 number holds the full digest, the locator of the winning row and the size of its group. A new
-digest goes to the one slot it could have and is a repeat only if all bytes agree there; digests
-that are not members are grouped among themselves.
+digest goes to the one slot it could have and is a repeat only if all bytes agree there: then it
+takes the slot's winner and adds to its group. Digests that are not members are grouped among
+themselves before they are looked up.
 
 Defined results
 ---------------
 * a null text is the empty text; empty texts are equal to each other
+* ids keep all 64 bits; negative and null ones are ordinary
 * a null id is never a winner while the group has another id; a group of null ids keeps one row
   and its ``keep_id`` is null
 * rows repeated as a whole (same id and text) are copies: one of them is kept
-* only the id and text columns are read, so other columns may have any name
+* only the id and text columns are read, so other columns may have any name; ``keep_first`` returns
+  them all as they are
+* a very long text is one digest
 * empty history: every digest is grouped afresh; empty documents: an empty result
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import compacted, row_count, shards_for, stored, text_of
+from lakevault.llm.common import compacted, nullable, row_count, shards_for, stored, text_of, unused, whole
 
 #: distinct digests in one shard of the index: 48 bytes each in the slots
 KEYS_PER_SHARD = 100_000
 #: bits per remaining key on each level of the hash
 GAMMA = 2.0
 DIGEST_BYTES = 32
+#: a group of at least this part of all rows is hot; there are at most as many such groups
+HOT_PARTS = 1000
 
+OUTCOME = "digest binary, keep_id long, group_size long"
+_OUTCOME = pa.schema([("digest", pa.binary()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
 INDEX = "shard int, n_keys long, level_bits array<long>, bits binary, digests binary, winners binary, has_winner binary, sizes binary"
 _MIX_1, _MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -67,8 +73,8 @@ def _place(first: np.ndarray, step: np.ndarray, level: int, bits: int) -> np.nda
     return (h % np.uint64(bits)).astype(np.int64)
 
 
-def _as_rows(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), DIGEST_BYTES)
+def _as_rows(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), DIGEST_BYTES)
 
 
 def build_shard(keys: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
@@ -106,16 +112,17 @@ def probe_shard(sizes: list[int], bitmap: np.ndarray, keys: np.ndarray) -> np.nd
     return slot
 
 
-def _build(pdf: pd.DataFrame) -> pd.DataFrame:
-    keys = _as_rows(pdf["digest"])
+def _build(table: pa.Table) -> pa.Table:
+    keys = _as_rows(table["digest"])
     sizes, bitmap, slot = build_shard(keys)
     n = len(keys)
     digests_, winners, has, counts = np.empty_like(keys), np.zeros(n, "<i8"), np.zeros(n, np.uint8), np.empty(n, "<i8")
-    digests_[slot], counts[slot] = keys, pdf["size"].to_numpy()
-    known = pdf["winner"].notna().to_numpy()
-    has[slot], winners[slot] = known, pdf["winner"].fillna(0).astype("int64").to_numpy()
-    row = (int(pdf["shard"].iloc[0]), n, sizes, np.packbits(bitmap).tobytes(), digests_.tobytes(), winners.tobytes(), has.tobytes(), counts.tobytes())
-    return pd.DataFrame([row], columns=["shard", "n_keys", "level_bits", "bits", "digests", "winners", "has_winner", "sizes"])
+    digests_[slot], counts[slot] = keys, whole(table["size"])[0]
+    winners[slot], has[slot] = whole(table["winner"])
+    row = (table["shard"][0].as_py(), n, sizes, np.packbits(bitmap).tobytes(), digests_.tobytes(), winners.tobytes(), has.tobytes(), counts.tobytes())
+    kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 5]
+    names = ["shard", "n_keys", "level_bits", "bits", "digests", "winners", "has_winner", "sizes"]
+    return pa.table({name: pa.array([value], kind) for name, value, kind in zip(names, row, kinds)})
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
@@ -132,41 +139,30 @@ def build_index(winners: DataFrame, shards: int) -> DataFrame:
     A shard holds distinct digests only and there are as many shards as the count asks for, so a
     shard is bounded whatever the number of copies.
     """
-    return stored(_with_shard(winners, shards).groupBy("shard").applyInPandas(_build, INDEX), "digest-index")
-
-
-def _probe(index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-    out = asked[["digest", "size"]].copy()
-    out["seen"], out["winner"] = False, asked["winner"].astype("Int64")
-    if len(index) and len(asked):
-        row, keys = index.iloc[0], _as_rows(asked["digest"])
-        sizes = [int(x) for x in row["level_bits"]]
-        bitmap = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=sum(sizes)).astype(bool)
-        slot = probe_shard(sizes, bitmap, keys)
-        kept = np.frombuffer(row["digests"], np.uint8).reshape(-1, DIGEST_BYTES)
-        seen = (slot >= 0) & (kept[np.maximum(slot, 0)] == keys).all(axis=1)
-        known = np.frombuffer(row["has_winner"], np.uint8)[np.maximum(slot, 0)].astype(bool)
-        winner = pd.array(np.frombuffer(row["winners"], "<i8")[np.maximum(slot, 0)], dtype="Int64")
-        winner[~known] = pd.NA
-        out["seen"] = seen
-        out.loc[seen, "winner"] = winner[seen]
-    return out
-
-
-def lookup(index: DataFrame, rows: DataFrame, shards: int) -> DataFrame:
-    """``(digest, size, seen, winner)`` for the distinct digests of ``rows``: a repeat of history
-    carries its winner there, a new digest the smallest id among the new rows."""
-    asked = _with_shard(_grouped(rows), shards)
-    return index.groupBy("shard").cogroup(asked.groupBy("shard")).applyInPandas(_probe, "digest binary, size long, seen boolean, winner long")
-
-
-def _unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for row in frame.itertuples():
-            raw, has = row.digests, np.frombuffer(row.has_winner, np.uint8)
-            winner = pd.array(np.frombuffer(row.winners, "<i8"), dtype="Int64")
-            winner[has == 0] = pd.NA
-            yield pd.DataFrame({"digest": [raw[i : i + DIGEST_BYTES] for i in range(0, len(raw), DIGEST_BYTES)], "size": np.frombuffer(row.sizes, "<i8"), "winner": winner})
+    return stored(_with_shard(winners, shards).groupBy("shard").applyInArrow(_build, INDEX), "digest-index")
+
+
+def _looked_up(index: pa.Table, asked: pa.Table) -> pa.Table:
+    """The groups of one shard: a member adds to its slot, a nonmember is a group of its own."""
+    keys = _as_rows(asked["digest"])
+    size, (winner, known) = whole(asked["size"])[0], whole(asked["winner"])
+    if not index.num_rows:
+        return pa.table([asked["digest"].combine_chunks(), nullable(winner, known), pa.array(size)], schema=_OUTCOME)
+    row = index.slice(0, 1).to_pylist()[0]
+    sizes = row["level_bits"]
+    bitmap = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=sum(sizes)).astype(bool)
+    held = np.frombuffer(row["digests"], np.uint8).reshape(-1, DIGEST_BYTES)
+    total, keep, has = np.frombuffer(row["sizes"], "<i8").copy(), np.frombuffer(row["winners"], "<i8").copy(), np.frombuffer(row["has_winner"], np.uint8).astype(bool)
+    slot = probe_shard(sizes, bitmap, keys)
+    seen = (slot >= 0) & (held[np.maximum(slot, 0)] == keys).all(axis=1)
+    at = slot[seen]
+    total[at] += size[seen]  # asked digests are distinct, so a slot is met once
+    late = ~has[at]  # history knew no id for this text
+    keep[at[late]], has[at[late]] = winner[seen][late], known[seen][late]
+    new = ~seen
+    digest = [*map(bytes, held), *map(bytes, keys[new])]
+    kept = nullable(np.concatenate([keep, winner[new]]), np.concatenate([has, known[new]]))
+    return pa.table([pa.array(digest, pa.binary()), kept, pa.array(np.concatenate([total, size[new]]))], schema=_OUTCOME)
 
 
 def decide(history: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -174,21 +170,27 @@ def decide(history: DataFrame, incoming: DataFrame) -> DataFrame:
     winners = compacted(_grouped(history), "digest-winners")
     shards = shards_for(max(row_count(winners), row_count(incoming)), KEYS_PER_SHARD)
     index = build_index(winners, shards)
-    found = lookup(index, incoming, shards).select("digest", "size", "seen", "winner")
-    old = index.mapInPandas(_unpack, "digest binary, size long, winner long").select("digest", "size", F.lit(True).alias("seen"), "winner")
-    both = old.unionByName(found).groupBy("digest")
-    return both.agg(F.min("winner").alias("keep_id"), F.sum("size").alias("group_size"))
+    asked = _with_shard(_grouped(incoming), shards)
+    return index.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_looked_up, OUTCOME)
 
 
 def dedup_rows(history: DataFrame, incoming: DataFrame) -> DataFrame:
     """One row per row of both: ``doc_id, digest, keep_id, group_size, kept``.
 
-    ``history`` and ``incoming`` are frames of ``digests``. The join back to the rows is on the
-    digest; a group with a third of all rows is a skewed partition that Spark splits.
+    ``history`` and ``incoming`` are frames of ``digests``. Most texts occur once and need no answer.
+    A group of a thousandth of all rows or more is hot: there are at most ``HOT_PARTS`` of them, so
+    their answers are broadcast and their rows stay where they are; all others are joined by digest.
     """
     rows = history.unionByName(incoming)
-    joined = rows.join(decide(history, incoming), "digest")
-    copies = joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    groups = stored(decide(history, incoming).filter("group_size > 1"), "digest-groups")
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("group_size") >= max(2, total // HOT_PARTS)
+    told = rows.join(F.broadcast(groups.filter(hot)), "digest", "left")
+    plain = told.filter("group_size IS NULL").select(*rows.columns).join(groups.filter(~hot), "digest", "left")
+    joined = told.filter("group_size IS NOT NULL").unionByName(plain)
+    alone = F.col("group_size").isNull()
+    answered = joined.withColumns({"keep_id": F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")), "group_size": F.coalesce("group_size", F.lit(1).cast("long"))})
+    copies = answered.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     return copies.select("doc_id", "digest", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"))
 
 
@@ -215,8 +217,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
     Decisions are joined by id and digest, both null-safe, and rows repeated as a whole are reduced
     to one afterwards (same partitioning, no further shuffle).
     """
-    kept = dedup_documents(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
+    id_, digest, own = (unused(docs, c) for c in ("kept_id", "kept_digest", "own_digest"))
+    kept = dedup_documents(docs).filter("kept").select(F.col("doc_id").alias(id_), F.col("digest").alias(digest))
     kept = compacted(kept, "digests-kept")
-    marked = docs.withColumn("__own", F.unhex(F.sha2(normalised(text_of()), 256)))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__own"]).drop("__own")
+    marked = docs.withColumn(own, F.unhex(F.sha2(normalised(text_of()), 256)))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(digest))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import compacted, stored, text_of
+from lakevault.llm.common import compacted, stored, text_of, unused
 from lakevault.llm.components import components
 from lakevault.llm.shingles import mixed, shingle_hashes, word_hashes
 
@@ -317,7 +317,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row of every class, all columns as they are."""
-    kept = compacted(classes(docs, similarity).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__kept")), "near-kept")
-    marked = docs.withColumn("__hash", F.xxhash64(text_of()))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__kept"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__hash"]).drop("__hash")
+    id_, kept_hash, own = (unused(docs, c) for c in ("kept_id", "kept_hash", "own_hash"))
+    kept = compacted(classes(docs, similarity).filter("kept").select(F.col("doc_id").alias(id_), F.col("text_hash").alias(kept_hash)), "near-kept")
+    marked = docs.withColumn(own, F.xxhash64(text_of()))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(kept_hash))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

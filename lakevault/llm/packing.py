@@ -12,9 +12,11 @@ expectation, whatever their documents.
 
 Defined results
 ---------------
-* a null or empty text is the end id alone; a null id is carried
+* a null or empty text is the end id alone; ids keep all 64 bits, a null id is carried
 * rows repeated as a whole are packed as often as they occur
-* other columns are not read; empty documents give an empty result
+* a very long text is cut into pieces like any other
+* other columns are not read; further columns of pieces are carried under any name but the two added;
+  empty documents give an empty result
 """
 
 from __future__ import annotations
@@ -23,12 +25,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.llm import tokens
-from lakevault.llm.common import row_count, shards_for, stored
+from lakevault.llm.common import arrow_batches, arrow_rows, row_count, shards_for, stored, unused
 
 CAPACITY = 2048
 #: pieces packed together; a group wastes at most a fraction of one sequence
@@ -47,22 +49,21 @@ def cut_points(length: int, capacity: int = CAPACITY) -> list[int]:
 def document_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``."""
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+    schema = pa.schema(kinds + [("ids", pa.binary())] * with_ids)
+
+    def pieces(rows: Iterator[tuple]) -> Iterator[tuple]:
         encode = tokens.encoder(tokenizer)
         end = np.array([END_ID], np.uint32)
-        for frame in frames:
-            rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-                ids = np.concatenate([encode(text), end]).astype("<u4")
-                cuts = cut_points(len(ids), capacity)
-                for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    raw = ids[a:b].tobytes()
-                    rows.append((doc_id, piece, a, b - a, zlib.crc32(raw), raw) if with_ids else (doc_id, piece, a, b - a, zlib.crc32(raw)))
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+        for doc_id, text in rows:
+            ids = np.concatenate([encode(text), end]).astype("<u4")
+            cuts = cut_points(len(ids), capacity)
+            for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                raw = ids[a:b].tobytes()
+                yield (doc_id, piece, a, b - a, zlib.crc32(raw), *[raw] * with_ids)
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return read.mapInPandas(work, PIECE + ", ids binary" * with_ids)
+    return read.mapInArrow(lambda batches: arrow_batches(pieces(arrow_rows(batches)), schema, 1024), PIECE + ", ids binary" * with_ids)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -152,23 +153,23 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_PER_GROUP) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to stored pieces; any further columns stay."""
-    groups = shards_for(row_count(pieces), per_group)
-    dealt = pieces.withColumn("__group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
+    groups, group = shards_for(row_count(pieces), per_group), unused(pieces, "packing_group")
+    dealt = pieces.withColumn(group, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        lengths = frame["length"].to_numpy()
+    def work(table: pa.Table) -> pa.Table:
+        lengths = table["length"].to_numpy()
         bins = pack(lengths, capacity)
         order = np.array([i for b in bins for i in b], np.int64)
-        frame = frame.iloc[order]
         counts = [len(b) for b in bins]
-        ends = np.cumsum(frame["length"].to_numpy())
-        begins = ends - frame["length"].to_numpy()
+        ends = np.cumsum(lengths[order])
+        begins = ends - lengths[order]
         first = np.repeat(begins[np.cumsum([0, *counts[:-1]])], counts)
-        number = np.repeat(np.arange(len(bins)), counts) + (int(frame["__group"].iloc[0]) << 32)
-        return frame.drop(columns="__group").assign(sequence_id=number, offset=begins - first)
+        number = np.repeat(np.arange(len(bins)), counts) + (table[group][0].as_py() << 32)
+        packed = table.take(order).drop_columns([group])
+        return packed.append_column("sequence_id", pa.array(number, pa.int64())).append_column("offset", pa.array(begins - first, pa.int64()))
 
-    schema = ", ".join(f"{name} {kind}" for name, kind in pieces.dtypes) + ", sequence_id long, offset long"
-    return dealt.groupBy("__group").applyInPandas(work, schema)
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes) + ", sequence_id long, offset long"
+    return dealt.groupBy(group).applyInArrow(work, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

@@ -27,7 +27,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import stored
+from lakevault.llm.common import stored, unused
 
 #: a rate above this is drawn as a sum of independent draws, each of at most this mean
 PIECE_MEAN = 8.0
@@ -88,12 +88,13 @@ def mix(
     the mix as it is, 0 evens the sources out). ``total``: expected rows out, as many as in by default.
     """
     spread = with_distribution(target_rates(docs, weights, power, total, source_col))
-    rates = stored(spread.select(F.col("source").alias("__source"), F.col("pieces").alias("__pieces"), F.col("cdf").alias("__cdf")), "mix-rates")
-    joined = docs.drop(copy_col, key_col).join(rates, F.col(source_col).eqNullSafe(F.col("__source")))
-    draws = F.transform(F.sequence(F.lit(1), F.col("__pieces")), lambda i: uniform(F.lit(seed), F.col(id_col), i))
-    count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter(F.col("__cdf"), lambda c: c <= u)))
-    counted = joined.withColumn("__count", count).drop("__source", "__pieces", "__cdf").filter("__count > 0")
-    copies = counted.withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col("__count")))).drop("__count")
+    origin, pieces, cdf, n = (unused(docs, c) for c in ("mix_source", "mix_pieces", "mix_cdf", "mix_count"))
+    rates = stored(spread.select(F.col("source").alias(origin), F.col("pieces").alias(pieces), F.col("cdf").alias(cdf)), "mix-rates")
+    joined = docs.drop(copy_col, key_col).join(rates, F.col(source_col).eqNullSafe(F.col(origin)))
+    draws = F.transform(F.sequence(F.lit(1), F.col(pieces)), lambda i: uniform(F.lit(seed), F.col(id_col), i))
+    count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter(F.col(cdf), lambda c: c <= u)))
+    counted = joined.withColumn(n, count).drop(origin, pieces, cdf).filter(F.col(n) > 0)
+    copies = counted.withColumn(copy_col, F.explode(F.sequence(F.lit(1), F.col(n)))).drop(n)
     key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("order"), F.lit(seed), F.col(id_col), F.col(copy_col))), 1, 15), 16, 10).cast("long")
     keyed = copies.withColumn(key_col, key)
     return keyed.repartition(key_col).sortWithinPartitions(key_col)

@@ -4,45 +4,51 @@ A cumulative-link model: one weight per feature, shared by all grades, and order
 P(grade >= k) = logistic(score - threshold_k); the expected severity is the sum of these over k.
 
 Features of a text are its distinct words and their beginnings of 4 to 7 letters (names for a stem of
-which inflected forms vary), counted by distinct word, up to 4. Of these the model takes the ones that
-are much more frequent in toxic than in clean examples, and the logarithm of the number of words.
+which inflected forms vary), counted by distinct word and damped by a logarithm. Of these the model
+takes the ones that are much more frequent in toxic than in clean examples, and the logarithm of the
+number of words. Beyond ``SPACE`` chosen features, features share weights by their hash.
 Labels say toxic or not; toxic examples that hold more indicative features than the median one are the
 graver grade. Any integer grades from 0 on can be given instead.
 
 The model is fitted on a bounded sample: of all labelled documents the ``SAMPLE`` with the smallest
-hash of their id. Feature counts are a Spark aggregate; the chosen features (at most ``MAX_FEATURES``)
-and the sample's sparse rows are what reaches the driver. Scoring reads every text once, whole, without
+hash of their id. Feature counts are a Spark aggregate; the chosen features (each in ``LEAST_DOCS``
+examples or more) and the sample's sparse rows are what reaches the driver. Scoring reads every text once, whole, without
 a shuffle.
 
 Defined results
 ---------------
 * a null or empty text has no words; its score is that of the length alone
-* a label without a toxic value, and one whose document is missing, is left out; several labels of
-  a document count as the gravest, several rows with its id as one of them
-* with examples of one class only, or none, nothing can be learned: severity 0 for every document
-* ids may repeat or be null, every row is scored by itself; other columns are not read
+* a label without a toxic value or with a negative one, and one whose document is missing, is left out
+  before the sample is drawn; several labels of a document count as the gravest, several rows with its
+  id as one of them
+* with examples of one class only, or none, nothing can be learned: a warning says so, severity, grade
+  and toxic are null for every document, and ``keep_clean`` keeps them all
+* ids keep all 64 bits, may repeat or be null, every row is scored by itself; other columns are not read
+* very long texts are scored whole
 * empty documents: an empty result
 """
 
 from __future__ import annotations
 
 import re
+import warnings
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.llm.common import stored, text_of
 
 SAMPLE = 8000
-MAX_FEATURES = 50_000
+SPACE = 1 << 16
 #: a feature is taken if it is so many times as frequent in toxic examples, and in so many of them
 ODDS, LEAST_DOCS = 6.0, 4
-COUNT_CAP = 4.0
 L2, STEPS, RATE = 1e-4, 400, 0.1
 
 _WORD = re.compile(r"\w+")
@@ -79,7 +85,7 @@ class Model:
         for word in [w for w in words if w[:4] in heads]:
             counts.update(f for f in word_features(word) if f in self.weights)
         weight, mean, deviation = self.length
-        return sum(self.weights[f] * min(n, COUNT_CAP) for f, n in counts.items()) + weight * (np.log1p(len(words)) - mean) / deviation
+        return sum(self.weights[f] * np.log2(1 + n) for f, n in counts.items()) + weight * (np.log1p(len(words)) - mean) / deviation
 
     def at_least(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k from 1, one column each."""
@@ -88,7 +94,8 @@ class Model:
 
 def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, lengths: np.ndarray, grades: np.ndarray, features: list[str]) -> Model:
     """Full-batch fit (adaptive steps) of a cumulative-link model; ``rows, cols, values``: sparse counts."""
-    n, m, top = len(grades), len(features), int(grades.max())
+    place = _places(features)
+    n, m, top = len(grades), min(len(features), SPACE), int(grades.max())
     mean, deviation = float(lengths.mean()), float(lengths.std()) + 1e-9
     scaled = (lengths - mean) / deviation
     # parameters: weights, length, first threshold, logarithms of the gaps between thresholds
@@ -114,14 +121,15 @@ def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, lengths: np.ndar
         p -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         p[:m] = np.maximum(p[:m], 0)  # features are indicators of toxicity, none speaks against it
     t = p[m + 1] + np.concatenate([[0.0], np.cumsum(np.exp(p[m + 2 :]))])
-    return Model({f: float(w) for f, w in zip(features, p[:m]) if w > 0}, (float(p[m]), mean, deviation), tuple(t.tolist()))
+    return Model({f: float(p[i]) for f, i in place.items() if p[i] > 0}, (float(p[m]), mean, deviation), tuple(t.tolist()))
 
 
 def examples(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, seed: int = 5) -> DataFrame:
     """``(doc_id, text, toxic)``: the stored sample, at most ``limit`` rows."""
-    known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
+    known = labels.filter("toxic >= 0 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
+    known = known.join(docs.select(F.col("doc_id").cast("long").alias("__id")), "__id", "left_semi").groupBy("__id").agg(F.max("toxic").alias("toxic"))
     order = F.md5(F.concat_ws("|", F.lit(seed), "__id"))
-    picked = stored(known.orderBy(order, "__id", F.desc("toxic")).limit(limit), "toxic-labels").groupBy("__id").agg(F.max("toxic").alias("toxic"))
+    picked = stored(known.orderBy(order, "__id").limit(limit), "toxic-labels")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     # the labels broadcast here are bounded by ``limit``
     joined = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
@@ -137,27 +145,33 @@ def _chosen(sample: DataFrame, toxic: int, clean: int) -> list[str]:
 
     counts = sample.select("text", "toxic").mapInPandas(work, "feature string, toxic int").groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     odds = (F.col("t") + 0.5) / (toxic + 1) / ((F.col("c") + 0.5) / (clean + 1))
-    best = counts.filter((F.col("t") >= LEAST_DOCS) & (odds > ODDS)).orderBy(F.desc("t"), "feature").limit(MAX_FEATURES)
+    best = counts.filter((F.col("t") >= LEAST_DOCS) & (odds > ODDS)).orderBy(F.desc("t"), "feature")
+    # each is in LEAST_DOCS of the sample's documents, so the sample bounds them
     return [r[0] for r in best.select("feature").collect()]
 
 
+def _places(features: list[str], space: int = SPACE) -> dict[str, int]:
+    """The weight of each feature: its own while there is room, else one that its hash picks."""
+    return {f: i if len(features) <= space else zlib.crc32(f.encode()) % space for i, f in enumerate(features)}
+
+
 def _sparse(sample: DataFrame, features: list[str]) -> tuple[np.ndarray, ...]:
-    place = {f: i for i, f in enumerate(features)}
+    place = _places(features)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for doc_id, text, toxic in zip(frame["doc_id"], frame["text"], frame["toxic"]):
                 words = words_of(text)
-                counts = Counter(place[f] for w in words for f in word_features(w) if f in place)
-                out.append((doc_id, toxic, len(words), list(counts), [float(v) for v in counts.values()]))
+                counts = Counter(f for w in words for f in word_features(w) if f in place)
+                out.append((doc_id, toxic, len(words), [place[f] for f in counts], [float(v) for v in counts.values()]))
             yield pd.DataFrame(out, columns=["doc_id", "toxic", "n", "cols", "counts"])
 
     # bounded: one sparse row per example
     got = sorted(sample.mapInPandas(work, "doc_id long, toxic int, n long, cols array<int>, counts array<double>").collect())
     rows = np.repeat(np.arange(len(got)), [len(r.cols) for r in got])
     cols = np.array([c for r in got for c in r.cols], np.int64)
-    values = np.minimum(np.array([v for r in got for v in r["counts"]], float), COUNT_CAP)
+    values = np.log2(1 + np.array([v for r in got for v in r["counts"]], float))
     return rows, cols, values, np.log1p([r.n for r in got]), np.array([r.toxic for r in got], np.int64)
 
 
@@ -175,6 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
     sample = examples(docs, labels, limit)
     sizes = dict(sample.groupBy((F.col("toxic") > 0).cast("int")).count().collect())
     if not sizes.get(0) or not sizes.get(1):
+        warnings.warn(f"nothing to learn from: {sizes.get(1, 0)} toxic and {sizes.get(0, 0)} clean examples; no document is judged", stacklevel=2)
         return Model()
     features = _chosen(sample, sizes[1], sizes[0])
     rows, cols, values, lengths, toxic = _sparse(sample, features)
@@ -183,19 +198,23 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, severity, grade, toxic`` per row: expected grade, most likely grade, P(grade >= 1) >= 1/2."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_FEATURES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+    schema = pa.schema([("doc_id", pa.int64()), ("severity", pa.float64()), ("grade", pa.int32()), ("toxic", pa.bool_())])
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for frame in frames:
-            at_least = m.at_least(np.array([m.score(t) for t in frame["text"]], float))
-            edges = np.concatenate([np.ones((len(frame), 1)), at_least, np.zeros((len(frame), 1))], axis=1)
+        for batch in batches:
+            if not m.thresholds:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.nulls(len(batch), f.type) for f in list(schema)[1:]]], schema=schema)
+                continue
+            at_least = m.at_least(np.array([m.score(t) for t in batch.column(1).to_pylist()], float))
+            edges = np.concatenate([np.ones((len(batch), 1)), at_least, np.zeros((len(batch), 1))], axis=1)
             grade = np.argmax(edges[:, :-1] - edges[:, 1:], axis=1)
-            toxic = at_least[:, 0] >= 0.5 if m.thresholds else np.zeros(len(frame), bool)
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "severity": at_least.sum(axis=1), "grade": grade, "toxic": toxic})
+            columns = [pa.array(at_least.sum(axis=1)), pa.array(grade, pa.int32()), pa.array(at_least[:, 0] >= 0.5)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return read.mapInPandas(work, "doc_id long, severity double, grade int, toxic boolean")
+    return read.mapInArrow(work, "doc_id long, severity double, grade int, toxic boolean")
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:

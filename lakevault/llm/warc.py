@@ -5,8 +5,8 @@
    member of its own and next to the archive a sidecar index of the members' offsets.
 3. Records are read back through the index, member by member.
 
-Records are copied through in pieces, so a task holds one piece and one header, however long the
-archive or a record is. A file appears under its final name only when it is complete, and a repeated
+Records are copied through in pieces, so a normalising task holds one piece and one header, however
+long the archive or a record is; reading back holds one record. A file appears under its final name only when it is complete, and a repeated
 task writes the same bytes again, so lost executors do no harm. Archives lie in the shared work
 folder, opened by ``pyarrow.fs`` (local or mounted folders, HDFS, S3, GCS); pages are read by Spark.
 
@@ -17,7 +17,7 @@ Defined results
 * equal payloads of at least ``revisit_from`` bytes: the largest page id is the response, others
   revisit it; smaller payloads are always responses
 * rows repeated as a whole: each is a record; those that carry the response's id are responses
-* a null page id never is the response of a group that has another id; it comes back as null
+* ids keep all 64 bits; a null page id never is the response of a group that has another id; it comes back as null
 * other columns are not read; empty pages give no archives and an empty result
 """
 
@@ -34,10 +34,11 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import stored
+from lakevault.llm.common import arrow_batches, arrow_rows, stored
 from lakevault.session import work_folder
 
 PIECE = 1 << 20
@@ -200,34 +201,25 @@ def _page(urn: str | None) -> int | None:
     return int(number) if number else None
 
 
-RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
 def read_records(spark: SparkSession, archives: str, with_payload: bool = False, batch: int = 500) -> DataFrame:
     """Every record of normalised archives; a response's size and digest come from its payload."""
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for path in frame["path"]:
-                rows = []
-                for fields, block in members(path):
-                    payload = block.partition(b"\r\n\r\n")[2]
-                    digest, size = fields["warc-payload-digest"].removeprefix("sha1:"), int(fields["x-payload-length"])
-                    if fields["warc-type"] == "response" and (hashlib.sha1(payload).hexdigest(), len(payload)) != (digest, size):
-                        raise ValueError(f"a payload of {path} does not fit its digest")
-                    rows.append((_page(fields["warc-record-id"]), size, digest, fields["warc-type"], _page(fields.get("warc-refers-to")), payload if with_payload else None))
-                    if len(rows) == batch:
-                        yield _frame(rows)
-                        rows = []
-                yield _frame(rows)
-
-    out = _files(spark, archives, "*.warc.gz").mapInPandas(work, RECORD)
-    return out if with_payload else out.drop("payload")
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
-    return frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+    kinds = [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
+    schema = pa.schema(kinds + [("payload", pa.binary())] * with_payload)
+
+    def records(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for path, _ in rows:
+            for fields, block in members(path):
+                payload = block.partition(b"\r\n\r\n")[2]
+                digest, size = fields["warc-payload-digest"].removeprefix("sha1:"), int(fields["x-payload-length"])
+                if fields["warc-type"] == "response" and (hashlib.sha1(payload).hexdigest(), len(payload)) != (digest, size):
+                    raise ValueError(f"a payload of {path} does not fit its digest")
+                yield (_page(fields["warc-record-id"]), size, digest, fields["warc-type"], _page(fields.get("warc-refers-to")), *[payload] * with_payload)
+
+    return _files(spark, archives, "*.warc.gz").mapInArrow(lambda b: arrow_batches(records(arrow_rows(b)), schema, batch), RECORD + ", payload binary" * with_payload)
 
 
 def archive_pages(pages: DataFrame) -> str:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lakevault.llm import toxicity as op
@@ -61,9 +62,55 @@ def test_given_grades_are_used():
 
 def test_odd_rows_and_one_class(spark):
     docs = spark.createDataFrame([(1, None, 1.0, "x"), (1, "", 1.0, "x"), (None, "a " * 50_000, None, None), (2, "b", 0.0, "x")], SCHEMA)
-    labels = spark.createDataFrame([(1, 0), (2, None), (None, 1), (9, 1)], "doc_id long, toxic int")
-    model = op.train(docs, labels)
+    labels = spark.createDataFrame([(1, 0), (2, None), (None, 1), (9, 1), (2, -1)], "doc_id long, toxic int")
+    with pytest.warns(UserWarning, match="0 toxic and 1 clean"):
+        model = op.train(docs, labels)
     got = op.score(docs, model).collect()
-    assert len(got) == 4 and all(r.severity == 0 and r.grade == 0 and not r.toxic for r in got)
+    assert len(got) == 4 and all((r.severity, r.grade, r.toxic) == (None, None, None) for r in got)
     assert op.keep_clean(docs, model).count() == 4
-    assert op.score(docs.filter(F.lit(False)), op.train(docs.filter(F.lit(False)), labels)).collect() == []
+    with pytest.warns(UserWarning):
+        assert op.score(docs.filter(F.lit(False)), op.train(docs.filter(F.lit(False)), labels)).collect() == []
+
+
+def test_labels_without_a_document_take_no_place_in_the_sample(spark):
+    docs, labels = _corpus(60, 4)
+    strangers = [(10_000 + i, i % 2) for i in range(2000)]
+    model = op.train(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels + strangers + [(0, -3), (1, -1)], "doc_id long, toxic int"), limit=60)
+    assert model.thresholds and "=vile" in model.weights
+
+
+def test_more_features_than_room_share_weights():
+    assert op._places(["a", "b"], 2) == {"a": 0, "b": 1}
+    shared = op._places([f"f{i}" for i in range(50)], 8)
+    assert set(shared.values()) <= set(range(8)) and shared == op._places([f"f{i}" for i in range(50)], 8)
+
+
+def test_fit_against_a_plain_optimiser():
+    """The same loss, minimised with numerical gradients and nothing else in common."""
+    rng = np.random.default_rng(3)
+    n, m = 120, 3
+    x = rng.poisson(0.7, (n, m)).astype(float)
+    grades = np.clip((x @ np.array([1.0, 0.6, 0.0]) + rng.normal(0, 0.8, n)).round(), 0, 2).astype(int)
+    lengths = rng.normal(3, 1, n)
+    rows, cols = np.nonzero(x)
+    model = op.fit(rows, cols, x[rows, cols], lengths, grades, ["=a", "=b", "=c"])
+    scaled = (lengths - lengths.mean()) / lengths.std()
+
+    def loss(p):
+        score = x @ p[:m] + p[m] * scaled
+        t = np.array([p[m + 1], p[m + 1] + np.exp(p[m + 2])])
+        over = 1 / (1 + np.exp(t[None, :] - score[:, None]))  # P(grade >= k)
+        edges = np.concatenate([np.ones((n, 1)), over, np.zeros((n, 1))], axis=1)
+        return -np.log(edges[np.arange(n), grades] - edges[np.arange(n), grades + 1]).mean() + op.L2 / 2 * (p[:m] ** 2).sum()
+
+    p, step = np.zeros(m + 3), 0.5
+    while step > 1e-6:  # coordinate search, weights not below zero
+        tries = [np.concatenate([np.maximum(q[:m], 0), q[m:]]) for k in range(m + 3) for q in (p + step * np.eye(m + 3)[k], p - step * np.eye(m + 3)[k])]
+        best = min(tries, key=loss)
+        if loss(best) < loss(p) - 1e-12:
+            p = best
+        else:
+            step /= 2
+    found = np.array([*[model.weights.get(f, 0.0) for f in ("=a", "=b", "=c")], model.length[0], model.thresholds[0], np.log(model.thresholds[1] - model.thresholds[0])])
+    assert loss(found) < loss(p) + 1e-3
+    assert np.abs(found - p).max() < 0.1
