@@ -1,8 +1,9 @@
 """Historised staging area: every version of a source table, with change and delete detection.
 
 A delivery is compared with the current versions by one full outer join on the business key; both
-sides hold a key once. The outcome is two sets: the new set of current rows, and the rows closed by
-this run. Closed rows are never touched again, so a run rewrites only the current set.
+sides hold a key once. The outcome is a list of events: versions it opens and versions it closes. They
+are all that a run has to store; versions with their validity are the opened ones, joined to what
+closed them.
 """
 
 from __future__ import annotations
@@ -72,44 +73,55 @@ def first_delivery(cleaned: DataFrame, spec: Scd2Spec, run_ts: Column) -> DataFr
     return _opened(cleaned, spec, run_ts)
 
 
-def apply_delivery(
-    stored_current: DataFrame, cleaned: DataFrame, spec: Scd2Spec, run_ts: Column,
-    detect_deletes: bool = False,
-) -> DataFrame:
-    """Current rows after the run plus the rows it closed (told apart by ``ng_is_current``).
+LOG = ("ng_rowhash", "ng_at", "ng_is_deleted", "ng_kind")
 
-    ``stored_current`` holds the rows with ``ng_is_current = 1``. Without delete detection, keys
-    missing from the delivery stay current.
-    """
-    old = F.struct(*[F.col(c) for c in stored_current.columns]).alias("_old")
-    new = F.struct(*[F.col(c) for c in cleaned.columns]).alias("_new")
-    both = stored_current.select(F.col(spec.key).alias("_key"), old).join(
-        cleaned.select(F.col(spec.key).alias("_key"), new), "_key", "full_outer")
-    same = F.col("_old.ng_rowhash") == F.col("_new.ng_rowhash")
 
-    def version(kind: str, fields: dict[str, Column], base: str) -> Column:
-        picked = [fields.get(c, F.col(f"{base}.{c}")).alias(c) for c in spec.columns]
-        return F.struct(*picked)
+def log_columns(spec: Scd2Spec) -> list[str]:
+    """Columns of an event; one that closes a version has only its surrogate, its time and whether the key is gone."""
+    return [spec.surrogate, *spec.types, *LOG]
 
-    none = F.lit(None).cast("timestamp_ntz")
-    closing = {"ng_valid_to": run_ts, "ng_is_current": F.lit(0), "ng_update_date": run_ts}
-    kept = version("kept", {}, "_old")
-    changed = version("closed", {**closing, "ng_is_deleted": F.lit(0)}, "_old")
-    deleted = version("deleted", {**closing, "ng_is_deleted": F.lit(1)}, "_old")
-    key_text = F.concat_ws(
-        "|", F.col("_key").cast("string"), F.col("_new.ng_rowhash"), run_ts.cast("string"))
-    opened = version("opened", {
-        spec.surrogate: F.sha2(key_text, 256), "ng_valid_from": run_ts, "ng_valid_to": none,
-        "ng_is_current": F.lit(1), "ng_is_deleted": F.lit(0), "ng_insert_date": run_ts,
-        "ng_update_date": none, "ng_source": F.lit(spec.source),
-    }, "_new")
-    outcome = (
-        F.when(F.col("_old").isNull(), F.array(opened))
-        .when(F.col("_new").isNull(), F.array(deleted if detect_deletes else kept))
-        .when(same, F.array(kept))
-        .otherwise(F.array(changed, opened))
-    )
-    return both.select(F.inline(outcome))
+
+def delivery_events(current: DataFrame, cleaned: DataFrame, spec: Scd2Spec, run_ts: Column, detect_deletes: bool = False) -> DataFrame:
+    """The versions that a delivery opens and closes.
+
+    ``current`` holds key, ``ng_rowhash`` and surrogate of the versions that are open. Without delete
+    detection, keys missing from the delivery stay open.
+    """
+    old = F.struct("ng_rowhash", spec.surrogate).alias("_old")
+    new = F.struct(*[F.col(c) for c in cleaned.columns]).alias("_new")
+    both = current.select(F.col(spec.key).alias("_key"), old).join(cleaned.select(F.col(spec.key).alias("_key"), new), "_key", "full_outer")
+    differs = ~F.col("_old.ng_rowhash").eqNullSafe(F.col("_new.ng_rowhash"))
+    key_text = F.concat_ws("|", F.col("_key").cast("string"), F.col("_new.ng_rowhash"), run_ts.cast("string"))
+    kinds = {**spec.types, "ng_rowhash": "string"}
+    empty = [F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()]
+
+    def event(kind: str, surrogate_: Column, payload: list[Column], deleted: Column) -> Column:
+        return F.struct(surrogate_.alias(spec.surrogate), *payload, run_ts.alias("ng_at"), deleted.alias("ng_is_deleted"), F.lit(kind).alias("ng_kind"))
+
+    opened = event("opened", F.sha2(key_text, 256), [F.col(f"_new.{c}").alias(c) for c in kinds], F.lit(0))
+    gone = F.col("_new").isNull()
+    closed = event("closed", F.col(f"_old.{spec.surrogate}"), empty, gone.cast("int"))
+    closes = F.col("_old").isNotNull() & (F.lit(detect_deletes) & gone | ~gone & differs)
+    opens = ~gone & (F.col("_old").isNull() | differs)
+    events = F.filter(F.array(F.when(closes, closed), F.when(opens, opened)), lambda e: e.isNotNull())
+    return both.where(closes | opens).select(F.inline(events))
+
+
+def first_events(cleaned: DataFrame, spec: Scd2Spec, run_ts: Column) -> DataFrame:
+    """Every row of a first delivery opens a version."""
+    key_text = F.concat_ws("|", F.col(spec.key).cast("string"), F.col("ng_rowhash"), run_ts.cast("string"))
+    return cleaned.select(F.sha2(key_text, 256).alias(spec.surrogate), *spec.types, "ng_rowhash", run_ts.alias("ng_at"), F.lit(0).alias("ng_is_deleted"), F.lit("opened").alias("ng_kind"))
+
+
+def versions_sql(log: str, spec: Scd2Spec, run: int) -> str:
+    """SQL for all versions up to a run: the opened ones with what closed them."""
+    columns = {
+        **{c: f"o.`{c}`" for c in (spec.surrogate, *spec.types, "ng_rowhash")}, "ng_valid_from": "o.ng_at", "ng_valid_to": "c.ng_at",
+        "ng_is_current": "IF(c.ng_at IS NULL, 1, 0)", "ng_is_deleted": "coalesce(c.ng_is_deleted, 0)", "ng_insert_date": "o.ng_at",
+        "ng_update_date": "c.ng_at", "ng_source": f"'{spec.source}'"}
+    listed = ", ".join(f"{columns[c]} AS `{c}`" for c in spec.columns)
+    return (f"SELECT {listed} FROM (SELECT * FROM {log} WHERE ng_kind = 'opened' AND ng_run <= {run}) o LEFT JOIN "
+            f"(SELECT `{spec.surrogate}` AS _sk, ng_at, ng_is_deleted FROM {log} WHERE ng_kind = 'closed' AND ng_run <= {run}) c ON o.`{spec.surrogate}` = c._sk")
 
 
 def detect_deletes(stored_current: DataFrame, cleaned: DataFrame, spec: Scd2Spec, run_ts: Column) -> DataFrame:

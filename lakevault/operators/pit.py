@@ -74,6 +74,67 @@ def build_pit(
     return exploded.select(*columns)
 
 
+def moved(pit: DataFrame, pk: str, versions: dict[str, DataFrame], dates: Sequence[datetime], ldts: str = "load_datetime") -> DataFrame:
+    """The rows of a stored table that new versions point elsewhere.
+
+    Only dates at or after the earliest new version are read.
+    """
+    dates = sorted(dates)
+    state, changed = pit, F.lit(False)
+    keys, earliest = None, None
+    for name, rows in versions.items():
+        laid = _laid_out(rows, pk, "_slots", dates, ldts)
+        slots = F.arrays_zip(F.array(*[_ntz(d) for d in dates]).alias("as_of_date"), F.col("_slots").alias(f"_new_{name}"))
+        found = laid.select(pk, F.explode(slots).alias("_s")).select(pk, "_s.*").where(F.col(f"_new_{name}").isNotNull())
+        state = state.join(found, [pk, "as_of_date"], "left")
+        changed = changed | F.coalesce(F.col(f"_new_{name}") > F.col(f"{name}_ldts"), F.lit(False))
+        keys = rows.select(pk) if keys is None else keys.unionByName(rows.select(pk))
+        first = rows.agg(F.min(ldts)).first()[0]
+        earliest = first if earliest is None or first is not None and first < earliest else earliest
+    state = state.join(keys.distinct(), pk, "left_semi")
+    if earliest is not None:
+        state = state.where(F.col("as_of_date") >= _ntz(earliest))
+    columns = []
+    for c in pit.columns:
+        name = c.removesuffix("_ldts").removesuffix("_pk") if c not in (pk, "as_of_date") else None
+        if name in versions:
+            later = F.col(f"_new_{name}") > F.col(f"{name}_ldts")
+            columns.append(F.when(later, F.col(f"_new_{name}") if c.endswith("_ldts") else F.col(pk)).otherwise(F.col(c)).alias(c))
+        else:
+            columns.append(F.col(c))
+    return state.where(changed).select(*columns)
+
+
+def carried(
+    pit: DataFrame, hub: DataFrame, pk: str, satellites: dict[str, DataFrame], known: Sequence[datetime],
+    new: Sequence[datetime], ldts: str = "load_datetime",
+) -> DataFrame:
+    """Rows for dates that a stored table does not have yet.
+
+    The pointers of the last stored date before a new one are carried forward, and only versions after
+    that date are read.
+    """
+    out = None
+    groups: dict[datetime | None, list[datetime]] = {}
+    for date in sorted(new):
+        groups.setdefault(max((k for k in known if k < date), default=None), []).append(date)
+    for before, dates in groups.items():
+        later = {n: s.where(F.col(ldts) <= _ntz(dates[-1])) for n, s in satellites.items()}
+        if before is not None:
+            later = {n: s.where(F.col(ldts) > _ntz(before)) for n, s in later.items()}
+        rows = build_pit(hub, pk, later, dates, ldts)
+        if before is not None:
+            old = pit.where(F.col("as_of_date") == _ntz(before)).select(
+                pk, *[F.col(f"{n}_{part}").alias(f"_{n}_{part}") for n in satellites for part in ("pk", "ldts")])
+            columns = [F.col(pk), F.col("as_of_date")]
+            for n in satellites:
+                stays = F.col(f"{n}_ldts") == _ntz(GHOST_TIME)
+                columns += [F.when(stays, F.coalesce(f"_{n}_{part}", f"{n}_{part}")).otherwise(F.col(f"{n}_{part}")).alias(f"{n}_{part}") for part in ("pk", "ldts")]
+            rows = rows.join(old, pk, "left").select(*columns)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def at_point(
     pit: DataFrame, sat: DataFrame, pk: str, sat_name: str,
     ldts: str = "load_datetime", hashdiff: str = "hashdiff",

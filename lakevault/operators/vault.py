@@ -37,9 +37,15 @@ class HubSpec:
     def columns(self) -> list[str]:
         return [self.pk, self.nk, self.ldts, self.record_source]
 
+    @property
+    def stored(self) -> list[str]:
+        return self.columns
+
 
 @dataclass(frozen=True)
 class LinkSpec:
+    """``child`` names dependent child keys: what tells rows of one relation apart, kept with the link."""
+
     name: str
     pk: str
     fks: tuple[str, ...]
@@ -48,6 +54,7 @@ class LinkSpec:
     record_source: str = "record_source"
     branch: str = "classic"
     one_row_per_key: bool = False
+    child: tuple[str, ...] = ()
 
     @property
     def keys(self) -> tuple[str, ...]:
@@ -57,6 +64,10 @@ class LinkSpec:
     def columns(self) -> list[str]:
         return [self.pk, *self.fks, self.ldts, self.record_source]
 
+    @property
+    def stored(self) -> list[str]:
+        return [*self.columns, *self.child]
+
 
 @dataclass(frozen=True)
 class SatSpec:
@@ -90,7 +101,7 @@ def touching(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 def key_rows(source: DataFrame, target: DataFrame | None, spec: HubSpec | LinkSpec) -> DataFrame:
     """Hub or link rows not stored yet: the earliest row per new key, keys with NULL parts dropped."""
-    rows = source.select(*spec.columns).dropna(subset=list(spec.keys))
+    rows = source.select(*spec.stored).dropna(subset=list(spec.keys))
     if spec.one_row_per_key:
         fresh = rows
     else:

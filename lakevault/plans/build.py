@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakevault.operators import history as scd
 from lakevault.operators import quality
-from lakevault.operators.pit import build_pit
 from lakevault.operators.staging import stage
 from lakevault.operators.vault import HubSpec, LinkSpec, SatSpec, count_tables, key_rows, sat_rows
-from lakevault.plans import marts, model, suite
+from lakevault.plans import increments, marts, model, suite
 from lakevault.session import work_folder
 from lakevault.sources.contracts import require_key
-from lakevault.sources.tables import BY_PARTITION, Lake, buckets_for, folder_bytes
+from lakevault.sources.tables import Lake, buckets_for, folder_bytes
 
 PARALLEL = 4  # independent tables loaded at the same time
 
@@ -90,8 +90,9 @@ def load_raw(lake: Lake, spark, sf_dir: str, batch: int = 1) -> None:
     _each(list(deliveries), lambda t: lake.merge("raw", t, deliveries[t](spark, sf_dir), model.RAW_KEYS[t]))
 
 
-def load_vault(lake: Lake, staged: Callable[[str], DataFrame | None], names: Iterable[str]) -> None:
-    """Append what the staged sources bring that is not stored yet."""
+def load_vault(lake: Lake, staged: Callable[[str], DataFrame | None], names: Iterable[str], keep: bool = False) -> dict[str, DataFrame]:
+    """Append what the staged sources bring that is not stored yet; with ``keep`` returns these rows."""
+    added: dict[str, DataFrame] = {}
     specs = {**model.HUBS, **model.LINKS, **model.SATS, **model.PSA_HUBS, **model.PSA_SATS}
 
     def load(name: str) -> None:
@@ -102,25 +103,24 @@ def load_vault(lake: Lake, staged: Callable[[str], DataFrame | None], names: Ite
         rule = sat_rows if isinstance(spec, SatSpec) else key_rows
         rows = rule(source, lake.read_or_none("raw_vault", name), spec)
         spread = spec.pk if not isinstance(spec, SatSpec) or spec.one_row_per_key else None
+        if keep:
+            rows = added[name] = lake.landed(rows, name)
         lake.append("raw_vault", name, rows, bucket_by=spread)
 
     _each([n for n in names if n in specs], load)
+    return added
 
 
 def build_pits(lake: Lake, names: Iterable[str], dates: Sequence[datetime]) -> None:
-    tables = Tables(lake)
-
-    def build(name: str) -> None:
-        hub, sats = model.PITS[name]
-        pit = build_pit(tables[hub], model.HUBS[hub].pk, {s: tables[s] for s in sats}, dates)
-        lake.replace("raw_vault", name, pit, force=True, partition_by=["as_of_date"])
-
-    _each([n for n in names if n in model.PITS], build)
+    _each([n for n in names if n in model.PITS], lambda n: increments.build_pit(lake, n, Tables(lake), dates))
 
 
 def build_marts(lake: Lake, names: Iterable[str]) -> None:
-    tables = Tables(lake)
-    _each([n for n in names if n in marts.MARTS], lambda n: lake.replace("mart", n, marts.MARTS[n](tables)))
+    """Totals and marts from the whole vault."""
+    wanted = [n for n in names if n in marts.MARTS]
+    if wanted:
+        increments.build_totals(lake, Tables(lake))
+        _each(wanted, lambda n: increments.build_mart(lake, n, Tables(lake)))
 
 
 def run_tests(lake: Lake, run_ts: datetime, run_id: str, tests: Sequence[quality.Test] | None = None,
@@ -183,7 +183,7 @@ def build_all(lake: Lake, spark, sf_dir: str, dates: Sequence[datetime], names:
 
 
 def apply_delta(lake: Lake, spark, sf_dir: str, dates: Sequence[datetime]) -> None:
-    """Upsert the delta into raw and load only its rows into the vault."""
+    """Upsert the delta into raw, load its rows into the vault, and bring what is derived up to date with them."""
     load_raw(lake, spark, sf_dir, batch=2)
     changed = model._RAW[2]
 
@@ -191,9 +191,10 @@ def apply_delta(lake: Lake, spark, sf_dir: str, dates: Sequence[datetime]) -> No
         return model.staged(spark, sf_dir, source, 2) if source in changed else None
 
     names = select_models(exclude=["psa"])
-    load_vault(lake, staged, names)
-    build_pits(lake, names, dates)
-    build_marts(lake, names)
+    deltas = load_vault(lake, staged, names, keep=True)
+    tables = Tables(lake)
+    _each([n for n in names if n in model.PITS], lambda n: increments.update_pit(lake, n, tables, deltas, dates))
+    increments.update_marts(lake, tables, deltas, names, _each)
 
 
 _BUILT: dict[tuple[str, str], Lake] = {}
@@ -209,6 +210,18 @@ def warehouse(spark, sf_dir: str, dates: Sequence[datetime]) -> Lake:
     return _BUILT[key]
 
 
+def changed_warehouse(spark, sf_dir: str, dates: Sequence[datetime]) -> Lake:
+    """The stored warehouse after a delta run, built once per application and input. It takes its point-in-time
+    tables from all but the last date, so that the run has a date to add."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} after delta")
+    if key not in _BUILT:
+        lake = new_lake(spark, sf_dir)
+        build_all(lake, spark, sf_dir, dates[:-1])
+        apply_delta(lake, spark, sf_dir, dates)
+        _BUILT[key] = lake
+    return _BUILT[key]
+
+
 def new_lake(spark, input_folder: str | None = None) -> Lake:
     """An empty warehouse in a fresh part of the work folder, with databases of its own, its bucket
     count chosen for the size of the input."""
@@ -219,52 +232,74 @@ def new_lake(spark, input_folder: str | None = None) -> Lake:
 
 # --- historised staging ---
 
-def _differs(current: DataFrame, delivery: DataFrame, key: str, detect_deletes: bool) -> bool:
-    """Whether a delivery would still change the current rows."""
-    new = delivery.join(current, [key, "ng_rowhash"], "left_anti")
-    gone = current.join(delivery, [key], "left_anti")
-    return bool(new.limit(1).count() or detect_deletes and gone.limit(1).count())
+#: a snapshot of the open versions is stored when so many events per open version came since the last one
+SNAPSHOT_AFTER = 0.5
+
+
+def _open_versions(lake: Lake, spec: scd.Scd2Spec, table: str, state: dict) -> DataFrame:
+    """The open versions after the last run: its snapshot, what was opened since, without what was closed since."""
+    log = lake.spark.table(f"{lake.name('psa', table)}__log").where(F.col("ng_run") <= state["run"])
+    held = (F.col("ng_run") == state["base"]) & (F.col("ng_kind") == state["base_kind"])
+    since = F.col("ng_run") > state["base"]
+    closed = log.where(since & (F.col("ng_kind") == "closed")).select(spec.surrogate)
+    return log.where(held | since & (F.col("ng_kind") == "opened")).join(closed, spec.surrogate, "left_anti")
+
+
+def psa_state(lake: Lake, table: str) -> dict | None:
+    return json.loads(lake.spark.catalog.getTable(lake.name("psa", table)).description) if lake.exists("psa", table) else None
 
 
 def psa_run(lake: Lake, spec: scd.Scd2Spec, table: str, source: DataFrame, run_ts: datetime,
             detect_deletes: bool = True) -> None:
     """Apply one full delivery to a stored history.
 
-    A run writes two partitions: the current rows after it, and the rows it closed. Closed rows of
-    earlier runs are not touched. The view is replaced last and names the newest run it trusts, so
-    a run becomes visible at once, and one that died half way overwrites its own partitions when
-    it is repeated. Applying a run a second time does nothing; another delivery under the time of the
-    last run, or an older run, is refused.
+    A run appends the versions it opened and closed to a log, and nothing else; when enough events have
+    come together, also a snapshot of the open versions, so that the next run need not read the whole
+    log. The view is replaced last and names the newest run it trusts, so a run becomes visible at
+    once, and one that died half way is written anew when it is repeated. Applying a run a second time
+    does nothing; another delivery under the time of the last run, or an older run, is refused.
     """
     run = int((run_ts - datetime(1970, 1, 1)) / timedelta(microseconds=1))
-    view, store = lake.name("psa", table), lake.name("psa", f"{table}__runs")
-    shown = int(lake.spark.catalog.getTable(view).description) if lake.exists("psa", table) else None
-    if shown is not None and run < shown:
+    view, log = lake.name("psa", table), f"{lake.name('psa', table)}__log"
+    state = psa_state(lake, table)
+    if state is not None and run < state["run"]:
         raise ValueError(f"psa.{table}: a run at {run_ts} is older than the last one")
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     cleaned = scd.clean(source, spec)
     require_key(spec.source, cleaned, [spec.key])
-    if shown == run:
-        current = lake.read("psa", table).where("ng_is_current = 1")
-        if _differs(current, cleaned, spec.key, detect_deletes):
+    if state is not None and run == state["run"]:
+        if not scd.delivery_events(_open_versions(lake, spec, table, state), cleaned, spec, now, detect_deletes).isEmpty():
             raise ValueError(f"psa.{table}: another delivery was applied at {run_ts} already")
         return
-    if shown is None:
-        outcome = scd.first_delivery(cleaned, spec, now)
+    if state is None:
+        events = scd.first_events(cleaned, spec, now)
+    else:
+        events = scd.delivery_events(_open_versions(lake, spec, table, state), cleaned, spec, now, detect_deletes)
+    seen = Observation()
+    counted = events.observe(seen, F.count_if(F.col("ng_kind") == "opened").alias("opened"), F.count_if(F.col("ng_kind") == "closed").alias("closed"))
+    rows = counted.withColumn("ng_run", F.lit(run).cast("bigint"))
+    if lake.exists("psa", f"{table}__log"):
+        # what a run that died left behind
+        lake.drop_partitions("psa", f"{table}__log", lambda values: int(values["ng_run"]) > (state["run"] if state else -(2**63)))
+        _append_events(lake, log, rows)
     else:
-        stored = lake.spark.table(store).where((F.col("ng_run") == shown) & (F.col("ng_is_current") == 1))
-        outcome = scd.apply_delivery(stored.select(*spec.columns), cleaned, spec, now, detect_deletes)
-    plain = [c for c in spec.columns if c != "ng_is_current"]
-    rows = outcome.select(*plain, F.lit(run).cast("bigint").alias("ng_run"), "ng_is_current")
-    if lake.exists("psa", f"{table}__runs"):
-        rows.write.mode("overwrite").insertInto(store)
+        rows.write.partitionBy("ng_run", "ng_kind").format("parquet").saveAsTable(log)
+        lake.spark.catalog.refreshTable(log)
+    if state is None:
+        state = {"run": run, "base": run, "base_kind": "opened", "held": seen.get["opened"], "since": 0}
     else:
-        rows.write.options(**BY_PARTITION).partitionBy("ng_run", "ng_is_current").format("parquet").saveAsTable(store)
-    lake.spark.sql(
-        f"CREATE OR REPLACE VIEW {view} COMMENT '{run}' AS SELECT {', '.join(spec.columns)} FROM {store} "
-        f"WHERE (ng_is_current = 1 AND ng_run = {run}) OR (ng_is_current = 0 AND ng_run <= {run})")
-    if shown is not None:
-        lake.drop_old_partitions("psa", f"{table}__runs", "ng_run", ("ng_is_current", 1), keep=(shown, run))
+        state = {**state, "run": run, "since": state["since"] + seen.get["opened"] + seen.get["closed"]}
+        if state["since"] > SNAPSHOT_AFTER * max(state["held"], 1):
+            open_ = Observation()
+            held = _open_versions(lake, spec, table, state).withColumns({"ng_kind": F.lit("open"), "ng_run": F.lit(run).cast("bigint")})
+            _append_events(lake, log, held.observe(open_, F.count(F.lit(1)).alias("rows")))
+            state = {"run": run, "base": run, "base_kind": "open", "held": open_.get["rows"], "since": 0}
+    lake.spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT '{json.dumps(state)}' AS {scd.versions_sql(log, spec, run)}")
+
+
+def _append_events(lake: Lake, log: str, rows: DataFrame) -> None:
+    rows.select(*lake.spark.table(log).columns).write.mode("append").insertInto(log)
+    lake.spark.catalog.refreshTable(log)
 
 
 def psa_vault(lake: Lake, table: str = "customers_psa") -> None:

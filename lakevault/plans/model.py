@@ -70,7 +70,7 @@ LINKS = {l.name: l for l in (
     LinkSpec("lnk_order_customer", "order_customer_hk", ("order_hk", "customer_hk"), "orders", one_row_per_key=True),
     LinkSpec("lnk_order_employee", "order_employee_hk", ("order_hk", "employee_hk"), "orders", one_row_per_key=True),
     LinkSpec("lnk_order_product", "order_product_hk", ("order_hk", "product_hk"), "order_details",
-             one_row_per_key=True),
+             one_row_per_key=True, child=("line_number",)),
 )}
 
 SATS = {s.name: s for s in (
@@ -92,6 +92,7 @@ RAW_KEYS = {
     "order_details": ("order_id", "product_id", "line_number"),
 }
 
+# The domains and their tables.
 DOMAINS = {
     "domain_master": ("hub_customer", "hub_employee", "hub_product",
                       "sat_customer", "sat_employee", "sat_product"),

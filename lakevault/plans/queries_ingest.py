@@ -6,6 +6,7 @@ back.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from lakevault.operators.staging import stage
 from lakevault.operators.vault import HubSpec, count_tables, key_rows
 from lakevault.plans import build, model, raw
+from lakevault.plans.checks import PARTS, _current
 from lakevault.plans.queries_quality import NOW, _SUITE_SQL
 from lakevault.plans.queries_time import AS_OF
 from lakevault.plans.registry import query
@@ -127,6 +129,66 @@ def ingest_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
+_THIRD, _TWO_THIRDS, _FAR = 300, 600, 5_000_000_000
+_WIDE = f"""SELECT event_id, CASE WHEN event_id < {_THIRD} THEN user_id ELSE user_id + {_FAR} END AS user_id,
+        CASE WHEN event_id < {_TWO_THIRDS} THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE ts END AS seen,
+        CAST(CASE WHEN event_id < {_THIRD} THEN CAST(user_id AS DECIMAL(12,4)) ELSE CAST(event_id AS DECIMAL(12,4)) / 8 END AS DECIMAL(14,4)) AS amount
+        FROM events"""
+
+
+@query("ingest_type_widening", _WIDE)
+def ingest_type_widening(spark: SparkSession, sf: str) -> DataFrame:
+    """Three deliveries: the cursor and a number grow from int to bigint, an amount gets more digits and
+    decimals, a date becomes a time. The cursor goes on over the change."""
+    events = raw.given(spark, sf, "events")
+    first = events.where(f"event_id < {_THIRD}").selectExpr(
+        "CAST(event_id AS INT) AS event_id", "CAST(user_id AS INT) AS user_id", "CAST(ts AS DATE) AS seen", "CAST(user_id AS DECIMAL(9,2)) AS amount")
+    second = events.where(f"event_id < {_TWO_THIRDS}").selectExpr(
+        "event_id", f"user_id + {_FAR} AS user_id", "CAST(ts AS DATE) AS seen", "CAST(event_id / 8.0D AS DECIMAL(12,4)) AS amount")
+    third = events.selectExpr("event_id", f"user_id + {_FAR} AS user_id", "ts AS seen", "CAST(event_id / 8.0D AS DECIMAL(12,4)) AS amount")
+    second = second.where(f"event_id >= {_THIRD}")
+    third = third.where(f"event_id >= {_TWO_THIRDS}")
+    wide = _deliver(build.new_lake(spark, sf), "events", "append", [first, second, third], incremental={"cursor": "event_id"})
+    return wide.withColumn("amount", F.col("amount").cast("decimal(14,4)"))
+
+
+@query("ingest_type_conflict", f"""SELECT event_id, CASE WHEN event_id < {_THIRD} OR event_id >= {_TWO_THIRDS} THEN value END AS value,
+        CASE WHEN event_id >= {_THIRD} AND event_id < {_TWO_THIRDS} THEN event_type END AS value__v_string FROM events""")
+def ingest_type_conflict(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers, then texts, then numbers again under one name: the texts go to a column of their own."""
+    events = raw.given(spark, sf, "events")
+    return _deliver(build.new_lake(spark, sf), "events", "append", [
+        events.where(f"event_id < {_THIRD}").select("event_id", "value"),
+        events.where(f"event_id >= {_THIRD} AND event_id < {_TWO_THIRDS}").select("event_id", F.col("event_type").alias("value")),
+        events.where(f"event_id >= {_TWO_THIRDS}").select("event_id", "value")])
+
+
+@query("ingest_merge_null_key", """SELECT CASE WHEN id % 7 = 0 THEN NULL ELSE id END AS id, nation_id, count(*) AS customers, 'second' AS delivery
+        FROM raw_customers GROUP BY 1, 2 UNION ALL SELECT CASE WHEN id % 7 = 0 THEN NULL ELSE id END, nation_id + 100, count(*), 'first'
+        FROM raw_customers GROUP BY 1, 2""")
+def ingest_merge_null_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys with NULL parts are merged like others: the second delivery replaces the first one's row."""
+    counted = raw.customers(spark, sf).groupBy(F.when(F.col("id") % 7 != 0, F.col("id")).alias("id"), "nation_id").agg(F.count(F.lit(1)).alias("customers"))
+    first = counted.withColumns({"customers": F.col("customers") + 1, "delivery": F.lit("first")})
+    others = counted.withColumns({"nation_id": F.col("nation_id") + 100, "delivery": F.lit("first")})
+    return _deliver(build.new_lake(spark, sf), "customers", "merge", [first.unionByName(others), counted.withColumn("delivery", F.lit("second"))],
+                    primary_key=["id", "nation_id"])
+
+
+@query("merge_compacted", "SELECT * FROM raw_customers_after_delta")
+def merge_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Folded after the delta, delivered in part again in an older state, folded, and brought up to date."""
+    lake = build.new_lake(spark, sf)
+    delta = raw.customers_delta(spark, sf)
+    lake.merge("raw", "customers", raw.customers(spark, sf), ["id"])
+    lake.merge("raw", "customers", delta, ["id"])
+    lake.fold("raw", "customers")
+    lake.merge("raw", "customers", raw.customers(spark, sf).where("balance < 0"), ["id"])
+    lake.fold("raw", "customers")
+    lake.merge("raw", "customers", delta, ["id"])
+    return lake.read("raw", "customers")
+
+
 # --- cursor ------------------------------------------------------------------------------------------
 
 _CURSOR = {"primary_key": "event_id", "incremental": {"cursor": "ts", "initial_value": "2024-01-03"}}
@@ -250,6 +312,53 @@ def dq_persist(spark: SparkSession, sf: str) -> DataFrame:
     return stored.drop("run_date")
 
 
+def after_delta() -> dict[str, str]:
+    """SQL of the vault and marts once the delta is in: the same definitions over all rows."""
+    grown = ("hub_customer", "hub_order", "lnk_order_customer", "lnk_order_employee", "lnk_order_product", "sat_customer", "sat_order", "sat_order_detail")
+    same = ("hub_employee", "hub_product", "sat_employee", "sat_product")
+    parts = {f"full_{n}": f"SELECT * FROM {n} UNION ALL SELECT * FROM new_{n}" for n in grown} | {f"full_{n}": f"SELECT * FROM {n}" for n in same}
+    for n, pk in (("sat_customer", "customer_hk"), ("sat_order", "order_hk"), ("sat_order_detail", "order_product_hk")):
+        parts[f"cur_full_{n}"] = _current(f"full_{n}", pk)
+    renamed = {n: f"full_{n}" for n in (*grown, *same)} | {"cur_sat_customer": "cur_full_sat_customer", "sat_order": "cur_full_sat_order",
+                                                          "sat_order_detail": "cur_full_sat_order_detail"}
+    renamed |= {n: f"full_{n}" for n in ("order_lines", "order_items")}
+    for n in ("order_lines", "order_items", "mart_revenue_per_customer", "mart_order_overview", "mart_product_sales"):
+        parts[f"full_{n}"] = re.sub(r"\w+", lambda m: renamed.get(m[0], m[0]), PARTS[n])
+    return parts
+
+
+def _register_after_delta(name: str, mart: str) -> None:
+    @query(name, f"SELECT * FROM full_{mart}", **after_delta())
+    def read(spark: SparkSession, sf: str) -> DataFrame:
+        """The mart that a delta run has brought up to date; nothing is built anew."""
+        return build.changed_warehouse(spark, sf, AS_OF).read("mart", mart)
+
+
+for _mart in ("revenue_per_customer", "order_overview", "product_sales"):
+    _register_after_delta(f"mart_{_mart.replace('_per_customer', '')}_after_delta", f"mart_{_mart}")
+
+
+_DIGESTED = {
+    "hub_customer": "customer_hk, customer_id", "hub_order": "order_hk, order_id", "lnk_order_customer": "order_customer_hk, order_hk, customer_hk",
+    "lnk_order_product": "order_product_hk, order_hk, product_hk", "sat_customer": "customer_hk, hashdiff", "sat_order": "order_hk, hashdiff",
+    "sat_order_detail": "order_product_hk, hashdiff"}
+
+
+@query("vault_after_delta", " UNION ALL ".join(
+    f"""SELECT '{n}' AS table_name, count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {columns}, load_datetime)), 1, 12) AS BIGINT)) AS DECIMAL(38,0)) AS digest
+    FROM full_{n}""" for n, columns in _DIGESTED.items()), **after_delta())
+def vault_after_delta(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and contents (a sum of row hashes) of the stored vault after a delta run."""
+    lake = build.changed_warehouse(spark, sf, AS_OF)
+    out = None
+    for name, columns in _DIGESTED.items():
+        row = F.md5(F.concat_ws("|", *columns.split(", "), F.col("load_datetime").cast("string")))
+        digest = F.sum(F.conv(F.substring(row, 1, 12), 16, 10).cast("decimal(28,0)"))
+        part = lake.read("raw_vault", name).agg(F.count(F.lit(1)).alias("row_count"), digest.alias("digest")).select(F.lit(name).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 _ALL_COUNTS = {
     "raw.customers": "raw_customers_after_delta", "raw.employees": "raw_employees", "raw.products": "raw_products",
     **{f"raw.{n}": f"(SELECT 1 FROM raw_{n} UNION ALL SELECT 1 FROM raw_{n}_delta)" for n in ("orders", "order_details")},

@@ -55,6 +55,12 @@ def src_asof_seed(spark: SparkSession, sf: str) -> DataFrame:
     return raw.given(spark, sf, "orders").agg(months.alias("m")).select(F.explode("m").alias("as_of_date"))
 
 
+@query("pit_incremental", _pit_sql("all_hub_customer", "customer_hk", {"sat_customer": "all_sat_customer"}, AS_OF))
+def pit_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table after a delta run: pointers moved, keys and a date added, the rest left as it was."""
+    return build.changed_warehouse(spark, sf, AS_OF).read("raw_vault", "pit_customer")
+
+
 @query("pit_customer", _pit_sql("all_hub_customer", "customer_hk", {"sat_customer": "all_sat_customer"}, AS_OF))
 def pit_customer(spark: SparkSession, sf: str) -> DataFrame:
     vault = Vault(spark, sf, with_delta=True)

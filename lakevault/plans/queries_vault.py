@@ -66,8 +66,13 @@ def stage_ranked(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- vault loads ---------------------------------------------------------------------------
 
+def _columns(name: str) -> list[str]:
+    """Without dependent child keys, which only tell the rows of a link apart."""
+    return {**model.HUBS, **model.LINKS, **model.SATS}[name].columns
+
+
 def _register_load(name: str) -> None:
-    query(name, f"SELECT * FROM {name}")(lambda spark, sf: Vault(spark, sf)[name])
+    query(name, f"SELECT * FROM {name}")(lambda spark, sf: Vault(spark, sf)[name].select(*_columns(name)))
 
 
 for _name in (*model.HUBS, *model.LINKS, *model.SATS):
@@ -75,7 +80,7 @@ for _name in (*model.HUBS, *model.LINKS, *model.SATS):
 
 
 def _register_delta(key: str, name: str) -> None:
-    query(key, f"SELECT * FROM new_{name}")(lambda spark, sf: Vault(spark, sf).delta_rows(name))
+    query(key, f"SELECT * FROM new_{name}")(lambda spark, sf: Vault(spark, sf).delta_rows(name).select(*_columns(name)))
 
 
 _register_delta("hub_customer_delta", "hub_customer")
@@ -158,7 +163,7 @@ def join_hub_sat(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("join_link_sat", "SELECT * FROM order_lines")
 def join_link_sat(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.order_lines(Vault(spark, sf))
+    return marts.order_lines(Vault(spark, sf)).drop("line_number")
 
 
 @query("order_items", "SELECT * FROM order_items")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakevault.operators.ordered import first_per_key
-from lakevault.sources import files, paged_api, relational
+from lakevault.sources import drift, files, paged_api, relational
 from lakevault.sources.tables import LOAD_ID, Lake
 
 DISPOSITIONS = ("append", "replace", "merge")
@@ -136,31 +136,42 @@ def _loads_of(lake: Lake, pipeline: str, table: str) -> DataFrame | None:
     return None
 
 
-def last_cursor(lake: Lake, pipeline: str, table: str) -> str | None:
-    """The highest cursor value any finished load of this table has stored, compared as values of
-    the cursor's type, whatever the load ids are."""
+def cursor_type(lake: Lake, pipeline: str, table: str) -> str | None:
+    """The type that holds every cursor value the finished loads of this table have stored."""
     loads = _loads_of(lake, pipeline, table)
     if loads is None:
         return None
-    stored = loads.where("cursor_value IS NOT NULL")
     # one row per type the cursor column ever had
-    types = sorted(r[0] for r in stored.select("cursor_type").distinct().collect())
-    if len(types) > 1:
-        raise ValueError(f"{pipeline}.{table}: the cursor's type changed ({', '.join(types)})")
-    if not types:
+    types = sorted(r[0] for r in loads.where("cursor_value IS NOT NULL").select("cursor_type").distinct().collect())
+    wide = drift.widest(types) if types else None
+    if types and wide is None:
+        raise ValueError(f"{pipeline}.{table}: the cursor had unrelated types ({', '.join(types)})")
+    return wide
+
+
+def last_cursor(lake: Lake, pipeline: str, table: str) -> str | None:
+    """The highest cursor value any finished load of this table has stored, compared as values of
+    the widest type the cursor had, whatever the load ids are."""
+    kind = cursor_type(lake, pipeline, table)
+    if kind is None:
         return None
-    return stored.agg(F.max(F.col("cursor_value").cast(types[0])).cast("string")).first()[0]
+    return _loads_of(lake, pipeline, table).agg(F.max(F.col("cursor_value").cast(kind)).cast("string")).first()[0]
 
 
-def _cursor_literal(df: DataFrame, cursor: str, start):
-    """A start as a literal of the cursor column's own type; text that is none fails the load."""
-    return F.lit(str(start)).cast(df.schema[cursor].dataType)
+def _cursor_literal(df: DataFrame, cursor: str, start, kind: str | None = None):
+    """A start as a literal of the cursor column's type, or of the wider one that a stored start had;
+    text that is none fails the load."""
+    own = df.schema[cursor].dataType.simpleString()
+    wide = drift.widest([own, kind]) if kind else own
+    if wide is None:
+        raise ValueError(f"{cursor}: the cursor's type changed from {kind} to {own}")
+    return F.lit(str(start)).cast(wide)
 
 
-def since_cursor(df: DataFrame, cursor: str, start) -> DataFrame:
-    """Rows at or after ``start``. The literal has the column's type, so the filter is pushed to the
-    source."""
-    return df if start is None else df.where(F.col(cursor) >= _cursor_literal(df, cursor, start))
+def since_cursor(df: DataFrame, cursor: str, start, kind: str | None = None) -> DataFrame:
+    """Rows at or after ``start``. The literal has the column's type where that can hold it, so the
+    filter is pushed to the source."""
+    return df if start is None else df.where(F.col(cursor) >= _cursor_literal(df, cursor, start, kind))
 
 
 def without_loaded(lake: Lake, spec: IngestSpec, table: TableSpec, landed: DataFrame, last, load_id: str) -> DataFrame:
@@ -169,15 +180,18 @@ def without_loaded(lake: Lake, spec: IngestSpec, table: TableSpec, landed: DataF
     compared."""
     if last is None or not lake.exists(spec.schema, table.name):
         return landed
-    at = _cursor_literal(landed, table.cursor, last)
-    stored = lake.spark.table(lake.name(spec.schema, table.name)).where((F.col(table.cursor) == at) & (F.col(LOAD_ID) != load_id))
-    on = list(table.primary_key) or [c for c in landed.columns if c in stored.columns and not isinstance(landed.schema[c].dataType, T.MapType)]
+    held = lake.read(spec.schema, table.name)
+    shape, goes = drift.merged(T.StructType([f for f in held.schema if f.name != LOAD_ID]), landed.schema)
+    start = _cursor_literal(landed, table.cursor, last, held.schema[table.cursor].dataType.simpleString())
+    at = F.col(table.cursor) == start
+    known = drift.aligned(held.where((F.col(LOAD_ID) != load_id) & at), shape, {c: c for c in shape.names if c in held.columns})
+    on = list(table.primary_key) or [goes[f.name] for f in landed.schema if not isinstance(f.dataType, T.MapType)]
     same = F.lit(True)
-    known = stored.select(*[F.col(c).alias(f"__{c}") for c in on])
     for c in on:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    boundary = landed.where(F.col(table.cursor) == at).join(known, same, "left_anti")
-    return landed.where(F.col(table.cursor) > at).unionByName(boundary)
+        same = same & F.col(f"l.`{c}`").eqNullSafe(F.col(f"k.`{c}`"))
+    rows = drift.aligned(landed, shape, goes)
+    boundary = rows.where(at).alias("l").join(known.select(*on).alias("k"), same, "left_anti")
+    return rows.where(F.col(table.cursor) > start).unionByName(boundary)
 
 
 # --- the load ---
@@ -201,7 +215,7 @@ def load_table(lake: Lake, spec: IngestSpec, table: TableSpec, load_id: str) ->
     start = last if last is not None else table.initial_value
     rows = READERS[spec.type](lake, spec, table, start)
     if table.cursor:
-        rows = since_cursor(rows, table.cursor, start)
+        rows = since_cursor(rows, table.cursor, start, cursor_type(lake, spec.name, table.name))
 
     seen = Observation()
     newest = F.max(F.col(table.cursor)).cast("string") if table.cursor else F.lit(None).cast("string")

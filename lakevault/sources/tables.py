@@ -1,35 +1,48 @@
 """Stored tables: one Spark database per layer, Parquet underneath.
 
-Three ways to store, by how a table changes:
+Five ways to store, by how a table changes:
 
 * ``append``: insert-only tables (vault, result logs), optionally bucketed by their key so that
   joins and per-key windows on it need no shuffle;
 * ``replace``: rebuilt tables (marts, point-in-time tables). The new content becomes a table of its
   own and a view is pointed at it, so readers never see half a table;
-* ``merge``: keyed tables, partitioned by a hash bucket of the key. A delivery is appended to
-  ``<table>__deltas`` and nothing else is written; readers take a key's newest delivered row, else the
-  base row (an anti-join of the base with the delivered keys). ``compact`` folds the deliveries into
-  the base: only the buckets they touch are rewritten, first as ``<table>__pending``; if the job dies
-  while exchanging them, readers take those buckets from there and the next merge or compaction
-  repeats the exchange. One writer per table at a time.
+* ``refresh``: derived tables that take changes (marts, totals, point-in-time tables). Rows lie in cells
+  (a hash bucket of their key, or a column such as a date); only cells that hold changed keys are
+  written anew, rows of new keys are added next to them, and the view names the run each cell counts
+  from;
+* ``append_load``: raw loads, one partition each; a repeated load overwrites its own;
+* ``merge``: keyed raw tables. A delivery is a partition like any load, and nothing else is written.
+  The table is a view: the newest delivered row of a key, else its base row; keys with NULL parts are
+  keys like others. After ``FOLD_AFTER`` deliveries the content is stored as a new base partition and
+  the view starts there.
+
+Raw tables take schema drift: a delivery that brings new columns or wider types opens a new store of
+that shape, and the view reads older stores through casts; values of an unrelated type go to a variant
+column (``lakevault.sources.drift``). Nothing that is stored is rewritten for it. The view names the
+loads it trusts and is replaced last, so a load that died is not seen. One writer per table at a time.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakevault.operators.ordered import first_per_key
 from lakevault.operators.vault import count_tables
+from lakevault.sources import drift
 from lakevault.sources.contracts import require_key
 
 LAYERS = ("raw", "staging", "raw_vault", "psa", "mart", "dq", "dq_audit", "meta")
-BUCKET = "key_bucket"
-MERGE = "merge_no"
-KEYS = "merge.keys"
+MERGE = "_merge_no"
 LOAD_ID = "_load_id"
+RUN, BUCKET = "_run", "_bucket"
+#: deliveries to a keyed table that are read one by one before they are folded into a new base
+FOLD_AFTER = 16
 # kept with the table when it is created: an overwriting insert replaces only the partitions it brings
 BY_PARTITION = {"partitionOverwriteMode": "dynamic"}
 
@@ -81,25 +94,7 @@ class Lake:
         return self.spark.catalog.tableExists(self.name(layer, table))
 
     def read(self, layer: str, table: str) -> DataFrame:
-        df = self.spark.table(self.name(layer, table))
-        if self.exists(layer, f"{table}__pending"):
-            # buckets that are being exchanged are read from where they are complete
-            pending = self.spark.table(self.name(layer, f"{table}__pending"))
-            moving = [r[0] for r in pending.select(BUCKET).distinct().collect()]
-            df = df.where(~F.col(BUCKET).isin(moving)).unionByName(pending, allowMissingColumns=True)
-        df = df.drop(BUCKET)
-        if self.exists(layer, f"{table}__deltas"):
-            keys, newest = self._deltas(layer, table)
-            kept = df.join(newest.select(*keys), keys, "left_anti").select(*df.columns)
-            df = kept.unionByName(newest, allowMissingColumns=True)
-        return df
-
-    def _deltas(self, layer: str, table: str) -> tuple[list[str], DataFrame]:
-        """The key columns, and of every delivered key the newest row."""
-        name = self.name(layer, f"{table}__deltas")
-        keys = self.spark.sql(f"SHOW TBLPROPERTIES {name} ('{KEYS}')").first()[1].split(",")
-        rows = self.spark.table(name)
-        return keys, first_per_key(rows, keys, [F.col(MERGE).desc()]).drop(MERGE)
+        return self.spark.table(self.name(layer, table))
 
     def read_or_none(self, layer: str, table: str) -> DataFrame | None:
         return self.read(layer, table) if self.exists(layer, table) else None
@@ -129,7 +124,7 @@ class Lake:
                 partition_by: Sequence[str] = ()) -> None:
         if layer in self.protected and not force:
             raise ProtectedTableError(f"{layer}.{table} is insert-only; drop it to rebuild it")
-        versions = self._versions(layer, table)
+        versions = self._numbered(layer, table, "__v")
         shown = self._shown_version(layer, table)
         fresh = max(versions, default=0) + 1
         stored = f"{self.name(layer, table)}__v{fresh}"
@@ -142,9 +137,9 @@ class Lake:
             if old != shown:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}__v{old}")
 
-    def _versions(self, layer: str, table: str) -> list[int]:
-        prefix = f"{table}__v"
-        names = [t.name for t in self.spark.catalog.listTables(self.db(layer), f"{table}__v*")]
+    def _numbered(self, layer: str, table: str, mark: str) -> list[int]:
+        prefix = f"{table}{mark}"
+        names = [t.name for t in self.spark.catalog.listTables(self.db(layer), f"{prefix}*")]
         return [int(n.removeprefix(prefix)) for n in names if n.removeprefix(prefix).isdigit()]
 
     def _shown_version(self, layer: str, table: str) -> int | None:
@@ -153,123 +148,208 @@ class Lake:
         comment = self.spark.catalog.getTable(self.name(layer, table)).description or ""
         return int(comment[1:]) if comment[1:].isdigit() else None
 
-    # --- merge ---
+    # --- refresh ---
+
+    def landed(self, df: DataFrame, purpose: str) -> DataFrame:
+        """Store rows that are read several times; plans above them know their true size."""
+        path = f"{self.root}/landing/{purpose}/{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _cells(self, df: DataFrame, cell: str, key: Sequence[str]) -> DataFrame:
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")) if cell == BUCKET else df
+
+    def _bases(self, layer: str, table: str, run: int) -> dict[str, int]:
+        """The run that each rewritten cell counts from; a row per cell at most."""
+        cells = self.read_or_none("meta", "cells")
+        if cells is None:
+            return {}
+        own = cells.where((F.col("table_name") == f"{layer}.{table}") & (F.col("run") <= run))
+        return dict(own.groupBy("cell").agg(F.max("run")).collect())
+
+    def _trusted(self, kind: T.DataType, state: dict, bases: Mapping[str, int]) -> str:
+        by_run: dict[int, list[str]] = {}
+        for value, base in bases.items():
+            by_run.setdefault(base, []).append(value)
+        text = "".join(
+            f" AND NOT ({RUN} < {base} AND `{state['cell']}` IN ({', '.join(f'CAST({v!r} AS {kind.simpleString()})' for v in sorted(values))}))"
+            for base, values in sorted(by_run.items()) if base > state["from"])
+        return f"{RUN} BETWEEN {state['from']} AND {state['run']}{text}"
+
+    def refresh(self, layer: str, table: str, key: Sequence[str], rows: DataFrame | None = None, added: DataFrame | None = None,
+                cell: str = BUCKET, whole: bool = False) -> None:
+        """Bring a derived table up to date.
+
+        ``rows`` replace what is stored under their keys, ``added`` have keys that are not stored yet.
+        With ``whole`` (and the first time) they are all the table holds. Only ``landed`` rows or such
+        as cheap to read should be given, since they are read more than once.
+        """
+        store = f"{self.name(layer, table)}__r"
+        state = json.loads(self.spark.catalog.getTable(self.name(layer, table)).description) if self.exists(layer, table) else None
+        whole = whole or state is None
+        run = state["run"] + 1 if state else 1
+        old = {} if state is None or whole else self._bases(layer, table, state["run"])
+        parts = [self._cells(df, cell, key) for df in (rows, added) if df is not None]
+        touched: list = []
+        if not whole and rows is not None:
+            touched = [r[0] for r in parts[0].select(cell).distinct().collect()]
+            if not touched and added is None:
+                return
+            stored = self.spark.table(store)
+            kept = stored.where(self._trusted(stored.schema[cell].dataType, state, old)).where(F.col(cell).isin(touched)).drop(RUN)
+            parts.append(kept.join(rows.select(*key), list(key), "left_anti"))
+        content = parts[0]
+        for part in parts[1:]:
+            content = content.unionByName(part)
+        content = content.withColumn(RUN, F.lit(run)).hint("rebalance", cell)
+        if self.exists(layer, f"{table}__r"):
+            # what a refresh that died left behind
+            self.drop_partitions(layer, f"{table}__r", lambda values: int(values[RUN]) >= run)
+            shape = self.spark.table(store).schema
+            drift.aligned(content, shape).write.mode("append").insertInto(store)
+        else:
+            content.write.partitionBy(cell, RUN).format("parquet").saveAsTable(store)
+        self._written(layer, f"{table}__r")
+        stored = self.spark.table(store)
+        bases = {**old, **{str(v): run for v in touched}}
+        if touched:
+            changed = [(f"{layer}.{table}", run, str(v)) for v in touched]
+            self.append("meta", "cells", self.spark.createDataFrame(changed, "table_name string, run int, cell string"))
+        state = {"run": run, "from": run if whole else state["from"], "cell": cell}
+        shown = [f"`{c}`" for c in stored.columns if c not in (RUN, BUCKET)]
+        self._show(layer, table, f"SELECT {', '.join(shown)} FROM {store} WHERE {self._trusted(stored.schema[cell].dataType, state, bases)}", state)
+        # what the last state did not show any more, nobody reads
+        if old or whole:
+            self.drop_partitions(layer, f"{table}__r", lambda values: int(values[RUN]) < (run - 1 if whole else old.get(unquote(values[cell]), 0)))
+
+    # --- loads and merges: stores by shape, a view over them ---
+
+    def _state(self, layer: str, table: str) -> dict:
+        """What the table's view trusts: its stores and, of a keyed table, key, base and newest delivery."""
+        if not self.exists(layer, table):
+            return {"stores": []}
+        return json.loads(self.spark.catalog.getTable(self.name(layer, table)).description)
+
+    def _store(self, layer: str, table: str, number: int) -> str:
+        return f"{self.name(layer, table)}__s{number}"
+
+    def _put(self, layer: str, table: str, rows: DataFrame, partition: str, value) -> tuple[list[int], T.StructType]:
+        """Write a partition into the newest store, or a new one if the rows bring another shape."""
+        stores = self._state(layer, table)["stores"]
+        if stores:
+            known = T.StructType([f for f in self.spark.table(self._store(layer, table, stores[-1])).schema if f.name != partition])
+            shape, goes = drift.merged(known, rows.schema)
+        else:
+            known, (shape, goes) = None, drift.merged(T.StructType([]), rows.schema)
+        content = drift.aligned(rows, shape, goes).withColumn(partition, F.lit(value))
+        if known is not None and drift.same_shape(known, shape):
+            content.write.mode("overwrite").insertInto(self._store(layer, table, stores[-1]))
+            self.spark.catalog.refreshTable(self._store(layer, table, stores[-1]))
+            return stores, shape
+        fresh = max(self._numbered(layer, table, "__s"), default=0) + 1
+        content.write.options(**BY_PARTITION).partitionBy(partition).format("parquet").saveAsTable(self._store(layer, table, fresh))
+        return [*stores, fresh], shape
+
+    def _stored_rows(self, layer: str, table: str, stores: Sequence[int], shape: T.StructType) -> str:
+        """SQL over all stores in the newest one's shape."""
+        parts = []
+        for number in stores:
+            name = self._store(layer, table, number)
+            parts.append(f"SELECT {', '.join(drift.select_list(self.spark.table(name).schema, shape))} FROM {name}")
+        return " UNION ALL ".join(parts)
+
+    def _show(self, layer: str, table: str, body: str, state: dict) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, table)} COMMENT '{json.dumps(state)}' AS {body}")
 
-    def _bucketed(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int"))
+    def append_load(self, layer: str, table: str, df: DataFrame, load_id: str) -> None:
+        """Append a load as a partition of its own; loading it again overwrites only that partition."""
+        self.ensure(layer)
+        stores, shape = self._put(layer, table, df, LOAD_ID, load_id)
+        shape = T.StructType([*shape, T.StructField(LOAD_ID, T.StringType())])
+        self._show(layer, table, self._stored_rows(layer, table, stores, shape), {"stores": stores})
 
-    def merge(self, layer: str, table: str, delta: DataFrame, keys: Sequence[str],
-              check: bool = True) -> None:
+    def merge(self, layer: str, table: str, delta: DataFrame, keys: Sequence[str], check: bool = True) -> None:
         """Insert new keys and replace the whole row of known ones; a key twice in a batch is an error.
 
-        The first delivery becomes the base. A later one is appended as it is, so its cost is its own
-        size, however its keys are spread.
+        A delivery is written as it is, so its cost is its own size, however its keys are spread.
+        Without ``check`` the caller answers for its keys; NULL parts are then values like others.
         """
-        self._finish_merge(layer, table)
         if check:
             # only the key columns are read for this; what fails never becomes visible
             require_key(f"{layer}.{table}", delta, keys)
-        target = self.name(layer, table)
-        if not self.exists(layer, table):
-            writer = self._bucketed(delta, keys).hint("rebalance", BUCKET).write
-            writer.options(**BY_PARTITION).partitionBy(BUCKET).format("parquet").saveAsTable(target)
-            self._written(layer, table)
+        state = self._state(layer, table)
+        if state["stores"]:
+            moved = drift.merged(self.read(layer, table).schema, delta.schema)[1]
+            if any(moved.get(k) != k for k in keys):
+                raise ValueError(f"{layer}.{table}: a key column's type does not fit")
+        number = state.get("newest", 0) + 1
+        stores, shape = self._put(layer, table, delta, MERGE, number)
+        self._show_merged(layer, table, shape, {"stores": stores, "keys": list(keys), "base": state.get("base", number), "newest": number})
+        if number - state.get("base", number) >= FOLD_AFTER:
+            self.fold(layer, table)
+
+    def fold(self, layer: str, table: str) -> None:
+        """Store a keyed table's content as its new base; what only older readers see goes with the next fold."""
+        state = self._state(layer, table)
+        if state["base"] == state["newest"]:
             return
-        self._widen(target, delta)
-        deltas = f"{target}__deltas"
-        if not self.exists(layer, f"{table}__deltas"):
-            empty = delta.limit(0).withColumn(MERGE, F.lit(0).cast("bigint"))
-            empty.write.format("parquet").saveAsTable(deltas)
-            self.spark.sql(f"ALTER TABLE {deltas} SET TBLPROPERTIES ('{KEYS}' = '{','.join(keys)}')")
+        number = state["newest"] + 1
+        stores, shape = self._put(layer, table, self.read(layer, table), MERGE, number)
+        self._show_merged(layer, table, shape, {**state, "stores": stores[-1:], "base": number, "newest": number, "folded": state["base"]})
+        for old in self._numbered(layer, table, "__s"):
+            name = self._store(layer, table, old)
+            if old not in stores:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            elif "folded" in state:
+                self.drop_partitions(layer, name.rpartition(".")[2], lambda values: int(values[MERGE]) < state["base"])
+
+    def _show_merged(self, layer: str, table: str, shape: T.StructType, state: dict) -> None:
+        stored = T.StructType([*shape, T.StructField(MERGE, T.IntegerType())])
+        rows = self._stored_rows(layer, table, state["stores"], stored)
+        columns = ", ".join(f"`{f.name}`" for f in shape)
+        if state["base"] == state["newest"]:
+            body = f"SELECT {columns} FROM ({rows}) WHERE {MERGE} = {state['base']}"
         else:
-            self._widen(deltas, delta)
-        known = self.spark.table(deltas)
-        number = (known.agg(F.max(MERGE)).first()[0] or 0) + 1
-        rows = known.limit(0).unionByName(delta.withColumn(MERGE, F.lit(number).cast("bigint")), allowMissingColumns=True)
-        rows.write.insertInto(deltas)
-        self._written(layer, f"{table}__deltas")
-
-    def compact(self, layer: str, table: str) -> None:
-        """Fold the deliveries into the base; only the buckets they touch are rewritten."""
-        self._finish_merge(layer, table)
-        if not self.exists(layer, f"{table}__deltas"):
-            return
-        target = self.name(layer, table)
-        keys, newest = self._deltas(layer, table)
-        incoming = self._bucketed(newest, keys)
-        # at most one number per bucket reaches the driver
-        touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
-        if touched:
-            stored = self.spark.table(target)
-            kept = stored.where(F.col(BUCKET).isin(touched)).join(newest.select(*keys), keys, "left_anti")
-            merged = kept.select(*stored.columns).unionByName(incoming, allowMissingColumns=True)
-            merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).format("parquet").saveAsTable(
-                f"{target}__pending")
-            self._finish_merge(layer, table)
-        self.spark.sql(f"DROP TABLE {target}__deltas")
-
-    def _widen(self, target: str, wider: DataFrame) -> None:
-        """Add the columns the table does not have yet."""
-        known = set(self.spark.table(target).columns)
-        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in wider.schema if f.name not in known]
-        if new:
-            self.spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({', '.join(new)})")
-
-    def _finish_merge(self, layer: str, table: str) -> None:
-        pending = f"{table}__pending"
-        if not self.exists(layer, pending):
-            return
-        target = self.name(layer, table)
-        rows = self.spark.table(self.name(layer, pending)).select(*self.spark.table(target).columns)
-        rows.write.mode("overwrite").insertInto(target)
-        self._written(layer, table)
-        self.spark.sql(f"DROP TABLE {self.name(layer, pending)}")
-
-    # --- load packages ---
-
-    def append_load(self, layer: str, table: str, df: DataFrame, load_id: str) -> None:
-        """Append a load as a partition of its own; loading it again overwrites only that partition.
-        New columns are added to the table, missing ones are NULL."""
-        self.ensure(layer)
-        target = self.name(layer, table)
-        rows = df.withColumn(LOAD_ID, F.lit(load_id))
-        if not self.exists(layer, table):
-            rows.write.options(**BY_PARTITION).partitionBy(LOAD_ID).format("parquet").saveAsTable(target)
-            return
-        self._widen(target, rows)
-        shape = self.spark.createDataFrame([], self.spark.table(target).schema)
-        aligned = shape.unionByName(rows, allowMissingColumns=True)
-        aligned.write.mode("overwrite").insertInto(target)
+            keys = ", ".join(f"`{k}`" for k in state["keys"])
+            same = " AND ".join(f"b.`{k}` <=> d.`{k}`" for k in state["keys"])
+            body = f"""
+                WITH stored AS ({rows}), delivered AS (SELECT * FROM stored WHERE {MERGE} > {state['base']} AND {MERGE} <= {state['newest']})
+                SELECT {columns} FROM (SELECT * FROM stored WHERE {MERGE} = {state['base']}) b WHERE NOT EXISTS (SELECT 1 FROM delivered d WHERE {same})
+                UNION ALL SELECT {columns} FROM (
+                    SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {MERGE} DESC) AS _newest FROM delivered) WHERE _newest = 1"""
+        self._show(layer, table, body, state)
 
     # --- drop, counts ---
 
     def drop(self, layer: str, table: str) -> None:
+        """Drop a table with everything that is kept under its name."""
         kind = "VIEW" if self.exists(layer, table) and self._is_view(layer, table) else "TABLE"
         self.spark.sql(f"DROP {kind} IF EXISTS {self.name(layer, table)}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}__deltas")
-        for version in self._versions(layer, table):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}__v{version}")
-
-    def drop_old_partitions(self, layer: str, table: str, run_column: str, rest: tuple[str, int],
-                            keep: Sequence[int]) -> None:
-        """Drop the partitions ``run_column=<run>/<rest>`` of all runs but the kept ones."""
-        target = self.name(layer, table)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}__r")
+        for mark in ("__v", "__s"):
+            for number in self._numbered(layer, table, mark):
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}{mark}{number}")
+
+    def drop_partitions(self, layer: str, table: str, goes) -> None:
+        """Drop the partitions for whose values (text by column) ``goes`` is true."""
+        target = f"{self.db(layer)}.{table}"
         if self.spark.conf.get("spark.sql.catalogImplementation") == "hive":
             for (found,) in self.spark.sql(f"SHOW PARTITIONS {target}").collect():
                 values = dict(part.split("=") for part in found.split("/"))
-                if int(values[rest[0]]) == rest[1] and int(values[run_column]) not in keep:
-                    self.spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION "
-                                   f"({run_column} = {values[run_column]}, {rest[0]} = {rest[1]})")
+                if goes(values):
+                    spec = ", ".join(f"{k} = '{v}'" for k, v in values.items())
+                    self.spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({spec})")
             return
         # without a metastore the partitions are the folders
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}")
         files = root.getFileSystem(conf)
-        pattern = jvm.org.apache.hadoop.fs.Path(root, f"{run_column}=*/{rest[0]}={rest[1]}")
-        for found in files.globStatus(pattern) or ():
-            if int(found.getPath().getParent().getName().partition("=")[2]) not in keep:
+        depth = sum(c.isPartition for c in self.spark.catalog.listColumns(target))
+        for found in files.globStatus(jvm.org.apache.hadoop.fs.Path(root, "/".join(["*=*"] * depth))) or ():
+            parts = found.getPath().toString().rsplit("/", depth)[1:]
+            if goes(dict(part.split("=") for part in parts)):
                 files.delete(found.getPath(), True)
-        self._written(layer, table)
+        self.spark.catalog.refreshTable(target)
 
     def remove_folder(self, path: str) -> None:
         """Delete a landing folder under the root."""

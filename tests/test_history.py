@@ -97,3 +97,39 @@ def test_only_a_true_repeat_is_skipped(spark, lake):
         deliver(spark, lake, [(1, "b")], 1)
     with pytest.raises(ValueError, match="older"):
         deliver(spark, lake, [(1, "a")], 0)
+
+
+def test_a_run_writes_what_it_changes(spark, lake):
+    """Ten changed rows of very many: ten closed and ten opened events, and no snapshot."""
+    rows = {i: "x" for i in range(5000)}
+    deliver(spark, lake, rows.items(), 0)
+    for i in range(10):
+        rows[i * 7] = "y"
+    deliver(spark, lake, rows.items(), 1)
+    log = spark.table(lake.name("psa", "t__log"))
+    run = log.agg(F.max("ng_run")).first()[0]
+    assert {r.ng_kind: r["count"] for r in log.where(F.col("ng_run") == run).groupBy("ng_kind").count().collect()} == {"opened": 10, "closed": 10}
+
+
+def test_a_snapshot_ends_the_reading_of_the_log(spark, lake):
+    rng = random.Random(5)
+    for day in range(6):
+        state = {k: rng.choice("abc") for k in range(20) if rng.random() < 0.8}
+        deliver(spark, lake, state.items(), day)
+        assert {(r.id, r.name) for r in scd.current_view(lake.read("psa", "t")).collect()} == set(state.items())
+    kept = build.psa_state(lake, "t")
+    assert kept["base_kind"] == "open" and kept["held"] == len(state)
+    first = spark.table(lake.name("psa", "t__log")).agg(F.min("ng_run")).first()[0]
+    assert kept["base"] > first
+    open_ = build._open_versions(lake, SPEC, "t", kept)
+    assert {(r.id, r.name) for r in open_.collect()} == set(state.items())
+
+
+def test_what_a_dead_run_left_is_written_anew(spark, lake):
+    deliver(spark, lake, [(1, "a"), (2, "b")], 0)
+    text = lake.spark.sql(f"SHOW CREATE TABLE {lake.name('psa', 't')}").first()[0]
+    deliver(spark, lake, [(1, "c"), (2, "b"), (3, "c")], 1)
+    lake.spark.sql(f"DROP VIEW {lake.name('psa', 't')}")
+    lake.spark.sql(text)
+    deliver(spark, lake, [(1, "a"), (2, "b"), (4, "d")], 1)  # another delivery than the one that died
+    assert {(r.id, r.name) for r in lake.read("psa", "t").collect()} == {(1, "a"), (2, "b"), (4, "d")}

@@ -1,15 +1,17 @@
 """Stored tables: merge, replace, append, recovery; ingest on top of them."""
 
+import random
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakevault.plans import build
 from lakevault.plans.queries_time import AS_OF
+from lakevault.sources import drift, tables
 from lakevault.sources.contracts import ContractError
 from lakevault.sources.ingest import from_config, ingest, last_cursor
-from lakevault.sources.tables import BUCKET, ProtectedTableError, buckets_for
+from lakevault.sources.tables import ProtectedTableError, buckets_for
 
 
 def frame(spark, rows, schema="id int, v string"):
@@ -22,35 +24,144 @@ def content(df):
 
 def test_spread_delta_writes_only_its_own_rows(spark, lake):
     lake.merge("raw", "t", frame(spark, [(i, "a") for i in range(4000)]), ["id"])
-    files = lambda: {r[0] for r in spark.table(lake.name("raw", "t")).select("_metadata.file_path").distinct().collect()}
+    files = lambda: {r[0] for r in spark.table(lake.name("raw", "t__s1")).select("_metadata.file_path").distinct().collect()}
     before = files()
     for value in "bc":
         lake.merge("raw", "t", frame(spark, [(i * 41, value) for i in range(100)]), ["id"])
-    assert files() == before
-    assert spark.table(lake.name("raw", "t__deltas")).count() == 200
+    assert before < files()
+    assert spark.table(lake.name("raw", "t__s1")).count() == 4200
     expected = sorted([(i, "a") for i in range(4000) if i % 41 or i >= 4100] + [(i * 41, "c") for i in range(100)])
     assert content(lake.read("raw", "t")) == expected
-    lake.compact("raw", "t")
-    assert content(lake.read("raw", "t")) == expected and not lake.exists("raw", "t__deltas")
-    lake.compact("raw", "t")
+    in_use = lake.read("raw", "t")
+    lake.fold("raw", "t")
+    assert content(lake.read("raw", "t")) == expected and content(in_use) == expected
+    lake.fold("raw", "t")
+    lake.merge("raw", "t", frame(spark, [(5, "z")]), ["id"])
     assert lake.read("raw", "t").count() == len(expected)
 
 
-def test_compaction_rewrites_only_touched_buckets(spark, lake):
+def test_many_deliveries_are_folded(spark, lake, monkeypatch):
+    monkeypatch.setattr(tables, "FOLD_AFTER", 3)
+    for number in range(9):
+        lake.merge("raw", "t", frame(spark, [(number, "new"), (number - 1, "again"), (None, str(number))]), ["id"], check=False)
+    assert content_of(lake.read("raw", "t")) == content_of([(i, "again") for i in range(-1, 8)] + [(8, "new"), (None, "8")])
+    state = lake._state("raw", "t")
+    assert state["newest"] - state["base"] < 3
+    # partitions that only older readers saw are gone
+    assert spark.table(lake.name("raw", "t__s1")).select("_merge_no").distinct().count() < 9
+
+
+def content_of(rows):
+    return sorted((tuple(r) for r in (rows if isinstance(rows, list) else rows.collect())), key=repr)
+
+
+def test_null_keys_are_keys(spark, lake):
+    for delivery in ([(None, "n1"), (1, "a")], [(None, "n2")]):
+        lake.merge("raw", "t", frame(spark, delivery), ["id"], check=False)
+    assert content_of(lake.read("raw", "t")) == content_of([(None, "n2"), (1, "a")])
+    lake.fold("raw", "t")
+    lake.merge("raw", "t", frame(spark, [(None, "n3")]), ["id"], check=False)
+    assert content_of(lake.read("raw", "t")) == content_of([(None, "n3"), (1, "a")])
+
+
+def test_dropped_tables_leave_nothing(spark, lake):
+    lake.merge("raw", "t", frame(spark, [(1, "a")]), ["id"])
+    lake.merge("raw", "t", frame(spark, [(1, "b", 2.5)], "id int, v string, w double"), ["id"])
+    lake.append_load("raw", "u", frame(spark, [(1, "a")]), "l1")
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(1, "a")]))
+    for layer, table in (("raw", "t"), ("raw", "u"), ("mart", "m")):
+        lake.drop(layer, table)
+        assert not [t for t in spark.catalog.listTables(lake.db(layer)) if t.name.startswith(table)]
+    lake.merge("raw", "t", frame(spark, [(7, "z")]), ["id"])
+    assert content(lake.read("raw", "t")) == [(7, "z")]
+
+
+# --- schema drift ---
+
+
+def test_joins_of_types():
+    kind = T.DataType.fromDDL
+    for a, b, c in (("int", "bigint", "bigint"), ("tinyint", "smallint", "smallint"), ("float", "double", "double"), ("int", "double", "double"),
+                    ("bigint", "double", None), ("decimal(9,2)", "decimal(12,4)", "decimal(12,4)"), ("int", "decimal(9,2)", "decimal(12,2)"),
+                    ("decimal(38,2)", "decimal(38,4)", None), ("date", "timestamp_ntz", "timestamp_ntz"), ("timestamp", "timestamp_ntz", None),
+                    ("string", "int", None), ("boolean", "int", None), ("array<int>", "array<bigint>", "array<bigint>"), ("void", "int", "int"),
+                    ("struct<a:int,b:string>", "struct<a:bigint,c:date>", "struct<a:bigint,b:string,c:date>"), ("struct<a:int>", "struct<a:string>", None)):
+        for x, y in ((a, b), (b, a)):
+            found = drift.join(kind(x), kind(y))
+            if "struct" in a and c:
+                assert sorted(found.names) == ["a", "b", "c"]
+            else:
+                assert (found.simpleString() if found else None) == c, (x, y)
+    assert drift.widest(["int", "bigint", "decimal(5,2)"]) == "decimal(21,2)" and drift.widest(["int", "string"]) is None
+
+
+def test_wider_types_open_a_store_and_rewrite_nothing(spark, lake):
+    shapes = [("id int, v float", (1, 1.5)), ("id bigint, v double, s struct<a:int>", (2**40, 2.5, (3,))), ("id int, s struct<a:bigint,b:string>", (7, (2**50, "x")))]
+    for number, (shape, row) in enumerate(shapes):
+        lake.append_load("raw", "t", frame(spark, [row], shape), f"l{number}")
+    got = {(r.id, r.v, r.s and r.s.asDict().get("a"), r.s and r.s.b) for r in lake.read("raw", "t").collect()}
+    assert got == {(1, 1.5, None, None), (2**40, 2.5, 3, None), (7, None, 2**50, "x")}
+    assert lake._state("raw", "t")["stores"] == [1, 2, 3]
+    lake.append_load("raw", "t", frame(spark, [(9, 0.5)], "id int, v float"), "l3")  # narrower: the newest store takes it
+    assert lake._state("raw", "t")["stores"] == [1, 2, 3] and lake.read("raw", "t").count() == 4
+    assert lake.read("raw", "t").where("_load_id = 'l0'").count() == 1
+
+
+def test_unrelated_types_go_to_a_variant_column(spark, lake):
+    lake.merge("raw", "t", frame(spark, [(1, 5), (2, 6)], "id int, v int"), ["id"])
+    lake.merge("raw", "t", frame(spark, [(2, "six"), (3, "seven")]), ["id"])
+    lake.merge("raw", "t", frame(spark, [(3, 2**40)], "id bigint, v bigint"), ["id"])
+    assert {tuple(r) for r in lake.read("raw", "t").select("id", "v", "v__v_string").collect()} == {(1, 5, None), (2, None, "six"), (3, 2**40, None)}
+    with pytest.raises(ValueError, match="key column"):
+        lake.merge("raw", "t", frame(spark, [("x", 1)], "id string, v int"), ["id"])
+
+
+def test_a_cursor_that_widens_goes_on(spark, lake):
+    for number, (shape, rows) in enumerate((("id int", [(1,), (2,)]), ("id bigint", [(2,), (2**40,)]), ("id bigint", [(2**40,), (2**41,)]), ("id int", [(5,)]))):
+        folder = f"{lake.root}/drops/wide/{number}"
+        frame(spark, rows, shape).write.parquet(folder)
+        ingest(lake, _spec(folder, write_disposition="append", incremental={"cursor": "id"}), f"l{number}")
+    assert sorted(r.id for r in lake.read("raw_e", "e").collect()) == [1, 2, 2**40, 2**41]
+    assert last_cursor(lake, "e", "e") == str(2**41)
+
+
+# --- refresh ---
+
+
+def test_refresh_against_a_plain_table(spark, lake):
+    rng = random.Random(1)
+    lake.buckets, state = 16, {i: "0" for i in range(200)}
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, list(state.items())))
+    for number in range(1, 5):
+        changed = {i: str(number) for i in rng.sample(sorted(state), 3)}
+        new = {1000 * number + i: "new" for i in range(3)} if number % 2 else {}
+        in_use, before = lake.read("mart", "m"), dict(state)
+        lake.refresh("mart", "m", ["id"], rows=frame(spark, list(changed.items())), added=frame(spark, list(new.items())) if new else None)
+        state |= changed | new
+        assert content(lake.read("mart", "m")) == sorted(state.items())
+        assert content(in_use) == sorted(before.items())
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(1, "all")]), whole=True)
+    lake.refresh("mart", "m", ["id"], added=frame(spark, [(2, "too")]))
+    assert content(lake.read("mart", "m")) == [(1, "all"), (2, "too")]
+
+
+def test_refresh_writes_only_touched_cells(spark, lake):
     lake.buckets = 32
-    lake.merge("raw", "t", frame(spark, [(i, "a") for i in range(200)]), ["id"])
-    files = lambda: {r[0] for r in spark.table(lake.name("raw", "t")).select("_metadata.file_path").distinct().collect()}
-    before = files()
-    lake.merge("raw", "t", frame(spark, [(5, "b"), (900, "b")]), ["id"])
-    assert files() == before
-    lake.compact("raw", "t")
-    kept = before & files()
-    assert len(before) - len(kept) <= 2
-    assert content(lake.read("raw", "t")) == sorted(
-        [(i, "a") for i in range(200) if i != 5] + [(5, "b"), (900, "b")])
-    assert BUCKET not in lake.read("raw", "t").columns
-    lake.merge("raw", "t", frame(spark, []), ["id"])
-    assert lake.read("raw", "t").count() == 201
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(i, "a") for i in range(320)]))
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(5, "b")]))
+    written = spark.table(lake.name("mart", "m__r")).where("_run = 2")
+    assert written.select("_bucket").distinct().count() == 1 and written.count() < 40
+
+
+def test_refresh_that_died_is_repeated(spark, lake):
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(1, "a"), (2, "a")]))
+    text = spark.sql(f"SHOW CREATE TABLE {lake.name('mart', 'm')}").first()[0]
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(1, "lost")]), added=frame(spark, [(9, "lost")]))
+    spark.sql(f"DROP VIEW {lake.name('mart', 'm')}")
+    spark.sql(text)  # as if it had stopped before replacing the view
+    assert content(lake.read("mart", "m")) == [(1, "a"), (2, "a")]
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(2, "b")]))
+    assert content(lake.read("mart", "m")) == [(1, "a"), (2, "b")]
 
 
 def test_merge_refuses_repeated_and_missing_keys(spark, lake):
@@ -75,20 +186,6 @@ def test_bucket_count_grows_with_the_input():
     assert buckets_for(0) == 8 and buckets_for(100 << 30) == 256 and buckets_for(100 << 40) == 262_144
 
 
-def test_interrupted_merge(spark, lake):
-    lake.merge("raw", "t", frame(spark, [(i, "a") for i in range(20)]), ["id"])
-    target = lake.name("raw", "t")
-    # a job that died after storing the new buckets and before exchanging them
-    half = spark.table(target).where(F.col(BUCKET) < 4).withColumn("v", F.lit("z"))
-    half.select("id", "v", BUCKET).write.partitionBy(BUCKET).saveAsTable(f"{target}__pending")
-    expected = content(half.select("id", "v").unionByName(
-        spark.table(target).where(F.col(BUCKET) >= 4).select("id", "v")))
-    assert content(lake.read("raw", "t")) == expected
-    lake.merge("raw", "t", frame(spark, [(100, "n")]), ["id"])
-    assert content(lake.read("raw", "t")) == sorted([*expected, (100, "n")])
-    assert not lake.exists("raw", "t__pending")
-
-
 def test_merge_takes_new_columns(spark, lake):
     lake.merge("raw", "t", frame(spark, [(1, "a"), (2, "a")]), ["id"])
     lake.merge("raw", "t", frame(spark, [(2, "b", 7)], "id int, v string, w int"), ["id"])
