@@ -1,9 +1,10 @@
 """Access views: choose satellites, get one joined DataFrame.
 
 ``VaultModel`` holds the declared hubs, links, satellites and point-in-time tables and resolves how
-they belong together. ``access_view`` searches the shortest way from the first hub to every other
-involved hub over the links, breadth first, so a connection over a hub that was not asked for is
-found too. A hub that cannot be reached is an error, never an unconditioned join.
+they belong together. ``access_view`` joins the involved hubs by the smallest tree of links that
+connects them (a Steiner tree), over hubs that were not asked for where that is shorter; so the view does
+not depend on the order of choice. Two smallest trees that mean different joins are an error, and so is a
+hub that cannot be reached: there is never an unconditioned join.
 """
 
 from __future__ import annotations
@@ -67,20 +68,74 @@ class VaultModel:
     def pit_of(self, hub: str) -> str | None:
         return next((name for name, (owner, _) in self.pits.items() if owner == hub), None)
 
-    def way(self, start: set[str], goal: str) -> list[tuple[str, str, str]]:
-        """Steps (from hub, link, to hub) of a shortest way from any start hub to the goal."""
-        waiting = deque((hub, []) for hub in sorted(start))
-        seen = set(start)
-        while waiting:
-            hub, steps = waiting.popleft()
-            if hub == goal:
-                return steps
-            for link, hubs in self.link_hubs.items():
-                for other in hubs if hub in hubs else ():
-                    if other not in seen:
-                        seen.add(other)
-                        waiting.append((other, [*steps, (hub, link, other)]))
-        raise MissingLinkError(f"no link between {', '.join(sorted(start))} and {goal}")
+    def smallest_trees(self, wanted: Sequence[str]) -> list[frozenset[tuple[str, str]]]:
+        """The smallest trees of (link, hub) edges that hold all wanted hubs and links; two are found if
+        there are more.
+
+        Dynamic programming over subsets of what is wanted: the best trees that connect a subset and end
+        at some hub or link are joins of best trees of two parts there, or a best tree at a neighbour and
+        the edge to it.
+        """
+        near: dict[str, list[str]] = {h: [] for h in self.hubs}
+        for link, hubs in self.link_hubs.items():
+            near[link] = sorted(set(hubs))
+            for hub in near[link]:
+                near[hub].append(link)
+        edge = lambda a, b: (a, b) if a in self.links else (b, a)
+        best: dict[tuple[int, str], list[frozenset]] = {}
+
+        def offer(subset: int, at: str, trees: Sequence[frozenset]) -> bool:
+            held = best.get((subset, at), [])
+            least = min((len(t) for t in [*held, *trees]), default=0)
+            kept = sorted({t for t in [*held, *trees] if len(t) == least}, key=sorted)[:2]
+            best[subset, at] = kept
+            return kept != held
+
+        wanted = list(dict.fromkeys(wanted))
+        for n, name in enumerate(wanted):
+            offer(1 << n, name, [frozenset()])
+        whole = (1 << len(wanted)) - 1
+        for subset in range(1, whole + 1):
+            for at in near:
+                part = (subset - 1) & subset
+                while part > subset - part:
+                    one, two = best.get((part, at)), best.get((subset - part, at))
+                    if one and two:
+                        offer(subset, at, [a | b for a in one for b in two])
+                    part = (part - 1) & subset
+            waiting = deque(at for at in near if (subset, at) in best)
+            while waiting:
+                at = waiting.popleft()
+                for other in near[at]:
+                    if offer(subset, other, [t | {edge(at, other)} for t in best[subset, at]]):
+                        waiting.append(other)
+        found = best.get((whole, wanted[0]))
+        if not found:
+            alone = next(n for k, n in enumerate(wanted) if (1 | 1 << k, n) not in best)
+            raise MissingLinkError(f"no link between {wanted[0]} and {alone}")
+        return found
+
+    def steps(self, hubs: Sequence[str], links: Sequence[str] = ()) -> list[tuple[str, str, str]]:
+        """Joins (from hub, link, to hub) that connect the hubs and take in the links, from the first hub on.
+
+        All direct links between two of the hubs take part, so trees that differ only in these are one.
+        """
+        every = [*hubs, *[h for link in links for h in self.link_hubs[link]]]
+        direct = {link for link, near in self.link_hubs.items() if len(set(near) & set(hubs)) >= 2}
+        trees = self.smallest_trees([*every, *links])
+        if len({frozenset({link for link, _ in t} | direct) for t in trees}) > 1:
+            ways = " or ".join(", ".join(sorted({link for link, _ in t})) for t in trees)
+            raise AmbiguousModelError(f"{', '.join(dict.fromkeys(every))} are connected by {ways}; choose a satellite of one of them as well")
+        tree, joined, out = set(trees[0]), [every[0]], []
+        for hub in joined:
+            for link, _ in sorted(e for e in tree if e[1] == hub):
+                for other in [h for l, h in sorted(tree) if l == link]:
+                    if other not in joined:
+                        joined.append(other)
+                        out.append((hub, link, other))
+                if link not in {s[1] for s in out}:
+                    out.append((hub, link, hub))
+        return out
 
     def catalog(self, spark: SparkSession) -> DataFrame:
         """One row per vault object: kind, key, parents and number of payload columns."""
@@ -173,15 +228,7 @@ def access_view(
                 view = view.join(hub_part(target), model.hubs[target].pk)
                 joined.add(target)
 
-    # links that carry a chosen satellite come first, since they must take part
-    for kind, parent in parents.values():
-        if kind == "link" and parent not in used:
-            near = model.link_hubs[parent]
-            if not joined & set(near):
-                walk(model.way(joined, near[0]))
-            walk([(next(h for h in near if h in joined), parent, h) for h in near])
-    for hub in hubs:
-        walk(model.way(joined, hub))
+    walk(model.steps(hubs, [parent for kind, parent in parents.values() if kind == "link"]))
     # any further link between two involved hubs restricts the view as well
     for link, near in model.link_hubs.items():
         if link not in used and len(set(near) & set(hubs)) >= 2:

@@ -4,6 +4,8 @@ One key may own a large share of all rows, so nothing here sends a whole key to
 
 * the first row of a key is a ``row_number() = 1`` filter, which Spark reduces to one row per key
   before the shuffle (``WindowGroupLimit``);
+* ranks are counted per slice of the order, a range between sampled splitters, and raised by what the
+  slices before hold;
 * the previous value and the as-of value are found in two steps. Rows are windowed per
   (key, time slice), and only one row per slice is then windowed per key to carry the value over
   slice borders. The result is the same for every choice of slice; the slice only sets how far a
@@ -16,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _EVERYTHING = (Window.unboundedPreceding, Window.unboundedFollowing)
 
@@ -102,3 +105,96 @@ def intervals(versions: DataFrame, keys: Sequence[str], time: str, grain: str =
         versions, keys, [F.col(time).desc()],
         -F.unix_micros(F.date_trunc(grain, F.col(time).cast("timestamp"))), time, "valid_to",
     )
+
+
+#: rows of the sample that splitters are taken from, and slices of the order
+SAMPLE, SLICES = 20_000, 256
+
+
+def _splitters(df: DataFrame, order: Column, sample: int, slices: int) -> list:
+    """At most ``slices - 1`` values that part the order into ranges of about as many rows each."""
+    rows = df.agg(F.count(F.lit(1))).first()[0]
+    if rows <= 1:
+        return []
+    picked = df.select(order.alias("o")).sample(min(1.0, sample / rows), seed=7).orderBy("o").limit(2 * sample)
+    found = [r[0] for r in picked.collect()]  # bounded by the sample
+    step = max(1, len(found) // slices)
+    return list(dict.fromkeys(found[step::step]))
+
+
+def _literal(value, kind: T.DataType) -> Column:
+    timed = isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return F.lit(str(value) if timed and value is not None else value).cast(kind)
+
+
+def ranked(
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str, dense: bool = False,
+    sample: int = SAMPLE, slices: int = SLICES,
+) -> DataFrame:
+    """Add ``name``: the row number, or the dense rank, within a partition.
+
+    Equal keys lie in one slice, so only keys that are equal in every ordering column stay together.
+    A row's rank is its rank in its slice plus the rows (or distinct keys) in the partition's slices
+    before: one row per partition and slice. The splitters only decide how evenly rows are spread.
+    """
+    order = F.struct(*[F.col(c) for c in order_by])
+    splitters = _splitters(df, order, sample, slices)
+    part = F.struct(*[F.col(c) for c in partition_by])
+    at = F.lit(0)
+    if splitters:
+        kinds = [df.schema[c].dataType for c in order_by]
+        bounds = F.array(*[F.struct(*[_literal(v, k).alias(c) for v, k, c in zip(values, kinds, order_by)]) for values in splitters])
+        steps, step = [], 1
+        while step <= len(splitters):
+            steps.insert(0, step)
+            step *= 2
+        # how many splitters are not above the row's key, by halving
+        fits = lambda n: (n <= len(splitters)) & (F.get(bounds, n - 1) <= order)
+        at = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda n, s: F.when(fits(n + s), n + s).otherwise(n))
+    sliced = df.withColumns({"_slice": at, "_part": part})
+    within = Window.partitionBy("_part", "_slice").orderBy(*order_by)
+    local = sliced.withColumn("_local", (F.dense_rank() if dense else F.row_number()).over(within))
+    size = F.max("_local").alias("_size")
+    before = Window.partitionBy("_part").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = local.groupBy("_part", "_slice").agg(size).withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    offsets = offsets.select(F.col("_part").alias("_p"), F.col("_slice").alias("_s"), "_before")
+    placed = local.join(offsets, F.col("_part").eqNullSafe(F.col("_p")) & (F.col("_slice") == F.col("_s")), "left")
+    return placed.withColumn(name, (F.col("_local") + F.col("_before")).cast("int")).drop("_slice", "_part", "_local", "_p", "_s", "_before")
+
+
+def interval_join(
+    events: DataFrame, versions: DataFrame, keys: Sequence[str], time: str, begin: str, end: str, payload: Sequence[str],
+    bin_seconds: int = 86_400, coarse: int = 32, most: int = 8,
+) -> DataFrame:
+    """Each event with every version of its key that is valid at its time; the end is exclusive, NULL means open.
+
+    An equi-join on key and time bin instead of a range join. A version lies in each fine bin it
+    touches if these are at most ``most``, else in each coarse bin (``coarse`` fine ones) if those are at
+    most ``most``, else in one bin over all time. Versions of a key that do not overlap are few on the last
+    level. An event looks at one bin of each level. Events of a hot key are spread over its bins; what
+    meets on the last level is an ordinary skewed join, which Spark splits.
+    """
+    seconds = lambda c: F.unix_micros(c.cast("timestamp"))
+    fine, wide = bin_seconds * 1_000_000, bin_seconds * coarse * 1_000_000
+    bin_of = lambda c, width: F.floor(seconds(c) / F.lit(width)).cast("long")
+    last = F.col(end) - F.expr("INTERVAL '0.000001' SECOND")
+    span = lambda width: bin_of(last, width) - bin_of(F.col(begin), width)
+    spread = lambda level, width: F.transform(
+        F.sequence(bin_of(F.col(begin), width), bin_of(last, width)), lambda b: F.struct(F.lit(level).alias("_level"), b.alias("_bin")))
+    everywhere = F.array(F.struct(F.lit(2).alias("_level"), F.lit(0).cast("long").alias("_bin")))
+    bins = (
+        F.when(F.col(end).isNull(), everywhere)
+        .when(span(fine) < most, spread(0, fine))
+        .when(span(wide) < most, spread(1, wide))
+        .otherwise(everywhere))
+    valid = versions.where(F.col(end).isNull() | (F.col(begin) < F.col(end)))
+    laid = valid.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(begin).alias("_from"), F.col(end).alias("_to"),
+                        F.struct(*payload).alias("_found"), F.inline(bins))
+    looks = F.array(*[F.struct(F.lit(level).alias("_l"), value.alias("_b")) for level, value in (
+        (0, bin_of(F.col(time), fine)), (1, bin_of(F.col(time), wide)), (2, F.lit(0).cast("long")))])
+    asked = events.select("*", F.inline(looks))
+    same = (F.col("_l") == F.col("_level")) & (F.col("_b") == F.col("_bin"))
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"_k{i}"))
+    met = asked.join(laid, same).where((F.col(time) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(time) < F.col("_to"))))
+    return met.select(*events.columns, *[F.col(f"_found.{c}").alias(c) for c in payload])

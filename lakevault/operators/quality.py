@@ -1,8 +1,8 @@
 """Data-quality tests as DataFrames.
 
-A suite reads each model as few times as it can: all row tests, row counts, freshness and plain
-counts of one model share one aggregate; tests on the same column set (unique, proportion of unique
-values, distinct count) share one grouping. Results are rows
+A suite reads each model once: the column sets of its group tests (unique, proportion of unique values,
+distinct count) and the empty set of its row tests, row counts and freshness are grouping sets of one
+aggregate, combined on the map side and shuffled once. Only relationships ask a second table. Results are rows
 ``(model, test, column, severity, status, failures, checked_rows)``.
 """
 
@@ -128,52 +128,67 @@ def select(tests: Iterable[Test], tags: Iterable[str] = (), exclude: Iterable[st
     return [t for t in tests if (not wanted or wanted & set(t.tags)) and not unwanted & set(t.tags)]
 
 
-def _rows(measured: DataFrame, tests: Sequence[Test]) -> DataFrame:
-    """One result row per test from one row of measures ``f0..fn`` and ``checked_rows``."""
-    each = [
-        F.struct(
-            F.lit(t.model).alias("model"), F.lit(t.name).alias("test"), F.lit(t.label).alias("column"),
-            F.lit(t.severity).alias("severity"), F.col(f"f{i}").alias("failures"),
-            F.col("checked_rows").cast("bigint").alias("checked_rows"),
-        )
-        for i, t in enumerate(tests)
-    ]
-    return measured.select(F.inline(F.array(*each)))
-
-
-def _measure(i: int, test: Test) -> Column:
+def _scalar(i: int, test: Test) -> Column:
     value = F.count_if(test.broken) if test.kind == "row" else test.failures
     return F.coalesce(value, F.lit(0)).cast("bigint").alias(f"f{i}")
 
 
+def _result(test: Test, failures: Column, checked: Column) -> Column:
+    return F.struct(
+        F.lit(test.model).alias("model"), F.lit(test.name).alias("test"), F.lit(test.label).alias("column"),
+        F.lit(test.severity).alias("severity"), failures.cast("bigint").alias("failures"), checked.cast("bigint").alias("checked_rows"))
+
+
+def _related(models: Mapping[str, DataFrame], test: Test) -> DataFrame:
+    child = models[test.model].where(F.col(test.columns[0]).isNotNull())
+    parent = models[test.parent[0]].select(F.col(test.parent[1]).alias("_parent"))
+    # counted per value first, so that a frequent value meets the parent only once
+    values = child.groupBy(F.col(test.columns[0]).alias("_child")).agg(F.count(F.lit(1)).alias("_n"))
+    marked = values.join(parent.distinct(), F.col("_child") == F.col("_parent"), "left")
+    missing = F.coalesce(F.sum(F.when(F.col("_parent").isNull(), F.col("_n")).otherwise(F.lit(0))), F.lit(0))
+    return marked.agg(_result(test, missing, F.coalesce(F.sum("_n"), F.lit(0))).alias("r")).select("r.*")
+
+
+def _measured(df: DataFrame, tests: Sequence[Test]) -> DataFrame:
+    """All row, table and group tests of one model from one scan and one shuffle of it."""
+    scalars = [t for t in tests if t.kind in ("row", "table")]
+    by_set: dict[tuple[str, ...], list[Test]] = {}
+    for test in tests:
+        if test.kind == "group":
+            by_set.setdefault(test.columns, []).append(test)
+    measures = [F.count(F.lit(1)).alias("_n"), *[_scalar(i, t) for i, t in enumerate(scalars)]]
+    if not by_set:
+        one = df.agg(*measures)
+        return one.select(F.inline(F.array(*[_result(t, F.col(f"f{i}"), F.col("_n")) for i, t in enumerate(scalars)])))
+    # columns are grouped under names of their own, so that the measures still see the rows' values
+    columns = list(dict.fromkeys(c for s in by_set for c in s))
+    named = {c: f"_g{i}" for i, c in enumerate(columns)}
+    sets = [*by_set, *([()] if scalars else [])]
+    wide = df.withColumns({g: F.col(c) for c, g in named.items()})
+    ids = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s) for s in sets]
+    grouped = wide.groupingSets([[F.col(named[c]) for c in s] for s in sets], *[F.col(g) for g in named.values()])
+    counted = grouped.agg(F.grouping_id().alias("_set"), *measures).select(
+        "_set", "_n", *[F.col(g).alias(c) for c, g in named.items()], *[F.col(f"f{i}").alias(f"_f{i}") for i in range(len(scalars))])
+    # from here on there is a row per group; measures of all sets are taken per set, and each test picks its own
+    group_tests = [(ids[k], t) for k, s in enumerate(by_set) for t in by_set[s]]
+    per_set = counted.groupBy("_set").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
+        *[F.coalesce(t.failures, F.lit(0)).cast("bigint").alias(f"g{i}") for i, (_, t) in enumerate(group_tests)],
+        *[F.max(f"_f{i}").alias(f"_f{i}") for i in range(len(scalars))])
+    results = [(ids[-1], _result(t, F.col(f"_f{i}"), F.col("_rows"))) for i, t in enumerate(scalars)]
+    results += [(k, _result(t, F.col(f"g{i}"), F.col("_rows"))) for i, (k, t) in enumerate(group_tests)]
+    held = [F.struct(F.lit(k).cast("long").alias("k"), r.alias("r")) for k, r in results]
+    return per_set.select("_set", F.explode(F.array(*held)).alias("h")).where("h.k = _set").select("h.r.*")
+
+
 def run(models: Mapping[str, DataFrame], tests: Sequence[Test]) -> DataFrame:
     """All results as one DataFrame."""
-    parts: list[DataFrame] = []
-    by_scan: dict[str, list[Test]] = {}
-    by_group: dict[tuple[str, tuple[str, ...]], list[Test]] = {}
+    parts = [_related(models, t) for t in tests if t.kind == "relation"]
+    by_model: dict[str, list[Test]] = {}
     for test in tests:
-        if test.kind in ("row", "table"):
-            by_scan.setdefault(test.model, []).append(test)
-        elif test.kind == "group":
-            by_group.setdefault((test.model, test.columns), []).append(test)
-        else:
-            child = models[test.model].where(F.col(test.columns[0]).isNotNull())
-            parent = models[test.parent[0]].select(F.col(test.parent[1]).alias("_parent"))
-            # counted per value first, so that a frequent value meets the parent only once
-            values = child.groupBy(F.col(test.columns[0]).alias("_child")).agg(F.count(F.lit(1)).alias("_n"))
-            marked = values.join(parent.distinct(), F.col("_child") == F.col("_parent"), "left")
-            missing = F.sum(F.when(F.col("_parent").isNull(), F.col("_n")).otherwise(F.lit(0)))
-            parts.append(_rows(marked.agg(
-                F.coalesce(missing, F.lit(0)).alias("f0"),
-                F.coalesce(F.sum("_n"), F.lit(0)).alias("checked_rows")), [test]))
-    for model, group in by_scan.items():
-        measures = [_measure(i, t) for i, t in enumerate(group)]
-        parts.append(_rows(models[model].agg(F.count(F.lit(1)).alias("checked_rows"), *measures), group))
-    for (model, columns), group in by_group.items():
-        counted = models[model].groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-        measures = [_measure(i, t) for i, t in enumerate(group)]
-        parts.append(_rows(
-            counted.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("checked_rows"), *measures), group))
+        if test.kind != "relation":
+            by_model.setdefault(test.model, []).append(test)
+    parts += [_measured(models[name], own) for name, own in by_model.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

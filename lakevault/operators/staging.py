@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.functions.hashing import hash_key, hashdiff
+from lakevault.operators.ordered import ranked
 
 
 @dataclass(frozen=True)
@@ -50,8 +51,7 @@ def stage(df: DataFrame, spec: StageSpec) -> DataFrame:
             hashes[name] = hash_key(derived, [rule] if isinstance(rule, str) else rule)
     staged = derived.withColumns(hashes) if hashes else derived
     for name, rank in spec.ranked.items():
-        window = Window.partitionBy(*rank.partition_by).orderBy(*rank.order_by)
-        staged = staged.withColumn(name, (F.dense_rank() if rank.dense else F.row_number()).over(window))
+        staged = ranked(staged, rank.partition_by, rank.order_by, name, rank.dense)
     if spec.include_source:
         return staged
     return staged.select(*spec.derived, *spec.hashed, *spec.ranked)

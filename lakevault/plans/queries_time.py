@@ -7,12 +7,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.functions.hashing import row_hash
+from lakevault.functions.hashing import hash_key, row_hash
 from lakevault.operators import history as scd
 from lakevault.operators import quality
 from lakevault.operators import vault as ops
 from lakevault.operators.access import VaultModel, access_view, store_access_view
-from lakevault.operators.ordered import asof_join
+from lakevault.operators.ordered import asof_join, interval_join
 from lakevault.operators.pit import build_pit
 from lakevault.operators.staging import cast_interface, stage
 from lakevault.plans import build, model, raw, suite
@@ -194,6 +194,42 @@ def access_extra_table(spark: SparkSession, sf: str) -> DataFrame:
                        extra={"nation": (nations, ["nation_id"])})
 
 
+class _WithNations:
+    """The vault with one hub and two links more: the nations of customers and of products."""
+
+    LINKS = {"lnk_customer_nation": ("customer", "customer_hk", "c_custkey", "c_nationkey"), "lnk_product_nation": ("part", "product_hk", "p_partkey", "p_size")}
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf, self.vault = spark, sf, Vault(spark, sf)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "hub_nation":
+            nations = raw.given(self.spark, self.sf, "nation")
+            return nations.select(hash_key(nations, ["n_nationkey"]).alias("nation_hk"), F.col("n_nationkey").alias("nation_id"))
+        if name not in self.LINKS:
+            return self.vault[name]
+        table, pk, key, nation = self.LINKS[name]
+        rows = raw.given(self.spark, self.sf, table).withColumn("n", F.col(nation) % 25)
+        return rows.select(hash_key(rows, [key, "n"]).alias(f"{name}_hk"), hash_key(rows, [key]).alias(pk), hash_key(rows, ["n"]).alias("nation_hk"))
+
+
+_NATION_MODEL = VaultModel(
+    {"hub_nation": ops.HubSpec("hub_nation", "nation_hk", "nation_id", "nation"), **model.HUBS},
+    {**{n: ops.LinkSpec(n, f"{n}_hk", (pk, "nation_hk"), t) for n, (t, pk, *_) in _WithNations.LINKS.items()}, **model.LINKS}, model.SATS)
+
+
+@query("access_steiner", """SELECT customer_id, product_id, employee_id, c.segment, product_code, e.name AS sat_employee_name
+        FROM lnk_order_customer JOIN lnk_order_product USING (order_hk) JOIN lnk_order_employee USING (order_hk)
+        JOIN hub_customer USING (customer_hk) JOIN cur_sat_customer c USING (customer_hk)
+        JOIN hub_product USING (product_hk) JOIN sat_product USING (product_hk)
+        JOIN hub_employee USING (employee_hk) JOIN sat_employee e USING (employee_hk)""")
+def access_steiner(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer and product are as near over the nation as over the order; with the employee, the order is
+    the smallest way for all three, whatever was chosen first."""
+    view = access_view(_NATION_MODEL, _WithNations(spark, sf), ["sat_customer", "sat_product", "sat_employee"])
+    return view.select("customer_id", "product_id", "employee_id", "segment", "product_code", "sat_employee_name")
+
+
 _KINDS = [("hub", n, h.pk, 0) for n, h in model.HUBS.items()]
 _KINDS += [("link", n, l.pk, len(l.fks)) for n, l in model.LINKS.items()]
 _KINDS += [("satellite", n, s.pk, len(s.payload)) for n, s in model.SATS.items()]
@@ -359,6 +395,16 @@ def psa_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return scd.as_of(customer_history(spark, sf, 4), _ntz(datetime(2024, 1, 25)))
 
 
+@query("psa_as_of_events", """SELECT event_id, user_id, ts, segment, ng_valid_from, ng_is_deleted FROM events
+        JOIN psa_4 ON id = user_id % 50 AND ts >= ng_valid_from AND (ng_valid_to IS NULL OR ts < ng_valid_to)""", **PSA_PARTS)
+def psa_as_of_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event with the version of its customer that was valid then; few customers have all events."""
+    events = raw.given(spark, sf, "events").select("event_id", "user_id", "ts", (F.col("user_id") % 50).alias("id"))
+    versions = customer_history(spark, sf, 4)
+    found = interval_join(events, versions, ["id"], "ts", "ng_valid_from", "ng_valid_to", ["segment", "ng_valid_from", "ng_is_deleted"])
+    return found.drop("id")
+
+
 @query("psa_status", """SELECT total, current_versions, deleted, total - current_versions - deleted AS historic FROM (
         SELECT count(*) AS total, count(*) FILTER (ng_is_current = 1 AND ng_is_deleted = 0) AS current_versions,
         count(*) FILTER (ng_is_deleted = 1) AS deleted FROM psa_4)""", **PSA_PARTS)

@@ -64,6 +64,14 @@ def stage_ranked(spark: SparkSession, sf: str) -> DataFrame:
         "id", "customer_id", "change_date", "order_hk", "delivery_rank")
 
 
+@query("stage_dense_ranked", """SELECT order_id, product_id, line_number, price_rank FROM (SELECT *, CAST(dense_rank() OVER (
+        PARTITION BY order_detail_status ORDER BY unit_price, discount) AS INTEGER) AS price_rank FROM raw_order_details)""")
+def stage_dense_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """Two or three partitions over all lines, with many equal keys."""
+    spec = StageSpec(ranked={"price_rank": Rank(("order_detail_status",), ("unit_price", "discount"), dense=True)})
+    return stage(raw.order_details(spark, sf), spec).select("order_id", "product_id", "line_number", "price_rank")
+
+
 # --- vault loads ---------------------------------------------------------------------------
 
 def _columns(name: str) -> list[str]:

@@ -1,14 +1,16 @@
 """Small helpers: coercion, formats, credentials, configuration, selection, names."""
 
 import base64
+import itertools
 import json
+import random
 from datetime import date, datetime
 
 import pytest
 
 from lakevault.functions.runs import readable_age
 from lakevault.operators.access import AmbiguousModelError, MissingLinkError, VaultModel, view_name
-from lakevault.operators.vault import HubSpec, SatSpec
+from lakevault.operators.vault import HubSpec, LinkSpec, SatSpec
 from lakevault.plans import build, model
 from lakevault.sources import files, paged_api, relational
 from lakevault.sources.ingest import from_config, load_configs, since_cursor
@@ -156,7 +158,7 @@ def test_vault_model():
     hubs, links, sats = model.HUBS, model.LINKS, model.SATS
     vault = VaultModel(hubs, links, sats, model.PITS)
     assert vault.parent("sat_order_detail") == ("link", "lnk_order_product")
-    assert [s[1] for s in vault.way({"hub_customer"}, "hub_product")] == ["lnk_order_customer", "lnk_order_product"]
+    assert [s[1] for s in vault.steps(["hub_customer", "hub_product"])] == ["lnk_order_customer", "lnk_order_product"]
     assert vault.pit_of("hub_order") == "pit_order"
     with pytest.raises(AmbiguousModelError):
         VaultModel({**hubs, **model.PSA_HUBS}, links, sats)
@@ -166,7 +168,54 @@ def test_vault_model():
         VaultModel(hubs, links, {"sat_x": SatSpec("sat_x", "x_hk", ("a",), "src")})
     alone = VaultModel({**hubs, "hub_x": HubSpec("hub_x", "x_hk", "x_id", "src")}, links, sats)
     with pytest.raises(MissingLinkError, match="no link between hub_customer and hub_x"):
-        alone.way({"hub_customer"}, "hub_x")
+        alone.steps(["hub_customer", "hub_x"])
+
+
+def _vault(hubs, links):
+    specs = {f"hub_{h}": HubSpec(f"hub_{h}", f"{h}_hk", f"{h}_id", "src") for h in hubs}
+    return VaultModel(specs, {name: LinkSpec(name, f"{name}_hk", tuple(f"{h}_hk" for h in ends), "src") for name, ends in links.items()}, {})
+
+
+def test_smallest_tree_against_all_subsets():
+    """The tree has as few edges as any connected choice of links, whatever the order of the hubs."""
+    rng = random.Random(3)
+    for _ in range(60):
+        hubs = "abcdef"[: rng.randint(3, 6)]
+        links = {f"l{i}": rng.sample(hubs, rng.choice([2, 2, 3])) for i in range(rng.randint(2, 7))}
+        vault = _vault(hubs, links)
+        wanted = rng.sample([f"hub_{h}" for h in hubs], rng.randint(2, 3))
+        edges = [(n, f"hub_{h}") for n, ends in links.items() for h in ends]
+        best = None
+        for size in range(1, 9):
+            for chosen in itertools.combinations(edges, size):
+                seen, grown = {wanted[0]}, True
+                while grown:
+                    grown = False
+                    for a, b in chosen:
+                        if (a in seen) != (b in seen):
+                            seen |= {a, b}
+                            grown = True
+                if set(wanted) <= seen:
+                    best = size
+                    break
+            if best:
+                break
+        for order in itertools.permutations(wanted):
+            if best is None:
+                with pytest.raises(MissingLinkError):
+                    vault.smallest_trees(order)
+            else:
+                trees = vault.smallest_trees(order)
+                assert all(len(t) == best for t in trees) and set(trees) == set(vault.smallest_trees(wanted))
+
+
+def test_two_smallest_trees_are_ambiguous():
+    two = {"via_x": "ax", "x_b": "xb", "via_y": "ay", "y_b": "yb"}
+    with pytest.raises(AmbiguousModelError, match="via_x, x_b or via_y, y_b"):
+        _vault("abxy", two).steps(["hub_a", "hub_b"])
+    assert [s[1] for s in _vault("abxy", two).steps(["hub_a", "hub_b", "hub_y"])] == ["via_y", "y_b"]
+    # two direct links between the hubs take part both
+    assert len(_vault("ab", {"one": "ab", "two": "ab"}).steps(["hub_a", "hub_b"])) == 1
 
 
 def test_model_selection():
