@@ -53,7 +53,7 @@ WIDTH = 50
 ANCHOR = 24
 #: text of one block, and of the documents whose names or segments meet in one shard
 BLOCK_BYTES = 4 << 20
-NAMES_BYTES = 64 << 20
+NAMES_BYTES = 16 << 20
 SEGMENTS_BYTES = 4 << 20
 #: windows of a segment; only periodic texts have longer ones
 LONGEST = 256
