@@ -169,12 +169,19 @@ def _measured(df: DataFrame, tests: Sequence[Test]) -> DataFrame:
     grouped = wide.groupingSets([[F.col(named[c]) for c in s] for s in sets], *[F.col(g) for g in named.values()])
     counted = grouped.agg(F.grouping_id().alias("_set"), *measures).select(
         "_set", "_n", *[F.col(g).alias(c) for c, g in named.items()], *[F.col(f"f{i}").alias(f"_f{i}") for i in range(len(scalars))])
+    # an empty model has no groups: its scalars come from an empty relation, which is never scanned
+    nothing = df.limit(0).agg(*measures).select(
+        F.lit(ids[-1]).cast("long").alias("_set"), "_n", *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in columns],
+        *[F.col(f"f{i}").alias(f"_f{i}") for i in range(len(scalars))])
+    counted = counted.withColumn("_set", F.col("_set").cast("long"))
+    counted = counted.unionByName(nothing) if scalars else counted
+    every = df.sparkSession.createDataFrame([(k,) for k in ids], "_set long")
     # from here on there is a row per group; measures of all sets are taken per set, and each test picks its own
     group_tests = [(ids[k], t) for k, s in enumerate(by_set) for t in by_set[s]]
-    per_set = counted.groupBy("_set").agg(
+    per_set = every.join(counted, "_set", "left").groupBy("_set").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
         *[F.coalesce(t.failures, F.lit(0)).cast("bigint").alias(f"g{i}") for i, (_, t) in enumerate(group_tests)],
-        *[F.max(f"_f{i}").alias(f"_f{i}") for i in range(len(scalars))])
+        *[F.max_by(f"_f{i}", "_n").alias(f"_f{i}") for i in range(len(scalars))])
     results = [(ids[-1], _result(t, F.col(f"_f{i}"), F.col("_rows"))) for i, t in enumerate(scalars)]
     results += [(k, _result(t, F.col(f"g{i}"), F.col("_rows"))) for i, (k, t) in enumerate(group_tests)]
     held = [F.struct(F.lit(k).cast("long").alias("k"), r.alias("r")) for k, r in results]

@@ -27,6 +27,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
+from threading import Lock
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +79,7 @@ class Lake:
                  protected: Sequence[str] = ("raw_vault",)):
         self.spark, self.root, self.env_prefix = spark, root.rstrip("/"), env_prefix
         self.buckets, self.protected = buckets, tuple(protected)
+        self._log = Lock()
         for layer in LAYERS:
             self.ensure(layer)
 
@@ -161,7 +163,8 @@ class Lake:
 
     def _bases(self, layer: str, table: str, run: int) -> dict[str, int]:
         """The run that each rewritten cell counts from; a row per cell at most."""
-        cells = self.read_or_none("meta", "cells")
+        with self._log:
+            cells = self.read_or_none("meta", "cells")
         if cells is None:
             return {}
         own = cells.where((F.col("table_name") == f"{layer}.{table}") & (F.col("run") <= run))
@@ -214,7 +217,8 @@ class Lake:
         bases = {**old, **{str(v): run for v in touched}}
         if touched:
             changed = [(f"{layer}.{table}", run, str(v)) for v in touched]
-            self.append("meta", "cells", self.spark.createDataFrame(changed, "table_name string, run int, cell string"))
+            with self._log:  # tables are refreshed side by side, and this one takes one writer at a time
+                self.append("meta", "cells", self.spark.createDataFrame(changed, "table_name string, run int, cell string").coalesce(1))
         state = {"run": run, "from": run if whole else state["from"], "cell": cell}
         shown = [f"`{c}`" for c in stored.columns if c not in (RUN, BUCKET)]
         self._show(layer, table, f"SELECT {', '.join(shown)} FROM {store} WHERE {self._trusted(stored.schema[cell].dataType, state, bases)}", state)
@@ -284,7 +288,7 @@ class Lake:
                 raise ValueError(f"{layer}.{table}: a key column's type does not fit")
         number = state.get("newest", 0) + 1
         stores, shape = self._put(layer, table, delta, MERGE, number)
-        self._show_merged(layer, table, shape, {"stores": stores, "keys": list(keys), "base": state.get("base", number), "newest": number})
+        self._show_merged(layer, table, shape, {**state, "stores": stores, "keys": list(keys), "base": state.get("base", number), "newest": number})
         if number - state.get("base", number) >= FOLD_AFTER:
             self.fold(layer, table)
 

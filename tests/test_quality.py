@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from lakevault.operators import quality as q
 
-TESTS = [
-    q.not_null("m", "a"), q.unique("m", "id"), q.unique("m", "a"), q.compound_unique("m", ["a", "b"]), q.distinct_count("m", "b", 3),
-    q.unique_ratio("m", "a", 0.1, 0.9), q.accepted("m", "b", ["x", "y"]), q.row_count("m", 5, 10_000), q.between("m", "id", 0, 50),
-]
+
+def suite():
+    return [
+        q.not_null("m", "a"), q.unique("m", "id"), q.unique("m", "a"), q.compound_unique("m", ["a", "b"]), q.distinct_count("m", "b", 3),
+        q.unique_ratio("m", "a", 0.1, 0.9), q.accepted("m", "b", ["x", "y"]), q.row_count("m", 5, 10_000), q.between("m", "id", 0, 50),
+    ]
 
 
 def test_grouping_sets_against_single_tests(spark):
@@ -17,9 +19,9 @@ def test_grouping_sets_against_single_tests(spark):
     for size in (0, 1, 200):
         rows = [(i if rng.random() < 0.9 else None, rng.choice([None, *range(30)]), rng.choice(["x", "y", "z", None])) for i in range(size)]
         df = spark.createDataFrame(rows, "id int, a int, b string")
-        got = {(r.test, r.column): (r.failures, r.checked_rows) for r in q.run({"m": df}, TESTS).collect()}
+        got = {(r.test, r.column): (r.failures, r.checked_rows) for r in q.run({"m": df}, suite()).collect()}
         one = {}
-        for test in TESTS:
+        for test in suite():
             r = q.run({"m": df}, [test]).first()
             one[r.test, r.column] = (r.failures, r.checked_rows)
         ids = [r[0] for r in rows if r[0] is not None]
@@ -35,7 +37,7 @@ def test_grouping_sets_against_single_tests(spark):
 
 def test_one_scan_and_one_exchange(spark, tmp_path):
     spark.range(1000).select(F.col("id").cast("int").alias("id"), (F.col("id") % 7).cast("int").alias("a"), F.lit("x").alias("b")).write.parquet(f"{tmp_path}/m")
-    plan = q.run({"m": spark.read.parquet(f"{tmp_path}/m")}, TESTS)._jdf.queryExecution().executedPlan().toString()
+    plan = q.run({"m": spark.read.parquet(f"{tmp_path}/m")}, suite())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1 and plan.count("Expand") == 1
     # the second exchange carries one row per grouping set and task
     assert plan.count("Exchange hashpartitioning") == 2
