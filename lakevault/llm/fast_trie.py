@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 
 from lakevault.llm.common import arrow_batches, arrow_rows, row_count, stored
 
-FIRST = 4096
-GROWTH = 16
+FIRST = 256
+GROWTH = 32
 NAME = 16
 #: ids joined into one piece of the text that a digest is taken over
 IDS_PER_PIECE = 4096
