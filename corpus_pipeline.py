@@ -3,7 +3,15 @@
 Toxic documents go, of equal texts and of near-duplicates one stays, sources are mixed to target
 weights (documents repeated or left out by their draw), and what is left is packed into sequences.
 Every stage works on all rows its predecessor kept and returns the columns it was given; the last one
-returns the pieces with their places. Null and odd values are treated as the operators' modules state.
+returns the pieces with their places.
+
+Defined results
+---------------
+* ids keep all 64 bits; null ids, null, empty and very long texts, ties and rows repeated as a whole are
+  treated as the operators' modules state; repeated rows are copies, of which one stays
+* further columns, whatever their names, pass all stages but the last as they are
+* without examples of both classes no document is taken for toxic, and a warning says so
+* empty documents: every stage returns an empty table of the same columns
 """
 
 from __future__ import annotations
@@ -13,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakevault.llm import exact_dedup, near_dedup, packing, poisson_mix, toxicity
-from lakevault.llm.common import stored, table
+from lakevault.llm.common import stored, table, unused
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,7 +43,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated by their Poisson count, in a new global order."""
-    return poisson_mix.mix(docs, copy_col="__copy", key_col="__shuffle_key").select(docs.columns)
+    mixed_ = poisson_mix.mix(docs, copy_col=unused(docs, "mix_copy"), key_col=unused(docs, "mix_key"))
+    return mixed_.select(*[f"`{c}`" for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
