@@ -2,17 +2,19 @@ r"""Chat formatting in windows of a token budget.
 
 The turns of a conversation are walked by their running token sum. A window takes whole turns while
 the sum since its start fits the budget; the next window begins with the system turn and as many of
-the last turns as the history budget allows, both repeated for context and left out of the loss mask,
+the last turns as fit the history budget, both repeated for context and left out of the loss mask,
 so that every assistant text is a target exactly once.
 
 A turn is written ``<turn role="R">text</turn>`` and a line end. In texts a backslash is doubled and
 the ``<`` of anything that begins like a turn mark becomes ``\l``; in roles a double quote becomes
 ``\q`` as well. So marks occur only where a turn begins or ends, and reading back is exact.
 
-A conversation is cut into blocks of ``TURNS_PER_BLOCK`` turn numbers, and blocks are what is dealt
-to tasks, so one conversation with a third of all rows is spread over many. A window does not reach
-over the end of a block; the system turn and the last turns of the block before come along. Inside a
-task rows are streamed in order; what is held is one window and its history.
+A conversation is cut into blocks of ``TURNS_PER_BLOCK`` turns, and blocks are what is dealt to tasks,
+so one conversation with a third of all rows is spread over many. Turns are counted by slices of turn
+numbers: a turn's place is its place in its slice plus the turns in the slices before. A window does not
+reach over the end of a block; the system turn and the last turns before the block come along, at most
+as many as there are tokens in the history budget, since a turn has one at least. Inside a task rows are
+streamed in order; what is held is one window and its history.
 
 Defined results
 ---------------
@@ -41,8 +43,9 @@ from lakevault.llm.common import arrow_batches, arrow_rows
 
 BUDGET = 1024
 HISTORY_TOKENS = 256
-HISTORY_TURNS = 4
 TURNS_PER_BLOCK = 1024
+#: turn numbers that are counted together
+SLICE = 1024
 
 _MARK = re.compile(r"<(?=/?turn)")
 _ESCAPED = re.compile(r"\\([\\lq])")
@@ -85,10 +88,10 @@ class _Window:
         return (conv, block, self.number, self.repeated, self.tokens, "".join(parts), starts, ends)
 
 
-def window_rows(rows: Iterator[tuple], count, budget: int, history_tokens: int, history_turns: int) -> Iterator[tuple]:
-    """Windows of rows ``(conv, block, kind, turn, role, text)`` that come sorted."""
+def window_rows(rows: Iterator[tuple], count, budget: int, history_tokens: int) -> Iterator[tuple]:
+    """Windows of rows ``(conv, block, kind, place, role, text)`` that come sorted."""
     key = window = system = None
-    recent: deque[tuple[str, str, int]] = deque(maxlen=history_turns)
+    recent: deque[tuple[str, str, int]] = deque(maxlen=max(1, history_tokens))
     for conv, block, kind, _, role, text in rows:
         if key != (conv, block):
             if window is not None and len(window.turns) > window.repeated:
@@ -131,28 +134,35 @@ def _context(system, recent, need: int, budget: int, history_tokens: int) -> lis
     return context + history
 
 
-def _blocks(turns: DataFrame, per_block: int, history_turns: int) -> DataFrame:
+def _blocks(turns: DataFrame, per_block: int, history: int) -> DataFrame:
     """Every block's own rows, and the rows that come along from before it."""
-    order = F.coalesce(F.col("turn"), F.lit(-(2**63)))
+    order = F.coalesce(F.col("turn"), F.lit(-(2**63))).cast("long")
     rows = turns.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.floor(order / F.lit(per_block)).cast("long").alias("block"),
-        F.lit(OWN).alias("kind"),
-        order.cast("long").alias("turn"),
-        F.coalesce(F.col("role"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    )
-    blocks = rows.select("conv_id", "block").distinct()
-    first = rows.filter("role = 'system'").groupBy("conv_id").agg(F.min(F.struct("turn", "text", "block")).alias("s"))
-    first = first.select(F.col("conv_id").alias("c"), "s")
-    later = blocks.join(first, F.col("conv_id").eqNullSafe(F.col("c"))).filter("block > s.block")
-    system = later.select("conv_id", "block", F.lit(SYSTEM).alias("kind"), "s.turn", F.lit("system").alias("role"), "s.text")
-    last = W.partitionBy("conv_id", "block").orderBy(F.desc("turn"), F.desc("role"), F.desc("text"))
-    tail = rows.withColumn("n", F.row_number().over(last)).filter(F.col("n") <= history_turns).drop("n")
-    follow = blocks.select(F.col("conv_id").alias("c"), (F.col("block") - 1).alias("b"))
-    along = tail.join(follow, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")), "left_semi")
-    along = along.withColumn("block", F.col("block") + 1).withColumn("kind", F.lit(HISTORY)).filter("role <> 'system'")
-    return rows.unionByName(system).unionByName(along)
+        F.col("conv_id").cast("long").alias("conv_id"), order.alias("turn"), F.floor(order / F.lit(SLICE)).cast("long").alias("slice"),
+        F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    inside = W.partitionBy("conv_id", "slice").orderBy("turn", "role", "text")
+    counts = rows.groupBy("conv_id", "slice").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("conv_id").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select(F.col("conv_id").alias("c"), F.col("slice").alias("s"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    counted = rows.withColumn("n", F.row_number().over(inside)).join(before, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("slice") == F.col("s")))
+    place = (F.col("before") + F.col("n") - 1).alias("place")
+    placed = counted.select("conv_id", place, "role", "text").withColumn("block", F.floor(F.col("place") / F.lit(per_block)).cast("long"))
+    first = placed.filter("role = 'system'").groupBy("conv_id").agg(F.min(F.struct("place", "text")).alias("system"))
+    first = first.select(F.col("conv_id").alias("c"), "system")
+    known = placed.join(first, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    # a turn goes to its own block and, as history, to the blocks that begin within ``history`` turns after it; the
+    # first turn of a block brings the system turn along. A block that has no own turns makes no window
+    begin = (F.col("place") + F.lit(history)) / F.lit(per_block)
+    later = F.filter(F.sequence(F.col("block"), F.floor(begin).cast("long")), lambda b: b > F.col("block"))
+    is_system = F.coalesce(F.col("place") == F.col("system.place"), F.lit(False))
+    along = F.when(is_system, F.array().cast("array<bigint>")).otherwise(later)
+    row = lambda block, kind, place, role, text: F.struct(block.alias("block"), F.lit(kind).alias("kind"), place.alias("place"), role.alias("role"), text.alias("text"))
+    own = F.array(row(F.col("block"), OWN, F.col("place"), F.col("role"), F.col("text")))
+    history_rows = F.transform(along, lambda b: row(b, HISTORY, F.col("place"), F.col("role"), F.col("text")))
+    leads = (F.col("place") % per_block == 0) & (F.col("system.place") < F.col("place"))
+    system = F.when(leads, F.array(row(F.col("block"), SYSTEM, F.col("system.place"), F.lit("system"), F.col("system.text"))))
+    dealt = F.concat(own, history_rows, F.coalesce(system, F.filter(own, lambda _: F.lit(False))))
+    return known.select("conv_id", F.inline(dealt))
 
 
 def format_windows(
@@ -160,7 +170,6 @@ def format_windows(
     tokenizer: str | None = None,
     budget: int = BUDGET,
     history_tokens: int = HISTORY_TOKENS,
-    history_turns: int = HISTORY_TURNS,
     per_block: int = TURNS_PER_BLOCK,
 ) -> DataFrame:
     """One row per window: its text, where the loss mask runs (code points), repeated turns, tokens."""
@@ -168,12 +177,12 @@ def format_windows(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(tokenizer)
-        rows = window_rows(arrow_rows(batches), lambda text: len(encode(text)), budget, history_tokens, history_turns)
+        rows = window_rows(arrow_rows(batches), lambda text: len(encode(text)), budget, history_tokens)
         return arrow_batches(rows, schema)
 
-    dealt = _blocks(turns, per_block, history_turns).repartition("conv_id", "block")
-    ordered = dealt.sortWithinPartitions("conv_id", "block", "kind", "turn", "role", "text")
-    return ordered.select("conv_id", "block", "kind", "turn", "role", "text").mapInArrow(work, WINDOWS)
+    dealt = _blocks(turns, per_block, history_tokens).repartition("conv_id", "block")
+    ordered = dealt.sortWithinPartitions("conv_id", "block", "kind", "place")
+    return ordered.select("conv_id", "block", "kind", "place", "role", "text").mapInArrow(work, WINDOWS)
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long"

@@ -49,7 +49,7 @@ def test_read_back_against_brute_force(spark):
 
 def test_system_turn_and_history_come_along():
     rows = [("c", 0, chat.OWN, 0, "system", "be kind")] + [("c", 0, chat.OWN, i, "user" if i % 2 else "assistant", f"t{i} " + "w " * 30) for i in range(1, 12)]
-    out = list(chat.window_rows(iter(rows), lambda text: len(text.split()), budget=140, history_tokens=70, history_turns=2))
+    out = list(chat.window_rows(iter(rows), lambda text: len(text.split()), budget=140, history_tokens=70))
     assert len(out) > 2
     for _, _, number, repeated, n_tokens, text, starts, _ in out:
         assert n_tokens <= 140 and text.startswith('<turn role="system">be kind')
@@ -59,5 +59,28 @@ def test_system_turn_and_history_come_along():
     assert targets == ["t2", "t4", "t6", "t8", "t10"]
 
 
+def test_history_reaches_back_over_blocks_and_gaps(spark):
+    """Wherever turns are cut into blocks and however they are numbered, a window repeats the system turn and
+    all the last turns that fit."""
+    turns = [("system" if i == 1 else "assistant" if i % 2 else "user", f"turn {i}") for i in range(40)]
+    for step, per_block in ((1, 8), (5000, 8), (5000, 1), (700, 1024)):
+        rows = [(7, step * i, role, text) for i, (role, text) in enumerate(turns)] + [(8, None, "user", "null first"), (8, 1, "user", "then")]
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+        windows = sorted(chat.format_windows(df, budget=90, history_tokens=60, per_block=per_block).filter("conv_id = 7").collect(), key=lambda w: (w.block, w.window))
+        seen: list = []
+        for w in windows:
+            found = chat._TURN.findall(w.text)
+            context, own = found[: w.repeated], found[w.repeated :]
+            if len(seen) > 1:
+                assert context[0] == turns[1]
+                others = [t for t in seen if t != turns[1]]
+                kept = context[1:]
+                assert kept == others[len(others) - len(kept) :] and len(kept) >= min(3, len(others))
+            seen += own
+        assert seen == turns
+        if per_block == 1:
+            assert len(windows) == 40
+
+
 def test_empty_table(spark):
     assert chat.read_back(chat.format_windows(spark.createDataFrame([], SCHEMA))).collect() == []
