@@ -19,7 +19,7 @@ from lakevault.session import work_folder
 from lakevault.sources.contracts import require_key
 from lakevault.sources.tables import Lake, buckets_for, folder_bytes
 
-PARALLEL = 4  # independent tables loaded at the same time
+PARALLEL = 8  # independent tables loaded at the same time
 
 # Models with their tags and direct upstreams, in dependency order.
 TAGS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
@@ -101,7 +101,9 @@ def load_vault(lake: Lake, staged: Callable[[str], DataFrame | None], names: Ite
         if source is None:
             return
         rule = sat_rows if isinstance(spec, SatSpec) else key_rows
-        rows = rule(source, lake.read_or_none("raw_vault", name), spec)
+        # a delta of few keys reads the files that may hold them
+        target = lake.holding("raw_vault", name, spec.pk, source) if lake.exists("raw_vault", name) else None
+        rows = rule(source, target, spec)
         spread = spec.pk if not isinstance(spec, SatSpec) or spec.one_row_per_key else None
         if keep:
             rows = added[name] = lake.landed(rows, name)
@@ -178,8 +180,7 @@ def build_all(lake: Lake, spark, sf_dir: str, dates: Sequence[datetime], names:
     tables = Tables(lake)
     load_raw(lake, spark, sf_dir)
     load_vault(lake, lambda source: tables[f"stg_{source}"], names)
-    build_pits(lake, names, dates)
-    build_marts(lake, names)
+    increments.side_by_side([lambda: build_pits(lake, names, dates), lambda: build_marts(lake, names)])
 
 
 def apply_delta(lake: Lake, spark, sf_dir: str, dates: Sequence[datetime]) -> None:
@@ -193,8 +194,8 @@ def apply_delta(lake: Lake, spark, sf_dir: str, dates: Sequence[datetime]) -> No
     names = select_models(exclude=["psa"])
     deltas = load_vault(lake, staged, names, keep=True)
     tables = Tables(lake)
-    _each([n for n in names if n in model.PITS], lambda n: increments.update_pit(lake, n, tables, deltas, dates))
-    increments.update_marts(lake, tables, deltas, names, _each)
+    pits = [lambda n=n: increments.update_pit(lake, n, tables, deltas, dates) for n in names if n in model.PITS]
+    increments.side_by_side([*pits, lambda: increments.update_marts(lake, tables, deltas, names)])
 
 
 _BUILT: dict[tuple[str, str], Lake] = {}

@@ -9,7 +9,8 @@ through those keys, and only the cells that hold them are written.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -71,49 +72,76 @@ def _added_up(stored: DataFrame, change: DataFrame, key: str) -> DataFrame:
     return both.select(key, *[F.col(c).cast(stored.schema[c].dataType).alias(c) for c in columns])
 
 
-def update_totals(lake: Lake, tables, deltas: Deltas) -> dict[str, DataFrame]:
-    """Refresh the totals; returns the keys whose totals changed."""
+def update_totals(lake: Lake, tables, deltas: Deltas, done) -> None:
+    """Refresh the totals; ``done(key, keys)`` is told, each as soon as it is, whose totals are up to date.
+
+    Order lines are read once; products and orders go on side by side.
+    """
     changes = line_changes(tables, deltas)
     linked = deltas.get("lnk_order_customer")
-    found: dict[str, DataFrame] = {}
     read = lambda name: lake.read("meta", name)
-    parts = []
     if changes is not None:
         changes = lake.landed(changes, "line-changes")
-        items = lake.landed(_added_up(read("order_items"), _signed(changes, "order_hk", ["revenue"], {"line_items": F.col("sign")}), "order_hk"), "items")
-        before = lake.landed(read("order_items").join(items, "order_hk", "left_semi"), "items-before")
+
+    def products() -> None:
+        if changes is None:
+            return done("product_hk", None)
         first = F.when(F.col("line_number") == 1, F.col("sign")).otherwise(0)
         sold = _signed(changes, "product_hk", ["quantity", "gross", "priced", "revenue"], {"orders_count": first})
-        sold = lake.landed(_added_up(read("product_totals"), sold, "product_hk"), "products")
-        lake.refresh("meta", "order_items", ["order_hk"], rows=items)
-        lake.refresh("meta", "product_totals", ["product_hk"], rows=sold)
-        found |= {"order_hk": items.select("order_hk"), "product_hk": sold.select("product_hk")}
-        known = tables["lnk_order_customer"].join(items, "order_hk", "left_semi")
-        known = (known if linked is None else known.join(linked, "order_customer_hk", "left_anti")).select("order_hk", "customer_hk")
-        parts += [(known.join(before, "order_hk"), -1), (known.join(items, "order_hk"), 1)]
-    if linked is not None:
-        linked = linked.select("order_hk", "customer_hk")
-        parts.append((linked.join(read("order_items").join(linked, "order_hk", "left_semi"), "order_hk"), 1))
-    if parts:
+        lake.refresh("meta", "product_totals", ["product_hk"], rows=_added_up(read("product_totals"), sold, "product_hk"))
+        done("product_hk", changes.select("product_hk"))
+
+    def orders() -> None:
+        parts, before = [], read("order_items")
+        if changes is not None:
+            items = lake.landed(_added_up(before, _signed(changes, "order_hk", ["revenue"], {"line_items": F.col("sign")}), "order_hk"), "items")
+            known = tables["lnk_order_customer"].join(items, "order_hk", "left_semi")
+            known = (known if linked is None else known.join(linked, "order_customer_hk", "left_anti")).select("order_hk", "customer_hk")
+            parts += [(known.join(before.join(items, "order_hk", "left_semi"), "order_hk"), -1), (known.join(items, "order_hk"), 1)]
+        if linked is not None:
+            now = before if changes is None else before.join(items, "order_hk", "left_anti").unionByName(items)
+            pairs = linked.select("order_hk", "customer_hk")
+            parts.append((pairs.join(now.join(pairs, "order_hk", "left_semi"), "order_hk"), 1))
         moved = None
         for rows, sign in parts:
             part = rows.select("customer_hk", F.lit(sign).alias("sign"), F.col("revenue_sum").alias("sum"), F.col("revenue_n").alias("n"))
             moved = part if moved is None else moved.unionByName(part)
-        change = moved.groupBy("customer_hk").agg(
-            F.sum("sign").alias("total_orders"), F.sum(F.when(F.col("sign") < 0, -F.col("sum")).otherwise(F.col("sum"))).alias("revenue_sum"),
-            F.sum(F.col("sign") * F.col("n")).alias("revenue_n"))
-        customers = lake.landed(_added_up(read("customer_totals"), change, "customer_hk"), "customers")
-        lake.refresh("meta", "customer_totals", ["customer_hk"], rows=customers)
-        found["customer_hk"] = customers.select("customer_hk")
-    return found
+
+        def customers() -> None:
+            if moved is None:
+                return done("customer_hk", None)
+            change = moved.groupBy("customer_hk").agg(
+                F.sum("sign").alias("total_orders"), F.sum(F.when(F.col("sign") < 0, -F.col("sum")).otherwise(F.col("sum"))).alias("revenue_sum"),
+                F.sum(F.col("sign") * F.col("n")).alias("revenue_n"))
+            totals = lake.landed(_added_up(read("customer_totals"), change, "customer_hk"), "customers")
+            lake.refresh("meta", "customer_totals", ["customer_hk"], rows=totals)
+            done("customer_hk", totals.select("customer_hk"))
+
+        def overview() -> None:
+            if changes is not None:
+                lake.refresh("meta", "order_items", ["order_hk"], rows=items)
+            done("order_hk", None if changes is None else items.select("order_hk"))
+
+        # ``before`` is the state that was there: a refresh leaves it readable
+        side_by_side([customers, overview])
+
+    side_by_side([products, orders])
+
+
+def side_by_side(jobs: Sequence[Callable[[], None]]) -> None:
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        list(pool.map(lambda job: job(), jobs))
 
 
 def build_totals(lake: Lake, tables) -> None:
     """All totals from the whole vault."""
     lines = marts.order_lines(tables)
-    lake.refresh("meta", "order_items", ["order_hk"], rows=marts.item_totals(lines), whole=True)
-    lake.refresh("meta", "product_totals", ["product_hk"], rows=marts.product_totals(lines), whole=True)
-    lake.refresh("meta", "customer_totals", ["customer_hk"], rows=marts.customer_totals(tables, lake.read("meta", "order_items")), whole=True)
+
+    def orders() -> None:
+        lake.refresh("meta", "order_items", ["order_hk"], rows=marts.item_totals(lines), whole=True)
+        lake.refresh("meta", "customer_totals", ["customer_hk"], rows=marts.customer_totals(tables, lake.read("meta", "order_items")), whole=True)
+
+    side_by_side([orders, lambda: lake.refresh("meta", "product_totals", ["product_hk"], rows=marts.product_totals(lines), whole=True)])
 
 
 def mart_rows(lake: Lake, name: str, tables, keys: DataFrame | None = None) -> DataFrame:
@@ -130,28 +158,30 @@ def mart_rows(lake: Lake, name: str, tables, keys: DataFrame | None = None) -> D
     return function(marts.Among(tables, keys, key), **{argument: stored.join(keys, key, "left_semi")})
 
 
-def reached(tables, deltas: Deltas, changed: Mapping[str, DataFrame]) -> dict[str, DataFrame | None]:
-    """The hub keys whose mart rows a delta reaches."""
+def reached(tables, deltas: Deltas, name: str, changed: DataFrame | None) -> DataFrame | None:
+    """The hub keys whose rows of a mart a delta reaches; ``changed`` are those whose totals did."""
     d = deltas.get
+    if name == "mart_product_sales":
+        return _keys("product_hk", d("hub_product"), d("sat_product"), changed)
     customers, employees = (_keys(f"{n}_hk", d(f"hub_{n}"), d(f"sat_{n}")) for n in ("customer", "employee"))
+    if name == "mart_revenue_per_customer":
+        return _keys("customer_hk", customers, changed)
     via = [tables[f"lnk_order_{n}"].join(keys, f"{n}_hk", "left_semi") for n, keys in (("customer", customers), ("employee", employees)) if keys is not None]
-    return {
-        "mart_revenue_per_customer": _keys("customer_hk", customers, changed.get("customer_hk")),
-        "mart_order_overview": _keys("order_hk", d("hub_order"), d("sat_order"), d("lnk_order_customer"), d("lnk_order_employee"), changed.get("order_hk"), *via),
-        "mart_product_sales": _keys("product_hk", d("hub_product"), d("sat_product"), changed.get("product_hk")),
-    }
+    return _keys("order_hk", d("hub_order"), d("sat_order"), d("lnk_order_customer"), d("lnk_order_employee"), changed, *via)
 
 
-def update_marts(lake: Lake, tables, deltas: Deltas, names: Sequence[str], each) -> None:
-    """Refresh the marts after a load; ``each`` runs independent jobs."""
-    keys = reached(tables, deltas, update_totals(lake, tables, deltas))
+def update_marts(lake: Lake, tables, deltas: Deltas, names: Sequence[str]) -> None:
+    """Refresh totals and marts after a load, each mart as soon as its totals are up to date."""
+    of_key = {"customer_hk": "mart_revenue_per_customer", "order_hk": "mart_order_overview", "product_hk": "mart_product_sales"}
 
-    def refresh(name: str) -> None:
-        if keys[name] is not None:
-            rows = lake.landed(mart_rows(lake, name, tables, lake.landed(keys[name], "reached")), name)
+    def refresh(key: str, changed: DataFrame | None) -> None:
+        name = of_key[key]
+        keys = reached(tables, deltas, name, changed) if name in names else None
+        if keys is not None:
+            rows = mart_rows(lake, name, tables, lake.landed(keys, "reached"))
             lake.refresh("mart", name, [_MART_KEYS[name]], rows=rows)
 
-    each([n for n in names if n in _MART_KEYS], refresh)
+    update_totals(lake, tables, deltas, refresh)
 
 
 def build_mart(lake: Lake, name: str, tables) -> None:
@@ -183,8 +213,6 @@ def update_pit(lake: Lake, name: str, tables, deltas: Deltas, dates: Sequence[da
     if fresh is not None:
         fresh = fresh.select(pk)
         added = pit.build_pit(fresh, pk, {s: tables[s].join(fresh, pk, "left_semi") for s in sats}, known)
-    if moved is not None:
-        moved = lake.landed(moved, name)
     if moved is not None or added is not None:
         lake.refresh("raw_vault", name, [pk, "as_of_date"], rows=moved, added=added, cell="as_of_date")
     new = sorted(set(dates) - set(known))

@@ -35,13 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakevault.operators.vault import count_tables
-from lakevault.sources import drift
+from lakevault.sources import drift, keyfilter
 from lakevault.sources.contracts import require_key
 
 LAYERS = ("raw", "staging", "raw_vault", "psa", "mart", "dq", "dq_audit", "meta")
 MERGE = "_merge_no"
 LOAD_ID = "_load_id"
 RUN, BUCKET = "_run", "_bucket"
+#: metastores bound the length of a comment
+COMMENT_CHARS = 3000
 #: deliveries to a keyed table that are read one by one before they are folded into a new base
 FOLD_AFTER = 16
 # kept with the table when it is created: an overwriting insert replaces only the partitions it brings
@@ -120,6 +122,32 @@ class Lake:
         """A streaming micro-batch writes in a session of its own; forget this one's file listing."""
         self.spark.catalog.refreshTable(self.name(layer, table))
 
+    def holding(self, layer: str, table: str, key: str, source: DataFrame, most_keys: int = keyfilter.MOST_KEYS,
+                least_files: int = keyfilter.LEAST_FILES) -> DataFrame:
+        """An insert-only table without the files that hold none of the source's keys.
+
+        All of it where the source has too many keys or the table few files. A file's filter is kept in
+        ``meta``, a row per file.
+        """
+        stored = self.read(layer, table)
+        listed = stored.inputFiles()
+        if len(listed) < least_files:
+            return stored
+        hashes = [r[0] for r in source.select(F.xxhash64(key)).distinct().limit(most_keys + 1).collect()]
+        if len(hashes) > most_keys:
+            return stored
+        name = f"{layer}__{table}__filters"
+        known = {r[0] for r in self.read("meta", name).select("file").distinct().collect()} if self.exists("meta", name) else set()
+        plain = {unquote(f.split(":", 1)[1].replace("///", "/")): f for f in listed}
+        place = lambda file: unquote(file.split(":", 1)[1].replace("///", "/"))
+        known = {place(f) for f in known}
+        fresh = [plain[f] for f in plain.keys() - known]
+        if fresh:
+            rows = self.spark.read.schema(stored.schema).parquet(*fresh)
+            self.append("meta", name, keyfilter.filters_of(rows, key))
+        chosen = [plain[place(f)] for f in keyfilter.files_holding(self.read("meta", name), hashes) if place(f) in plain]
+        return self.spark.read.schema(stored.schema).parquet(*chosen) if chosen else stored.limit(0)
+
     # --- replace ---
 
     def replace(self, layer: str, table: str, df: DataFrame, force: bool = False,
@@ -161,14 +189,26 @@ class Lake:
     def _cells(self, df: DataFrame, cell: str, key: Sequence[str]) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")) if cell == BUCKET else df
 
-    def _bases(self, layer: str, table: str, run: int) -> dict[str, int]:
-        """The run that each rewritten cell counts from; a row per cell at most."""
+    def _bases(self, layer: str, table: str, state: dict) -> dict[str, int]:
+        """The run that each rewritten cell counts from; a value per cell at most."""
+        if "bases" in state:
+            return {cell: int(run) for run, cells in state["bases"].items() for cell in cells}
         with self._log:
-            cells = self.read_or_none("meta", "cells")
-        if cells is None:
-            return {}
-        own = cells.where((F.col("table_name") == f"{layer}.{table}") & (F.col("run") <= run))
-        return dict(own.groupBy("cell").agg(F.max("run")).collect())
+            cells = self.read("meta", "cells")
+        own = cells.where((F.col("table_name") == f"{layer}.{table}") & (F.col("run") == state["run"]))
+        return dict(own.select("cell", "base").collect())
+
+    def _with_bases(self, layer: str, table: str, state: dict, bases: Mapping[str, int]) -> dict:
+        """Few are kept in the view's comment, many as rows of ``meta.cells``."""
+        by_run: dict[int, list[str]] = {}
+        for cell, run in sorted(bases.items()):
+            by_run.setdefault(run, []).append(cell)
+        if len(json.dumps(by_run)) <= COMMENT_CHARS:
+            return {**state, "bases": by_run}
+        rows = [(f"{layer}.{table}", state["run"], cell, run) for cell, run in bases.items()]
+        with self._log:  # tables are refreshed side by side, and this one takes one writer at a time
+            self.append("meta", "cells", self.spark.createDataFrame(rows, "table_name string, run int, cell string, base int").coalesce(1))
+        return state
 
     def _trusted(self, kind: T.DataType, state: dict, bases: Mapping[str, int]) -> str:
         by_run: dict[int, list[str]] = {}
@@ -183,49 +223,69 @@ class Lake:
                 cell: str = BUCKET, whole: bool = False) -> None:
         """Bring a derived table up to date.
 
-        ``rows`` replace what is stored under their keys, ``added`` have keys that are not stored yet.
-        With ``whole`` (and the first time) they are all the table holds. Only ``landed`` rows or such
-        as cheap to read should be given, since they are read more than once.
+        ``rows`` replace what is stored under their keys, ``added`` have keys that are not stored yet. With
+        ``whole`` (and the first time) they are all the table holds. They are written first; the cells that
+        ``rows`` came to lie in are then completed with the stored rows of other keys.
         """
         store = f"{self.name(layer, table)}__r"
         state = json.loads(self.spark.catalog.getTable(self.name(layer, table)).description) if self.exists(layer, table) else None
         whole = whole or state is None
         run = state["run"] + 1 if state else 1
-        old = {} if state is None or whole else self._bases(layer, table, state["run"])
-        parts = [self._cells(df, cell, key) for df in (rows, added) if df is not None]
-        touched: list = []
-        if not whole and rows is not None:
-            touched = [r[0] for r in parts[0].select(cell).distinct().collect()]
-            if not touched and added is None:
-                return
-            stored = self.spark.table(store)
-            kept = stored.where(self._trusted(stored.schema[cell].dataType, state, old)).where(F.col(cell).isin(touched)).drop(RUN)
-            parts.append(kept.join(rows.select(*key), list(key), "left_anti"))
-        content = parts[0]
-        for part in parts[1:]:
-            content = content.unionByName(part)
-        content = content.withColumn(RUN, F.lit(run)).hint("rebalance", cell)
+        old = {} if whole else self._bases(layer, table, state)
         if self.exists(layer, f"{table}__r"):
             # what a refresh that died left behind
-            self.drop_partitions(layer, f"{table}__r", lambda values: int(values[RUN]) >= run)
-            shape = self.spark.table(store).schema
-            drift.aligned(content, shape).write.mode("append").insertInto(store)
-        else:
-            content.write.partitionBy(cell, RUN).format("parquet").saveAsTable(store)
-        self._written(layer, f"{table}__r")
+            self._remove_partitions(layer, f"{table}__r", f"*/{RUN}={run}")
+        put = lambda df, number: self._put_cells(layer, table, cell, key, df, number)
+        touched: list[str] = []
+        if rows is not None:
+            put(rows, run)
+            touched = [] if whole else self._partition_values(layer, f"{table}__r", f"*/{RUN}={run}")
+        if added is not None:
+            put(added, run)
         stored = self.spark.table(store)
-        bases = {**old, **{str(v): run for v in touched}}
+        kind = stored.schema[cell].dataType
         if touched:
-            changed = [(f"{layer}.{table}", run, str(v)) for v in touched]
-            with self._log:  # tables are refreshed side by side, and this one takes one writer at a time
-                self.append("meta", "cells", self.spark.createDataFrame(changed, "table_name string, run int, cell string").coalesce(1))
-        state = {"run": run, "from": run if whole else state["from"], "cell": cell}
+            listed = F.col(cell).isin([F.lit(v).cast(kind) for v in touched])
+            kept = stored.where(self._trusted(kind, state, old)).where(listed).drop(RUN)
+            fresh = stored.where((F.col(RUN) == run) & listed).select(*key)
+            put(kept.join(fresh, list(key), "left_anti"), run)
+        bases = {**old, **dict.fromkeys(touched, run)}
+        state = self._with_bases(layer, table, {"run": run, "from": run if whole else state["from"], "cell": cell}, bases)
         shown = [f"`{c}`" for c in stored.columns if c not in (RUN, BUCKET)]
-        self._show(layer, table, f"SELECT {', '.join(shown)} FROM {store} WHERE {self._trusted(stored.schema[cell].dataType, state, bases)}", state)
+        self._show(layer, table, f"SELECT {', '.join(shown)} FROM {store} WHERE {self._trusted(kind, state, bases)}", state)
         # what the last state did not show any more, nobody reads
-        if old or whole:
+        if old or whole and run > 2:
             self.drop_partitions(layer, f"{table}__r", lambda values: int(values[RUN]) < (run - 1 if whole else old.get(unquote(values[cell]), 0)))
 
+    def _put_cells(self, layer: str, table: str, cell: str, key: Sequence[str], df: DataFrame, run: int) -> None:
+        store = f"{self.name(layer, table)}__r"
+        content = df if cell in df.columns else self._cells(df, cell, key)
+        content = content.withColumn(RUN, F.lit(run)).hint("rebalance", cell)
+        if self.exists(layer, f"{table}__r"):
+            drift.aligned(content, self.spark.table(store).schema).write.mode("append").insertInto(store)
+        else:
+            content.write.partitionBy(cell, RUN).format("parquet").saveAsTable(store)
+        self._written(layer, f"{table}__r")
+
+    def _partitions(self, layer: str, table: str, pattern: str):
+        """The partition folders that fit a pattern, and their file system."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}")
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [f.getPath() for f in files.globStatus(jvm.org.apache.hadoop.fs.Path(root, pattern)) or ()], files
+
+    def _partition_values(self, layer: str, table: str, pattern: str) -> list[str]:
+        """The values of the first partition column, of partitions that fit a pattern."""
+        return [unquote(p.getParent().getName().partition("=")[2]) for p in self._partitions(layer, table, pattern)[0]]
+
+    def _remove_partitions(self, layer: str, table: str, pattern: str) -> None:
+        """Remove partitions that no reader sees yet."""
+        found, files = self._partitions(layer, table, pattern)
+        for path in found:
+            files.delete(path, True)
+        if found:
+            self.spark.catalog.refreshTable(f"{self.db(layer)}.{table}")
+
     # --- loads and merges: stores by shape, a view over them ---
 
     def _state(self, layer: str, table: str) -> dict:
@@ -345,14 +405,11 @@ class Lake:
                     self.spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({spec})")
             return
         # without a metastore the partitions are the folders
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}")
-        files = root.getFileSystem(conf)
         depth = sum(c.isPartition for c in self.spark.catalog.listColumns(target))
-        for found in files.globStatus(jvm.org.apache.hadoop.fs.Path(root, "/".join(["*=*"] * depth))) or ():
-            parts = found.getPath().toString().rsplit("/", depth)[1:]
-            if goes(dict(part.split("=") for part in parts)):
-                files.delete(found.getPath(), True)
+        found, files = self._partitions(layer, table, "/".join(["*=*"] * depth))
+        for path in found:
+            if goes(dict(part.split("=") for part in path.toString().rsplit("/", depth)[1:])):
+                files.delete(path, True)
         self.spark.catalog.refreshTable(target)
 
     def remove_folder(self, path: str) -> None:

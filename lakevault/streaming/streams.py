@@ -42,7 +42,7 @@ def load_vault_stream(
     def load(batch: DataFrame, _: int) -> None:
         staged = stage(batch, spec)
         for target in targets:
-            stored = lake.read_or_none("raw_vault", target.name)
+            stored = lake.holding("raw_vault", target.name, target.pk, staged) if lake.exists("raw_vault", target.name) else None
             if isinstance(target, SatSpec):
                 lake.append("raw_vault", target.name, sat_rows(staged, stored, target))
             else:

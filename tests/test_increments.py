@@ -81,7 +81,7 @@ def test_against_full_builds(spark, lake):
             hub, sats = model.PITS[name]
             whole = pit.build_pit(tables[hub], model.HUBS[hub].pk, {s: tables[s] for s in sats}, dates)
             assert rows_of(lake.read("raw_vault", name)) == rows_of(whole)
-        increments.update_marts(lake, tables, deltas, names, build._each)
+        increments.update_marts(lake, tables, deltas, names)
         lines = marts.order_lines(tables)
         assert rows_of(lake.read("meta", "order_items")) == rows_of(marts.item_totals(lines))
         assert rows_of(lake.read("meta", "product_totals")) == rows_of(marts.product_totals(lines))
