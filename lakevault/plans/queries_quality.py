@@ -350,6 +350,37 @@ def runs_classify(spark: SparkSession, sf: str) -> DataFrame:
         runs.readable_name(uid, _KNOWN).alias("readable"))
 
 
+# what the ids below are made of: layers by prefix, kinds of tests with the text shown for them
+_PREFIXES = {"stg_": "staging", "hub_": "raw_vault", "mart_": "mart"}
+_ENTITIES = ("click", "view", "purchase", "signup", "error")
+_TEST_KINDS = (("not_null", "NOT NULL"), ("unique", "UNIQUE"), ("accepted_values", "Erlaubte Werte"), ("relationships", "Referenz"),
+          ("dbt_expectations_expect_column_values_to_be_between", "Wertebereich"), ("dbt_expectations_expect_compound_columns_to_be_unique", "Kombination eindeutig"))
+_MADE_MODELS = [f"{p}{e}_{n}" for p in _PREFIXES for e in _ENTITIES for n in range(4)]
+
+
+def _pick(index: str, values) -> str:
+    return f"CASE {index} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
+_MADE = f"""SELECT event_id, {_pick('user_id % 3', _PREFIXES)} || event_type || '_' || CAST(user_id % 4 AS STRING) AS model_name,
+        {_pick('user_id % 3', _PREFIXES.values())} AS layer, {_pick('event_id % 6', [k for k, _ in _TEST_KINDS])} AS kind,
+        {_pick('event_id % 6', [t for _, t in _TEST_KINDS])} AS label, 'c' || CAST(event_id % 97 AS STRING) || '_' || CAST(user_id AS STRING) AS about FROM """
+
+
+@query("runs_classify_data", f"""SELECT event_id, kind || '_' || model_name || '_' || about AS test_name, model_name, layer,
+        CASE WHEN event_id % 6 >= 4 THEN 'dbt-expectations' ELSE 'standard' END AS test_type,
+        label || ': ' || model_name || '.' || about AS readable FROM ({_MADE.replace('STRING', 'VARCHAR')} events)""")
+def runs_classify_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Test ids put together from the events: about as many as there are rows, over 60 models and six kinds of tests."""
+    raw.given(spark, sf, "events").createOrReplaceTempView("classified_events")
+    made = spark.sql(f"{_MADE} classified_events")
+    uid = F.concat_ws(".", F.lit("test.lakevault"), F.concat_ws("_", "kind", "model_name", "about"), F.substring(F.md5(F.col("event_id").cast("string")), 1, 8))
+    found = made.select("event_id", uid.alias("uid"))
+    uid = F.col("uid")
+    return found.select("event_id", runs.test_name_of(uid).alias("test_name"), runs.model_of(uid, _MADE_MODELS).alias("model_name"),
+                        runs.layer_of(uid).alias("layer"), runs.test_type_of(uid).alias("test_type"), runs.readable_name(uid, _MADE_MODELS).alias("readable"))
+
+
 @query("dq_latest_summary", "SELECT layer, status, count(*) AS n FROM log "
        "WHERE run_at = (SELECT max(run_at) FROM log) GROUP BY layer, status", log=_LOG)
 def dq_latest_summary(spark: SparkSession, sf: str) -> DataFrame:
