@@ -376,9 +376,10 @@ def runs_classify_data(spark: SparkSession, sf: str) -> DataFrame:
     made = spark.sql(f"{_MADE} classified_events")
     uid = F.concat_ws(".", F.lit("test.lakevault"), F.concat_ws("_", "kind", "model_name", "about"), F.substring(F.md5(F.col("event_id").cast("string")), 1, 8))
     found = made.select("event_id", uid.alias("uid"))
-    uid = F.col("uid")
-    return found.select("event_id", runs.test_name_of(uid).alias("test_name"), runs.model_of(uid, _MADE_MODELS).alias("model_name"),
-                        runs.layer_of(uid).alias("layer"), runs.test_type_of(uid).alias("test_type"), runs.readable_name(uid, _MADE_MODELS).alias("readable"))
+    uid, model_name = F.col("uid"), F.col("model_name")
+    found = found.withColumn("model_name", runs.model_of(uid, _MADE_MODELS))
+    return found.select("event_id", runs.test_name_of(uid).alias("test_name"), "model_name", runs.layer_of(uid).alias("layer"),
+                        runs.test_type_of(uid).alias("test_type"), runs.readable_name(uid, _MADE_MODELS, model_name).alias("readable"))
 
 
 @query("dq_latest_summary", "SELECT layer, status, count(*) AS n FROM log "
