@@ -362,18 +362,18 @@ def _pick(index: str, values) -> str:
     return f"CASE {index} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
 
 
-_MADE = f"""SELECT event_id, {_pick('user_id % 3', _PREFIXES)} || event_type || '_' || CAST(user_id % 4 AS STRING) AS model_name,
-        {_pick('user_id % 3', _PREFIXES.values())} AS layer, {_pick('event_id % 6', [k for k, _ in _TEST_KINDS])} AS kind,
-        {_pick('event_id % 6', [t for _, t in _TEST_KINDS])} AS label, 'c' || CAST(event_id % 97 AS STRING) || '_' || CAST(user_id AS STRING) AS about FROM """
+_MADE = [
+    "event_id", f"{_pick('user_id % 3', _PREFIXES)} || event_type || '_' || CAST(user_id % 4 AS STRING) AS model_name",
+    f"{_pick('user_id % 3', _PREFIXES.values())} AS layer", f"{_pick('event_id % 6', [k for k, _ in _TEST_KINDS])} AS kind",
+    f"{_pick('event_id % 6', [t for _, t in _TEST_KINDS])} AS label", "'c' || CAST(event_id % 97 AS STRING) || '_' || CAST(user_id AS STRING) AS about"]
 
 
 @query("runs_classify_data", f"""SELECT event_id, kind || '_' || model_name || '_' || about AS test_name, model_name, layer,
         CASE WHEN event_id % 6 >= 4 THEN 'dbt-expectations' ELSE 'standard' END AS test_type,
-        label || ': ' || model_name || '.' || about AS readable FROM ({_MADE.replace('STRING', 'VARCHAR')} events)""")
+        label || ': ' || model_name || '.' || about AS readable FROM (SELECT {', '.join(_MADE).replace('STRING', 'VARCHAR')} FROM events)""")
 def runs_classify_data(spark: SparkSession, sf: str) -> DataFrame:
     """Test ids put together from the events: about as many as there are rows, over 60 models and six kinds of tests."""
-    raw.given(spark, sf, "events").createOrReplaceTempView("classified_events")
-    made = spark.sql(f"{_MADE} classified_events")
+    made = raw.given(spark, sf, "events").selectExpr(*_MADE)
     uid = F.concat_ws(".", F.lit("test.lakevault"), F.concat_ws("_", "kind", "model_name", "about"), F.substring(F.md5(F.col("event_id").cast("string")), 1, 8))
     found = made.select("event_id", uid.alias("uid"))
     uid, model_name = F.col("uid"), F.col("model_name")

@@ -429,7 +429,7 @@ class Lake:
             self.spark.sql(f"CREATE DATABASE {self.db(layer)} LOCATION '{self.root}/{layer}'")
 
     def tables(self, layer: str) -> list[str]:
-        names = (t.name for t in self.spark.catalog.listTables(self.db(layer)))
+        names = (t.name for t in self.spark.catalog.listTables(self.db(layer)) if not t.isTemporary)
         return sorted(n for n in names if "__" not in n)
 
     def counts(self, layers: Sequence[str]) -> DataFrame:
