@@ -41,3 +41,15 @@ def test_one_scan_and_one_exchange(spark, tmp_path):
     assert plan.count("FileScan parquet") == 1 and plan.count("Expand") == 1
     # the second exchange carries one row per grouping set and task
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_groups_are_not_joined_or_dealt_by_set(spark, tmp_path):
+    """However many groups there are, what is shuffled by set is combined first: no set is one task's rows."""
+    spark.range(1000).select(F.col("id").cast("int").alias("id"), (F.col("id") % 7).cast("int").alias("a"), F.lit("x").alias("b")).write.parquet(f"{tmp_path}/m")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the groups are too large for a broadcast
+    try:
+        plan = q.run({"m": spark.read.parquet(f"{tmp_path}/m")}, suite())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
