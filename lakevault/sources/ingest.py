@@ -7,7 +7,7 @@ once, whatever the write needs), writes them by disposition, and logs counts and
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -196,6 +196,12 @@ def without_loaded(lake: Lake, spec: IngestSpec, table: TableSpec, landed: DataF
 
 # --- the load ---
 
+def _repeats(rows: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a key may be there twice: false only if all hashes of keys differ, and so the keys."""
+    hashed = rows.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    return not hashed.where("n > 1").isEmpty()
+
+
 def _to_database(spec: IngestSpec, table: TableSpec, landed: DataFrame) -> None:
     if table.write_disposition == "merge":
         raise ValueError(f"{table.name}: a JDBC target takes append and replace only")
@@ -229,7 +235,8 @@ def load_table(lake: Lake, spec: IngestSpec, table: TableSpec, load_id: str) ->
     elif table.write_disposition == "merge":
         order = [F.col(table.cursor).desc()] if table.cursor else []
         whole_row = F.xxhash64(*[F.col(f.name) for f in rows.schema if not isinstance(f.dataType, T.MapType)])
-        unique = first_per_key(landed, list(table.primary_key), [*order, whole_row])
+        # whole rows are shuffled only where a key may be there twice
+        unique = first_per_key(landed, list(table.primary_key), [*order, whole_row]) if _repeats(landed, table.primary_key) else landed
         lake.ensure(spec.schema)
         lake.merge(spec.schema, table.name, unique, table.primary_key, check=False)
     elif table.write_disposition == "replace":

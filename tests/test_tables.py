@@ -303,3 +303,22 @@ def test_full_run_delta_and_rerun(spark, lake, sf_dir):
     assert second["raw_vault.hub_customer"] - first["raw_vault.hub_customer"] == new
     assert second["raw_vault.sat_customer"] - first["raw_vault.sat_customer"] == new + changed
     assert second["raw_vault.pit_customer"] == second["raw_vault.hub_customer"] * len(AS_OF)
+
+
+def test_a_merge_of_single_keys_does_not_shuffle_whole_rows(spark, lake, tmp_path, monkeypatch):
+    plans = []
+    merged = type(lake).merge
+
+    def watched(self, layer, table, delta, *args, **kwargs):
+        plans.append(delta._jdf.queryExecution().executedPlan().toString())
+        return merged(self, layer, table, delta, *args, **kwargs)
+
+    monkeypatch.setattr(type(lake), "merge", watched)
+    once = [(1, None, "a"), (1, 2, "b"), (None, None, "c")]
+    for number, rows in enumerate((once, [*once, (1, 2, "b")]), 1):
+        spark.createDataFrame(rows, "x int, y int, v string").write.parquet(f"{tmp_path}/{number}")
+        spec = from_config({"name": "t", "type": "filesystem", "path": f"{tmp_path}/{number}", "file_glob": "*.parquet",
+                            "write_disposition": "merge", "primary_key": ["x", "y"], "target": {"schema": "raw"}})
+        ingest(lake, spec, f"load-{number}")
+        assert sorted(map(str, lake.read("raw", "t").collect())) == sorted(map(str, spark.createDataFrame(once, "x int, y int, v string").collect()))
+    assert "Window" not in plans[0] and "Window" in plans[1]
