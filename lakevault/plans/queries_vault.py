@@ -13,7 +13,7 @@ from lakevault.operators.ordered import intervals
 from lakevault.operators.staging import Rank, StageSpec, stage
 from lakevault.plans import marts, model, raw
 from lakevault.plans.checks import diff_sql, key_sql
-from lakevault.plans.initial import Vault
+from lakevault.plans.initial import Packed, Vault, unpacked
 from lakevault.plans.registry import query
 
 
@@ -182,12 +182,12 @@ def join_hub_sat(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("join_link_sat", "SELECT * FROM order_lines")
 def join_link_sat(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.order_lines(Vault(spark, sf)).drop("line_number")
+    return unpacked(marts.order_lines(Packed(Vault(spark, sf))).drop("line_number"))
 
 
 @query("order_items", "SELECT * FROM order_items")
 def order_items(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.order_items(Vault(spark, sf)).select(
+    return unpacked(marts.order_items(Packed(Vault(spark, sf)))).select(
         "order_hk", "line_items", (F.col("revenue_sum").cast("double") / F.lit(100.0)).alias("order_total"))
 
 
@@ -203,14 +203,14 @@ def distinct_orders_per_product(spark: SparkSession, sf: str) -> DataFrame:
 @query("top_customers", """SELECT * FROM mart_revenue_per_customer
         ORDER BY total_revenue DESC NULLS FIRST, customer_id LIMIT 5""")
 def top_customers(spark: SparkSession, sf: str) -> DataFrame:
-    mart = marts.revenue_per_customer(Vault(spark, sf))
+    mart = marts.revenue_per_customer(Packed(Vault(spark, sf)))
     return mart.orderBy(F.desc_nulls_first("total_revenue"), "customer_id").limit(5)
 
 
 # --- marts ---------------------------------------------------------------------------------
 
 def _register_mart(name: str) -> None:
-    query(name, f"SELECT * FROM {name}")(lambda spark, sf: marts.MARTS[name](Vault(spark, sf)))
+    query(name, f"SELECT * FROM {name}")(lambda spark, sf: marts.MARTS[name](Packed(Vault(spark, sf))))
 
 
 for _mart in marts.MARTS:
@@ -249,7 +249,7 @@ class _MissingPrices:
         FROM hub_product JOIN sat_product USING (product_hk) LEFT JOIN order_lines USING (product_hk) GROUP BY product_id""")
 def mart_product_sales_missing_price(spark: SparkSession, sf: str) -> DataFrame:
     """Lines without a price have no part in revenue and margin."""
-    sales = marts.product_sales(_MissingPrices(Vault(spark, sf)))
+    sales = marts.product_sales(Packed(_MissingPrices(Vault(spark, sf))))
     return sales.select("product_id", "total_quantity_sold", "total_revenue", "estimated_margin")
 
 
@@ -257,5 +257,5 @@ def mart_product_sales_missing_price(spark: SparkSession, sf: str) -> DataFrame:
         * (100 - CAST(l_discount AS DECIMAL(5,2)))) AS DOUBLE) / 100 AS revenue FROM lineitem""")
 def mart_revenue_complete(spark: SparkSession, sf: str) -> DataFrame:
     """No order line is lost on the way to the marts: lines and revenue over all orders."""
-    totals = marts.order_items(Vault(spark, sf)).agg(F.sum("line_items").alias("line_items"), F.sum("revenue_sum").alias("total"))
+    totals = marts.order_items(Packed(Vault(spark, sf))).agg(F.sum("line_items").alias("line_items"), F.sum("revenue_sum").alias("total"))
     return totals.select("line_items", (F.col("total").cast("double") / F.lit(100.0)).alias("revenue"))

@@ -6,7 +6,7 @@ from lakevault.operators import vault as ops
 from lakevault.operators.vault import current
 from lakevault.plans import build, marts, model
 from lakevault.plans.catalogue import QUERIES
-from lakevault.plans.initial import Vault
+from lakevault.plans.initial import Packed, Vault, unpacked
 from lakevault.plans.queries_time import AS_OF
 from lakevault.sources.ingest import since_cursor
 
@@ -70,3 +70,26 @@ def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_buckets_follow_the_input(spark, monkeypatch):
+    """A task sorts one bucket, so a bucket holds no more of a larger input."""
+    for size in (1 << 30, 6 << 30):
+        monkeypatch.setattr(build, "folder_bytes", lambda *_, size=size: size)
+        assert size / build.new_lake(spark, "any").buckets <= 16 << 20
+
+
+def test_packed_keys_give_the_same_marts(spark, sf_dir):
+    for name, mart in marts.MARTS.items():
+        plain, packed = (sorted(map(str, mart(v).collect())) for v in (Vault(spark, sf_dir), Packed(Vault(spark, sf_dir))))
+        assert plain == packed, name
+    lines = marts.order_lines(Vault(spark, sf_dir))
+    packed = marts.order_lines(Packed(Vault(spark, sf_dir)))
+    assert packed.schema["order_product_hk"].dataType.simpleString() == "binary"
+    assert unpacked(packed).select(lines.columns).exceptAll(lines).isEmpty() and lines.exceptAll(unpacked(packed).select(lines.columns)).isEmpty()
+
+
+def test_orders_without_lines_read_none(spark, sf_dir):
+    for name in ("hub_order", "lnk_order_customer"):
+        plan = Vault(spark, sf_dir)[name]._jdf.queryExecution().executedPlan().toString()
+        assert "lineitem" not in plan and "Exchange" not in plan, name
