@@ -93,3 +93,10 @@ def test_orders_without_lines_read_none(spark, sf_dir):
     for name in ("hub_order", "lnk_order_customer"):
         plan = Vault(spark, sf_dir)[name]._jdf.queryExecution().executedPlan().toString()
         assert "lineitem" not in plan and "Exchange" not in plan, name
+
+
+def test_catalog_holds_every_object_with_its_parents(spark, sf_dir):
+    rows = {r["name"]: r for r in QUERIES["vault_catalog"](spark, sf_dir).collect()}
+    assert rows.keys() == {*model.HUBS, *model.LINKS, *model.SATS, *model.PITS}
+    assert rows["lnk_order_customer"]["parents"] == "hub_order,hub_customer" and rows["sat_order_detail"]["parents"] == "lnk_order_product"
+    assert rows["pit_order"]["parents"] == "hub_order" and rows["pit_order"]["row_count"] == len(AS_OF) * rows["hub_order"]["row_count"]

@@ -76,6 +76,28 @@ def test_dropped_tables_leave_nothing(spark, lake):
     assert content(lake.read("raw", "t")) == [(7, "z")]
 
 
+def test_dropped_tables_leave_no_cells_filters_and_logs(spark, lake, monkeypatch):
+    """A table that is stored again under a dropped one's name is not read by what was known of the old one."""
+    monkeypatch.setattr(tables, "COMMENT_CHARS", 0)  # as with many cells: they are rows of meta.cells
+    lake.refresh("mart", "other", ["id"], rows=frame(spark, [(1, "o")]))
+    lake.refresh("mart", "other", ["id"], rows=frame(spark, [(1, "p")]))
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(1, "a"), (2, "a")]))
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(1, "b")]))
+    lake.drop("mart", "m")
+    lake.refresh("mart", "m", ["id"], rows=frame(spark, [(1, "c"), (2, "c")]))
+    lake.refresh("mart", "m", ["id"], added=frame(spark, [(30, "c")]))
+    assert content(lake.read("mart", "m")) == [(1, "c"), (2, "c"), (30, "c")]
+    assert content(lake.read("mart", "other")) == [(1, "p")]
+    for n in range(3):
+        lake.append("raw_vault", "h", frame(spark, [(n, "h")]).coalesce(1))
+    lake.holding("raw_vault", "h", "id", frame(spark, [(1, "h")]), least_files=1)
+    assert lake.exists("meta", "raw_vault__h__filters")
+    frame(spark, [(1, "l")]).write.saveAsTable(f"{lake.name('psa', 'p')}__log")
+    lake.drop("raw_vault", "h")
+    lake.drop("psa", "p")
+    assert not lake.exists("meta", "raw_vault__h__filters") and not lake.exists("psa", "p__log")
+
+
 # --- schema drift ---
 
 
