@@ -100,3 +100,24 @@ def test_catalog_holds_every_object_with_its_parents(spark, sf_dir):
     assert rows.keys() == {*model.HUBS, *model.LINKS, *model.SATS, *model.PITS}
     assert rows["lnk_order_customer"]["parents"] == "hub_order,hub_customer" and rows["sat_order_detail"]["parents"] == "lnk_order_product"
     assert rows["pit_order"]["parents"] == "hub_order" and rows["pit_order"]["row_count"] == len(AS_OF) * rows["hub_order"]["row_count"]
+
+
+def test_first_loads_shuffle_the_source_and_not_its_hashes(spark, sf_dir):
+    tables = build.Tables(build.warehouse(spark, sf_dir, AS_OF))
+    text = plan(tables.staged("order_details", by="order_product_hk").select("order_product_hk", "hashdiff", "quantity"))
+    above, _, below = text.partition("Exchange hashpartitioning")
+    assert "AS order_product_hk" in above and "AS hashdiff" in above and "AS order_product_hk" not in below and "AS hashdiff" not in below
+
+
+def test_links_of_orders_lie_by_order(spark, sf_dir):
+    tables = build.Tables(build.warehouse(spark, sf_dir, AS_OF))
+    joined = tables["hub_order"].join(tables["lnk_order_customer"].hint("merge"), "order_hk").join(tables["lnk_order_employee"].hint("merge"), "order_hk")
+    assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
+
+
+def test_stored_keys_are_entropy_coded(spark, sf_dir):
+    """32 hex digits of a key take some 16 bytes on disk."""
+    lake = build.warehouse(spark, sf_dir, AS_OF)
+    for layer, table in (("raw", "orders"), ("raw_vault", "sat_order_detail"), ("raw_vault", "pit_order"), ("mart", "mart_order_overview")):
+        files = lake.read(layer, table).inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files), table

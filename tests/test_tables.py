@@ -4,6 +4,7 @@ import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakevault.plans import build
@@ -204,6 +205,32 @@ def test_first_delivery_is_checked_before_it_is_visible(spark, lake):
     assert content(lake.read("raw", "t")) == [(1, "a"), (2, "b")] and lake.tables("raw") == ["t"]
 
 
+def test_a_checked_delivery_is_made_once(spark, lake):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def key(n):
+        made.add(1)
+        return n
+
+    rows = spark.range(40).select(key(F.col("id").cast("int")).alias("id"), F.lit("a").alias("v"))
+    lake.merge("raw", "t", rows, ["id"])
+    assert made.value == 40 and lake.read("raw", "t").count() == 40
+
+
+def test_a_refused_delivery_leaves_the_table_as_it_was(spark, lake):
+    with pytest.raises(ContractError):
+        lake.merge("raw", "t", frame(spark, [(1, "a"), (1, "b")]), ["id"])
+    assert not lake.exists("raw", "t")
+    lake.merge("raw", "t", frame(spark, [(1, "a")]), ["id"])
+    for bad in ([(2, "x"), (2, "y")], [(None, "x")]):
+        with pytest.raises(ContractError):
+            lake.merge("raw", "t", frame(spark, bad), ["id"])
+        assert content(lake.read("raw", "t")) == [(1, "a")]
+    lake.merge("raw", "t", frame(spark, [(3, "c")]), ["id"])
+    assert content(lake.read("raw", "t")) == [(1, "a"), (3, "c")]
+
+
 def test_bucket_count_grows_with_the_input():
     assert buckets_for(0) == 8 and buckets_for(100 << 30) == 256 and buckets_for(100 << 40) == 262_144
 
