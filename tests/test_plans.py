@@ -121,3 +121,15 @@ def test_stored_keys_are_entropy_coded(spark, sf_dir):
     for layer, table in (("raw", "orders"), ("raw_vault", "sat_order_detail"), ("raw_vault", "pit_order"), ("mart", "mart_order_overview")):
         files = lake.read(layer, table).inputFiles()
         assert files and all(f.endswith(".zstd.parquet") for f in files), table
+
+
+def test_access_view_shuffles_narrow_rows(spark, sf_dir):
+    """Order lines are dealt before they are hashed, and a hub that only shows its key joins them before the orders' payload."""
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["access_link_sat"](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert "Exchange hashpartitioning(order_product_hk" not in text and text.count("Exchange hashpartitioning(unhex(md5(") == 2
+    assert text.index("SortMergeJoin [order_hk") < text.index("SortMergeJoin [product_hk")
