@@ -133,3 +133,16 @@ def test_access_view_shuffles_narrow_rows(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
     assert "Exchange hashpartitioning(order_product_hk" not in text and text.count("Exchange hashpartitioning(unhex(md5(") == 2
     assert text.index("SortMergeJoin [order_hk") < text.index("SortMergeJoin [product_hk")
+
+
+def test_totals_are_grouped_by_packed_keys(spark, lake, sf_dir, monkeypatch):
+    plans = {}
+    refresh = type(lake).refresh
+    monkeypatch.setattr(type(lake), "refresh", lambda self, layer, table, key, rows=None, **more: (plans.update({table: plan(rows)}), refresh(self, layer, table, key, rows=rows, **more)))
+    build.build_all(lake, spark, sf_dir, AS_OF)
+    assert "Exchange hashpartitioning(order_hk" in plans["order_items"] and "unhex(order_hk" in plans["order_items"] and "unhex(product_hk" in plans["product_totals"]
+    lines = marts.order_lines(build.Tables(lake))
+    for name, rows in (("order_items", marts.item_totals(lines)), ("product_totals", marts.product_totals(lines))):
+        stored = lake.read("meta", name)
+        assert [f.dataType for f in stored.schema] == [f.dataType for f in rows.schema]
+        assert stored.exceptAll(rows.select(stored.columns)).isEmpty() and rows.select(stored.columns).exceptAll(stored).isEmpty()
