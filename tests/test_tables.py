@@ -227,8 +227,11 @@ def test_a_refused_delivery_leaves_the_table_as_it_was(spark, lake):
         with pytest.raises(ContractError):
             lake.merge("raw", "t", frame(spark, bad), ["id"])
         assert content(lake.read("raw", "t")) == [(1, "a")]
-    lake.merge("raw", "t", frame(spark, [(3, "c")]), ["id"])
-    assert content(lake.read("raw", "t")) == [(1, "a"), (3, "c")]
+    # a delivery of another shape goes to another store
+    lake.merge("raw", "t", frame(spark, [(3, "c", 1.5)], "id int, v string, w double"), ["id"])
+    assert content_of(lake.read("raw", "t")) == content_of([(1, "a", None), (3, "c", 1.5)])
+    lake.merge("raw", "t", frame(spark, [(3, "d")]), ["id"])
+    assert content_of(lake.read("raw", "t")) == content_of([(1, "a", None), (3, "d", None)])
 
 
 def test_bucket_count_grows_with_the_input():
